@@ -26,12 +26,19 @@ def hour_timestamp(date: str = "date", hour: str = "hour") -> Column:
     return F.col(date).cast("timestamp_ntz") + F.make_dt_interval(hours=F.col(hour))
 
 
-def event_hour(name: str = "utc") -> Column:
+def hour_of(moment: Column) -> Column:
     """Timestamp truncated to its hour, without the zone round trip ``date_trunc`` would take."""
-    moment = reading_time(name)
     return F.to_date(moment).cast("timestamp_ntz") + F.make_dt_interval(hours=F.hour(moment))
 
 
+def next_hour(moment: Column) -> Column:
+    return hour_of(moment) + interval("1 HOUR")
+
+
+def event_hour(name: str = "utc") -> Column:
+    return hour_of(reading_time(name))
+
+
 def to_local(moment: Column, zone: str = LOCAL_TIME_ZONE) -> Column:
     return F.convert_timezone(F.lit("UTC"), F.lit(zone), moment)
 

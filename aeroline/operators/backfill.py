@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aeroline.fixed_values import BACKFILL_TARGET, BACKFILL_WEEKS, READING_TIME_FORMAT
-from aeroline.functions.times import as_timestamp, event_hour, interval
+from aeroline.functions.times import as_timestamp, event_hour, hour_of, interval
 
 
 def next_window(state: DataFrame, today: str, target: str = BACKFILL_TARGET) -> DataFrame:
@@ -16,7 +16,7 @@ def next_window(state: DataFrame, today: str, target: str = BACKFILL_TARGET) ->
     before the oldest loaded hour and is two weeks long; without progress it is the two weeks up to yesterday 23:00.
     """
     length = interval(f"{BACKFILL_WEEKS * 7} DAYS")
-    oldest = F.to_date("oldest_loaded").cast("timestamp_ntz") + F.make_dt_interval(hours=F.hour("oldest_loaded"))
+    oldest = hour_of(F.col("oldest_loaded"))
     midnight = as_timestamp(today)
     start = F.coalesce(oldest, midnight) - length
     end = F.coalesce(oldest, midnight) - interval("1 HOUR")
@@ -31,10 +31,11 @@ def next_window(state: DataFrame, today: str, target: str = BACKFILL_TARGET) ->
 def backfill_windows(state: DataFrame, target: str = BACKFILL_TARGET) -> DataFrame:
     """All windows from the oldest loaded hour back to the target: the schedule the repeated runs would follow."""
     length = interval(f"{BACKFILL_WEEKS * 7} DAYS")
-    oldest = F.to_date("oldest_loaded").cast("timestamp_ntz") + F.make_dt_interval(hours=F.hour("oldest_loaded"))
-    ends = state.filter(F.col("oldest_loaded") > as_timestamp(target)).select(
-        F.posexplode(F.sequence(oldest, as_timestamp(target) + interval("1 SECOND"), -length)).alias("window_number", "stop")
-    )
+    oldest = hour_of(F.col("oldest_loaded"))
+    # Inside the condition, so that no sequence is built for a finished backfill.
+    stops = F.sequence(oldest, as_timestamp(target) + interval("1 SECOND"), -length)
+    pending = F.when(F.col("oldest_loaded") > as_timestamp(target), stops)
+    ends = state.select(F.posexplode(pending).alias("window_number", "stop"))
     return ends.select(
         "window_number",
         F.date_format(F.col("stop") - length, READING_TIME_FORMAT).alias("window_start"),

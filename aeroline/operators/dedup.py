@@ -47,13 +47,16 @@ def mark_losers(df: DataFrame, keys: list[str], order: list[Column], row_id: str
 
 
 def count_copies(df: DataFrame, name: str = "copies") -> DataFrame:
-    """Collapse identical rows into one with a count; hot copies are combined before the shuffle.
-
-    For tables without a unique row id: it makes every row distinct, so a hash of the row can stand in for the id.
-    """
+    """Collapse identical rows into one with a count; hot copies are combined before the shuffle."""
     return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(name))
 
 
+def identify_rows(df: DataFrame, row_id: str = "row_id") -> DataFrame:
+    """A row id for tables that have none: identical rows are counted in ``copies``, so a hash of the content is unique."""
+    content = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
+    return count_copies(df).withColumn(row_id, F.sha2(content, 256))
+
+
 def drop_duplicates(df: DataFrame, keys: list[str], tie_breakers: list[str] | None = None) -> DataFrame:
     """One row per key. Any row would do; a fixed order makes the choice repeatable when a task is rerun."""
     return keep_best(df, keys, total_order(df, [], keys, tie_breakers))

@@ -8,7 +8,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aeroline.functions.times import as_timestamp, beginning_of_time, event_hour, interval
+from aeroline.functions.times import as_timestamp, beginning_of_time, interval, next_hour, reading_time
 
 MODES = ("incremental", "backfill", "full")
 
@@ -20,12 +20,18 @@ def high_watermark(target: DataFrame, moment: Column, lookback: str) -> Column:
 
 
 def is_new(moment: Column, target: DataFrame, target_moment: Column, lookback: str = "1 hour") -> Column:
-    """True for rows strictly after the target's watermark.
+    """True for rows strictly after the target's watermark."""
+    return moment > high_watermark(target, target_moment, lookback)
+
 
-    With hour-truncated moments and the default lookback only the latest loaded hour and later ones pass; a wider
-    lookback also admits late rows.
+def is_new_hour(moment: Column, target: DataFrame, target_hour: Column, lookback: str = "1 hour") -> Column:
+    """True for rows whose *hour* lies strictly after the watermark.
+
+    With the default lookback only the latest loaded hour and later ones pass; a wider lookback also admits late rows.
+    The hour of a moment is after the watermark exactly if the moment is at or after the next full hour, and in this
+    form the condition is a plain lower bound on the time column, which reaches the scan.
     """
-    return moment > high_watermark(target, target_moment, lookback)
+    return moment >= next_hour(high_watermark(target, target_hour, lookback))
 
 
 def in_range(moment: Column, start: str, end: str) -> Column:
@@ -33,10 +39,10 @@ def in_range(moment: Column, start: str, end: str) -> Column:
     return moment.between(as_timestamp(start), as_timestamp(end))
 
 
-def late_row_count(batch: DataFrame, target: DataFrame, target_moment: Column, lookback: str = "1 hour") -> DataFrame:
+def late_row_count(batch: DataFrame, target: DataFrame, target_hour: Column, lookback: str = "1 hour") -> DataFrame:
     """How many batch rows the watermark leaves out: the price of the default mode, made visible."""
-    passes = is_new(event_hour(), target, target_moment, lookback)
-    return batch.filter(event_hour().isNotNull()).agg(
+    passes = is_new_hour(reading_time(), target, target_hour, lookback)
+    return batch.filter(reading_time().isNotNull()).agg(
         F.count_if(passes).alias("on_time"), F.count_if(~passes).alias("late")
     )
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aeroline.functions.readings import assign_region, is_rejected, wanted_pollutant
-from aeroline.functions.times import as_timestamp, event_hour, hour_timestamp
+from aeroline.functions.times import hour_timestamp
 from aeroline.operators import backfill, columns, incremental, merge, quality, series, spatial, trends
 from aeroline.plans import files, gold, silver
 from aeroline.plans.warehouse import Warehouse, star_of, update_gold, update_silver
@@ -86,12 +86,12 @@ def cleaned_spark_variant(spark, sf_dir):
 @query
 def rejected_readings(spark, sf_dir):
     raw = hourly_stamped(raw_readings(spark, sf_dir))
-    return plain(silver.reject_readings(raw, "event_id", as_timestamp(RUN_TIME)))
+    return plain(silver.reject_readings(raw, "event_id", RUN_TIME))
 
 
 @query
 def rejection_counts(spark, sf_dir):
-    rejected = silver.reject_readings(hourly_stamped(raw_readings(spark, sf_dir)), "event_id", as_timestamp(RUN_TIME))
+    rejected = silver.reject_readings(hourly_stamped(raw_readings(spark, sf_dir)), "event_id", RUN_TIME)
     return rejected.groupBy("rejection_reason").agg(F.count(F.lit(1)).alias("readings"))
 
 
@@ -184,8 +184,8 @@ def incremental_backfill_batch(spark, sf_dir):
 @query
 def incremental_rejected_batch(spark, sf_dir):
     raw = hourly_stamped(raw_readings(spark, sf_dir))
-    stored = silver.reject_readings(loaded_earlier(raw), "event_id", as_timestamp(RUN_TIME))
-    return plain(silver.reject_increment(raw, stored, "event_id", rejected_at=as_timestamp(RUN_TIME)))
+    stored = silver.reject_readings(loaded_earlier(raw), "event_id", RUN_TIME)
+    return plain(silver.reject_increment(raw, stored, "event_id", rejected_at=RUN_TIME))
 
 
 @query
@@ -479,6 +479,7 @@ def stream_silver_upsert(spark, sf_dir):
 @query
 def running_total(spark, sf_dir):
     cleaned = silver.clean_readings(raw_readings(spark, sf_dir), TIE).select("fullaqscode", "date", "hour", "parameter", "aqi")
+    cleaned = staged(cleaned, "running")  # read twice, for bucket totals and for rows
     return plain(trends.running_total(cleaned, "fullaqscode", "date", ["hour", "parameter"], "aqi"))
 
 

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aeroline.fixed_values import DUPLICATE_LABEL
 from aeroline.functions.readings import concern_level, is_rejected, is_valid_reading, rejection_reason
-from aeroline.functions.times import event_hour, hour_timestamp, reading_date, reading_hour, reading_time
-from aeroline.operators.dedup import keep_best, mark_losers, total_order
-from aeroline.operators.incremental import MODES, in_range, is_new
+from aeroline.functions.times import hour_timestamp, reading_date, reading_hour, reading_time
+from aeroline.operators.dedup import identify_rows, keep_best, mark_losers, total_order
+from aeroline.operators.incremental import MODES, high_watermark, in_range, is_new, is_new_hour
 
 CLEANED_KEYS = ["date", "hour", "fullaqscode", "parameter"]
 REJECTED_KEYS = ["utc", "fullaqscode", "parameter"]
@@ -58,44 +58,60 @@ def clean_increment(
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
     if mode == "incremental":
-        raw = raw.filter(is_new(event_hour(), cleaned, hour_timestamp(), lookback))
+        raw = raw.filter(is_new_hour(reading_time(), cleaned, hour_timestamp(), lookback))
+        if "date" in raw.columns:  # a partitioned bronze table: skip the folders before the watermark as well
+            raw = raw.filter(F.col("date") >= F.to_date(high_watermark(cleaned, hour_timestamp(), lookback)))
     elif mode == "backfill":
         raw = raw.filter(in_range(reading_time(), start, end))
     return clean_readings(raw, tie_breakers)
 
 
-def _candidates(raw: DataFrame) -> DataFrame:
-    """Readings that may end up in quarantine. A valid reading can only get there as a duplicate."""
-    return raw.withColumns({"_rejected": is_rejected(), "_reason": rejection_reason()})
+def _marked(raw: DataFrame, row_id: str | None) -> DataFrame:
+    """Readings with their rejection reason and the number of copies that lost to a better reading or to a copy.
 
-
-def duplicate_losers(raw: DataFrame, row_id: str) -> DataFrame:
-    """Valid readings beaten by another with the same exact time, site and pollutant."""
-    valid = raw.filter(~is_rejected())
+    Rejected readings and duplicates are marked in one scan; a union of two branches would read everything twice.
+    The rejected flag is part of the duplicate key, so a rejected reading never competes with valid ones.
+    """
+    if row_id is None:
+        raw, row_id = identify_rows(raw), "row_id"
+        copies = F.col("copies")
+    else:
+        copies = F.lit(1)
+    flagged = raw.withColumns({"utc": reading_time(), "_rejected": is_rejected(), "_reason": rejection_reason()})
     order = [F.col("aqi").desc(), F.col(row_id)]
-    losers = mark_losers(valid, REJECTED_KEYS, order, row_id).filter("is_loser").drop("is_loser")
-    return losers.withColumn("rejection_reason", F.lit(DUPLICATE_LABEL))
+    marked = mark_losers(flagged, [*REJECTED_KEYS, "_rejected"], order, row_id)
+    lost = F.when(F.col("is_loser"), copies).otherwise(copies - 1)
+    return marked.withColumns({"_lost": lost, "_order": F.col(row_id)}).drop("is_loser")
+
 
+def duplicate_losers(raw: DataFrame, row_id: str | None = None) -> DataFrame:
+    """Valid readings beaten by another with the same exact time, site and pollutant.
 
-def reject_readings(raw: DataFrame, row_id: str, rejected_at: Column | None = None) -> DataFrame:
+    ``row_id`` names a unique column. Without one, identical readings are one row, and ``copies`` says how many of
+    them have lost.
+    """
+    losers = _marked(raw.filter(~is_rejected()), row_id).filter("_lost > 0")
+    if row_id is None:
+        losers = losers.withColumn("copies", F.col("_lost"))
+    return losers.select(*raw.columns, *(["copies"] if row_id is None else []), F.lit(DUPLICATE_LABEL).alias("rejection_reason"))
+
+
+def reject_readings(raw: DataFrame, row_id: str | None = None, rejected_at: str | None = None) -> DataFrame:
     """Quarantine table: per time, site and pollutant the first rejected reading, with its reason.
 
-    Rejected readings and duplicates are marked in one scan; a union of two branches would read everything twice.
-    The rejected flag is part of the duplicate key, so a rejected reading never competes with valid ones.
-    ``rejected_at`` is one value per run and cannot order anything; ``row_id`` does.
+    ``rejected_at`` is one value per run and cannot order anything; the row id does.
     """
-    raw = raw.withColumn("utc", reading_time())
-    marked = mark_losers(_candidates(raw), [*REJECTED_KEYS, "_rejected"], [F.col("aqi").desc(), F.col(row_id)], row_id)
-    quarantined = marked.filter(F.col("_rejected") | F.col("is_loser")).withColumns({
+    now = F.current_timestamp() if rejected_at is None else F.lit(rejected_at).cast("timestamp")
+    quarantined = _marked(raw, row_id).filter(F.col("_rejected") | (F.col("_lost") > 0)).withColumns({
         "rejection_reason": F.when(F.col("_rejected"), F.col("_reason")).otherwise(DUPLICATE_LABEL),
-        "rejected_at": F.current_timestamp() if rejected_at is None else rejected_at,
+        "rejected_at": now,
     })
-    first = keep_best(quarantined, REJECTED_KEYS, [F.col(row_id)])
+    first = keep_best(quarantined, REJECTED_KEYS, [F.col("_order")])
     return first.select(*[name for name in REJECTED_COLUMNS if name in first.columns])
 
 
 def reject_increment(
-    raw: DataFrame, rejected: DataFrame, row_id: str, lookback: str = "1 hour", rejected_at: Column | None = None
+    raw: DataFrame, rejected: DataFrame, row_id: str | None = None, lookback: str = "1 hour", rejected_at: str | None = None
 ) -> DataFrame:
     """The rows to upsert into the quarantine table.
 

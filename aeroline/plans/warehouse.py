@@ -36,7 +36,7 @@ class Warehouse:
 def update_silver(
     raw: DataFrame,
     warehouse: Warehouse,
-    row_id: str,
+    row_id: str | None = None,
     mode: str = "incremental",
     lookback: str = "1 hour",
     start: str | None = None,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from aeroline.sources.landing import landing_rows, readable, stream_json_lines, with_partitions
+from aeroline.sources.landing import landing_rows, stream_json_lines, with_partitions
 from aeroline.sources.messages import from_messages
 from aeroline.sources.progress import advance, read_progress, write_progress
 
@@ -28,8 +28,12 @@ def records_to_landing(records: DataFrame, landing: str, checkpoint: str) -> Str
 def landing_to_bronze(
     spark: SparkSession, landing: str, bronze: str, checkpoint: str, max_files: int | None = None, archive: str | None = None
 ) -> StreamingQuery:
-    """Every landing file once into Parquet by date and hour; processed files can be moved to an archive."""
-    records = with_partitions(readable(stream_json_lines(spark, landing, max_files, archive)))
+    """Every landing file once into Parquet by date and hour; processed files can be moved to an archive.
+
+    Unreadable lines go along in the corrupt-record column, so one scan serves the readings and their quarantine.
+    Files of the last batch are archived when the next run commits it.
+    """
+    records = with_partitions(stream_json_lines(spark, landing, max_files, archive))
     writer = records.writeStream.format("parquet").partitionBy("date", "hour")
     writer = writer.option("path", bronze).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()
