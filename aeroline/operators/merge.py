@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aeroline.operators.incremental import same_key
-from aeroline.session import staged, work_path
+from aeroline.session import remove_path, staged, work_path
 from aeroline.sources.tables import path_exists, read_table, write_partitioned
 
 
@@ -23,7 +23,8 @@ def upsert_table(batch: DataFrame, path: str, keys: list[str], partition_by: lis
     Only partitions the batch touches are read and rewritten; partition columns must follow from the key. The merged
     partitions are first staged in the shared folder and then swapped in, because a table must not be overwritten
     while it is being read. ``stage`` names the staging path of one particular run: if that run is repeated after an
-    interruption, its complete stage is swapped in again instead of merging into a half-replaced table.
+    interruption, its complete stage is swapped in again instead of merging into a half-replaced table. The stage is
+    dropped once the table is whole; from then on repeating the run merges the same batch, which changes nothing.
     """
     spark = batch.sparkSession
     if not (stage and path_exists(spark, f"{stage}/_SUCCESS")):
@@ -31,6 +32,7 @@ def upsert_table(batch: DataFrame, path: str, keys: list[str], partition_by: lis
         _stage_merge(batch, path, keys, partition_by).write.mode("overwrite").parquet(stage)
     merged = spark.read.schema(batch.schema).parquet(stage)
     write_partitioned(merged, path, partition_by)
+    remove_path(spark, stage)
 
 
 def _stage_merge(batch: DataFrame, path: str, keys: list[str], partition_by: list[str]) -> DataFrame:
@@ -38,7 +40,8 @@ def _stage_merge(batch: DataFrame, path: str, keys: list[str], partition_by: lis
     batch = staged(batch, "batch")
     target = read_table(batch.sparkSession, path, like=batch)
     if partition_by:
-        touched = batch.select(*partition_by).distinct()
+        # Staged, so that the short list of partitions is broadcast instead of shuffling the target by a hot date.
+        touched = staged(batch.select(*partition_by).distinct(), "touched")
         lead = partition_by[0]
         low, high = touched.agg(F.min(lead)).scalar(), touched.agg(F.max(lead)).scalar()
         target = target.filter(F.col(lead).between(low, high)).join(touched, partition_by, "left_semi")

@@ -32,6 +32,24 @@ def orphans(fact: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
     return fact.join(dimension.select(key), key, "left_anti")
 
 
+def orphan_counts(fact: DataFrame, dimensions: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+    """(check_name, violations) for all keys of a fact table in one scan.
+
+    ``dimensions`` maps a check name to (dimension, key). Facts are reduced to counts per distinct key before anything
+    is joined, so neither a hot key nor the size of the fact table reaches the join.
+    """
+    names = list(dimensions)
+    keys = F.array(*[F.struct(F.lit(n).alias("check_name"), F.col(dimensions[n][1]).alias("member")) for n in names])
+    used = fact.select(F.inline(keys)).groupBy("check_name", "member").agg(F.count(F.lit(1)).alias("facts"))
+    known = None
+    for name, (dimension, key) in dimensions.items():
+        members = dimension.select(F.lit(name).alias("check_name"), F.col(key).alias("member"), F.lit(True).alias("found"))
+        known = members if known is None else known.unionByName(members)
+    matched = used.join(known.distinct(), ["check_name", "member"], "left")
+    missing = F.when(F.col("found").isNull(), F.col("facts")).otherwise(F.lit(0))
+    return matched.groupBy("check_name").agg(F.sum(missing).alias("violations"))
+
+
 def count_violations(checks: dict[str, DataFrame]) -> DataFrame:
     """(check_name, violations) for a set of violation tables."""
     counted = [

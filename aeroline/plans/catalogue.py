@@ -16,7 +16,7 @@ from aeroline.functions.readings import assign_region, is_rejected, wanted_pollu
 from aeroline.functions.times import hour_timestamp
 from aeroline.operators import backfill, columns, incremental, merge, quality, series, spatial, trends
 from aeroline.plans import files, gold, silver
-from aeroline.plans.warehouse import Warehouse, star_of, update_gold, update_silver
+from aeroline.plans.warehouse import KEY_COLUMNS, Warehouse, star_of, update_gold, update_silver
 from aeroline.session import staged, work_path
 from aeroline.sources import landing, messages, progress, tables
 from aeroline.sources.event_readings import events_path, feed_records, hourly_stamped, raw_readings, to_readings
@@ -207,7 +207,7 @@ def new_fact_rows_not_exists(spark, sf_dir):
     raw = raw_readings(spark, sf_dir)
     candidates = gold.fact_readings_direct(silver.clean_readings(raw, TIE))
     known = gold.fact_readings_direct(silver.clean_readings(loaded_earlier(raw), TIE))
-    return plain(gold.new_fact_rows(staged(candidates, "candidates"), known))
+    return plain(gold.new_fact_rows(candidates, known, silver.valid_readings(raw)))
 
 
 @query
@@ -322,10 +322,8 @@ def dq_orphans(spark, sf_dir):
     """Facts of all days against dimensions that stop before the last day."""
     raw = raw_readings(spark, sf_dir)
     star = star_of(silver.clean_readings(loaded_earlier(raw), TIE))
-    fact = staged(gold.fact_readings_direct(silver.clean_readings(raw, TIE)), "fact")
-    keys = {"dim_site": "site_key", "dim_parameter": "parameter_key", "dim_category": "category_key",
-            "dim_date": "date_key", "dim_hour": "hour_key"}
-    return quality.count_violations({name: quality.orphans(fact, star[name], key) for name, key in keys.items()})
+    fact = gold.fact_readings_direct(silver.clean_readings(raw, TIE))
+    return quality.orphan_counts(fact, {name: (star[name], key) for name, key in KEY_COLUMNS.items()})
 
 
 @query

@@ -46,10 +46,12 @@ def raw_to_bronze(spark: SparkSession, layout: Layout) -> None:
     the file-name column.
     """
     records = with_partitions(readable(read_json_lines(spark, layout.landing)))
-    # A reading without a readable time has no partition of its own; it goes to the default one.
     stored = read_table(spark, layout.bronze, like=records).select("date", "original_file")
-    dates = records.select("date").distinct()
-    known = stored.join(dates, stored["date"].eqNullSafe(dates["date"]), "left_semi").select("original_file").distinct()
+    # Both lists are staged: their size is then known, and short ones are broadcast. Readings without a readable time
+    # are in the default partition, hence the NULL-safe match.
+    dates = staged(records.select("date").distinct(), "dates")
+    known = stored.join(dates, stored["date"].eqNullSafe(dates["date"]), "left_semi").select("original_file")
+    known = staged(known.distinct(), "known-files")
     write_partitioned(new_members(records, known, ["original_file"]), layout.bronze, PARTITIONS, mode="append")
 
 

@@ -97,12 +97,14 @@ def fact_readings_direct(cleaned: DataFrame) -> DataFrame:
     return with_fact_id(cleaned.filter(F.col("unit").isNotNull()).withColumns(keys))
 
 
-def new_fact_rows(candidates: DataFrame, known: DataFrame) -> DataFrame:
+def new_fact_rows(candidates: DataFrame, known: DataFrame, dated: DataFrame | None = None) -> DataFrame:
     """Facts whose five keys are not stored yet.
 
     The stored side is restricted to the dates of the candidates, so its partitions are pruned and the cost follows
-    the increment, not the table. The date follows from the date key, so joining on it too changes nothing.
+    the increment, not the table. ``dated`` may name a cheaper table with the same dates, such as the one the
+    candidates were built from. The date follows from the date key, so joining on it too changes nothing.
     """
-    low, high = candidates.agg(F.min("date")).scalar(), candidates.agg(F.max("date")).scalar()
+    dates = candidates if dated is None else dated
+    low, high = dates.agg(F.min("date")).scalar(), dates.agg(F.max("date")).scalar()
     relevant = known.filter(F.col("date").between(low, high))
     return new_members(candidates, relevant, ["date", *FACT_KEYS])

@@ -14,7 +14,7 @@ from aeroline.operators.columns import lower_case
 from aeroline.operators.incremental import MODES
 from aeroline.plans.files import Layout, bronze_to_silver, raw_to_bronze, silver_to_gold
 from aeroline.plans.warehouse import Warehouse, update_gold, update_silver, validate
-from aeroline.session import get_or_create_session
+from aeroline.session import clear_work, get_or_create_session
 from aeroline.sources.landing import readable
 from aeroline.sources.tables import read_partitions
 from aeroline.streaming.landing import landing_to_bronze
@@ -69,4 +69,7 @@ def run_files(spark: SparkSession, options: argparse.Namespace) -> int:
 def main(arguments: list[str] | None = None) -> int:
     options = parse_arguments(arguments)
     spark = get_or_create_session()
-    return (run_files if options.layers == "files" else run_canonical)(spark, options)
+    try:
+        return (run_files if options.layers == "files" else run_canonical)(spark, options)
+    finally:
+        clear_work(spark)

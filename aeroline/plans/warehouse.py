@@ -21,6 +21,13 @@ DIMENSION_KEYS = {
     "dim_date": ["date"],
     "dim_hour": ["hour"],
 }
+KEY_COLUMNS = {
+    "dim_site": "site_key",
+    "dim_parameter": "parameter_key",
+    "dim_category": "category_key",
+    "dim_date": "date_key",
+    "dim_hour": "hour_key",
+}
 
 
 class Warehouse:
@@ -104,7 +111,7 @@ def update_gold(
         cleaned, table["dim_site"], table["dim_parameter"], table["dim_category"], table["dim_date"], table["dim_hour"]
     )
     fact_path = warehouse.path("gold", "fact_air_quality_readings")
-    new = gold.new_fact_rows(candidates, read_table(spark, fact_path, like=candidates))
+    new = gold.new_fact_rows(candidates, read_table(spark, fact_path, like=candidates), cleaned)
     upsert_table(new, fact_path, ["date", *gold.FACT_KEYS], ["date"], run_folder and f"{run_folder}/fact")
 
 
@@ -126,13 +133,13 @@ def validate(spark: SparkSession, warehouse: Warehouse) -> DataFrame:
         "fact_not_null": quality.not_null(fact, [*gold.FACT_KEYS, "aqi"]).filter("violations > 0"),
         "fact_unique": quality.unique(fact, gold.FACT_KEYS),
     }
-    for name, key in [("dim_site", "site_key"), ("dim_parameter", "parameter_key"), ("dim_category", "category_key"),
-                      ("dim_date", "date_key"), ("dim_hour", "hour_key")]:
+    dimensions = {}
+    for name, key in KEY_COLUMNS.items():
         dimension = spark.read.parquet(warehouse.path("gold", name))
+        dimensions[f"fact_{name}"] = (dimension, key)
         checks[f"{name}_unique"] = quality.unique(dimension, [key])
         checks[f"{name}_not_null"] = quality.not_null(dimension, [key]).filter("violations > 0")
-        checks[f"fact_{name}"] = quality.orphans(fact, dimension, key)
-    return quality.count_violations(checks)
+    return quality.count_violations(checks).unionByName(quality.orphan_counts(fact, dimensions))
 
 
 def star_of(cleaned: DataFrame, regions: DataFrame | None = None, tables: tuple[str, ...] = tuple(DIMENSION_KEYS)) -> dict[str, DataFrame]:

@@ -57,9 +57,14 @@ def shared_folder(spark: SparkSession) -> str:
     return _own_folders.setdefault(context.applicationId, tempfile.mkdtemp(prefix="aeroline-"))
 
 
+def work_folder(spark: SparkSession) -> str:
+    """This application's own part of the shared folder."""
+    return f"{shared_folder(spark)}/aeroline/{spark.sparkContext.applicationId}"
+
+
 def work_path(spark: SparkSession, label: str) -> str:
-    """A fresh path under the shared folder."""
-    return f"{shared_folder(spark)}/aeroline/{label}-{uuid.uuid4().hex}"
+    """A fresh path in the work folder."""
+    return f"{work_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
@@ -67,9 +72,19 @@ def staged(df: DataFrame, label: str) -> DataFrame:
 
     Cuts the lineage in a way that survives lost executors, and gives the optimizer the true size: a staged
     dimension is broadcast only if its files are below ``spark.sql.autoBroadcastJoinThreshold``; a larger one is
-    joined by shuffling.
+    joined by shuffling. Jobs drop their work folder at the end, see :func:`clear_work`.
     """
     spark = df.sparkSession
     path = work_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
+
+
+def clear_work(spark: SparkSession) -> None:
+    """Drop what this application has staged; call it when no result is read any more."""
+    remove_path(spark, work_folder(spark))

@@ -192,6 +192,9 @@ def test_quality_checks(spark):
     assert rows(quality.at_least(df, "aqi", 0), "aqi") == [(-2,)]
     dimension = spark.createDataFrame([("a",)], "s STRING")
     assert rows(quality.orphans(df, dimension, "s"), "s") == [("c",), (None,)]
+    keyed = df.selectExpr("CAST(k AS STRING) AS k", "s")
+    numbers = spark.createDataFrame([("1",), ("2",)], "k STRING")
+    assert rows(quality.orphan_counts(keyed, {"s": (dimension, "s"), "k": (numbers, "k")})) == [("k", 0), ("s", 2)]
     summary = quality.count_violations({"u": quality.unique(df, ["k"]), "r": quality.at_least(df, "aqi", -9)})
     assert rows(summary) == [("r", 0), ("u", 1)]
 

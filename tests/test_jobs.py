@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from aeroline import session
-from aeroline.operators import backfill, columns
+from aeroline.operators import backfill, columns, merge
 from aeroline.operators.merge import merge_frames, upsert_table
 from aeroline.plans import files, gold, silver
 from aeroline.plans.job import main, parse_arguments
@@ -147,16 +147,25 @@ def test_upsert_rewrites_only_touched_partitions(spark, tmp_path):
     assert sorted((tmp_path / "table" / "day=2026-01-01").glob("*.parquet")) == untouched
 
 
-def test_repeated_run_finishes_from_its_stage(spark, tmp_path):
-    """A run that died while swapping partitions in must not merge into what is left of the table."""
+def test_repeated_run_finishes_from_its_stage(spark, tmp_path, monkeypatch):
+    """A run that dies while swapping partitions in must not merge into what is left of the table."""
     path, stage = str(tmp_path / "table"), str(tmp_path / "stage")
     first = spark.createDataFrame([(1, "a", 1), (2, "b", 1)], "k INT, v STRING, p INT")
     batch = spark.createDataFrame([(2, "B", 1)], "k INT, v STRING, p INT")
     upsert_table(first, path, ["k", "p"], ["p"])
-    upsert_table(batch, path, ["k", "p"], ["p"], stage=stage)
-    tables.write_partitioned(batch, path, ["p"])  # as if the partition had been lost half-way
-    upsert_table(batch, path, ["k", "p"], ["p"], stage=stage)
-    assert rows(spark.read.parquet(path)) == [(1, "a", 1), (2, "B", 1)]
+
+    def lose_rows_and_die(merged, where, partition_by):
+        tables.write_partitioned(batch, where, partition_by)
+        raise OSError("executor lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(merge, "write_partitioned", lose_rows_and_die)
+        with pytest.raises(OSError):
+            upsert_table(batch, path, ["k", "p"], ["p"], stage=stage)
+    assert spark.read.parquet(path).count() == 1
+    for _ in range(2):
+        upsert_table(batch, path, ["k", "p"], ["p"], stage=stage)
+        assert rows(spark.read.parquet(path)) == [(1, "a", 1), (2, "B", 1)]
 
 
 def test_target_names_and_saved_tables(spark):
