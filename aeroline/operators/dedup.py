@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _RANK = "_rank"
+_HASH = "_key_hash"
 
 
 def total_order(df: DataFrame, first: list[Column], keys: list[str], tie_breakers: list[str] | None = None) -> list[Column]:
@@ -21,10 +22,13 @@ def keep_best(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """The first row of every key.
 
     The filter on the row number lets Spark keep only one row per key and task *before* the shuffle
-    (``WindowGroupLimit``), so a hot key arrives as one row per map task.
+    (``WindowGroupLimit``), so a hot key arrives as one row per map task. The hash in front of the keys leaves the
+    groups as they are, but speeds up sorting: Spark compares the first sort column cheaply, and a date alone would
+    nearly always tie.
     """
-    window = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn(_RANK, F.row_number().over(window)).filter(F.col(_RANK) == 1).drop(_RANK)
+    window = Window.partitionBy(_HASH, *keys).orderBy(*order)
+    hashed = df.withColumn(_HASH, F.xxhash64(*keys))
+    return hashed.withColumn(_RANK, F.row_number().over(window)).filter(F.col(_RANK) == 1).drop(_RANK, _HASH)
 
 
 def mark_losers(df: DataFrame, keys: list[str], order: list[Column], row_id: str, flag: str = "is_loser") -> DataFrame:
@@ -36,14 +40,15 @@ def mark_losers(df: DataFrame, keys: list[str], order: list[Column], row_id: str
     Every window group is small even if one key holds most of the table.
     """
     slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sliced = df.withColumn("_slice", F.pmod(F.xxhash64(row_id), F.lit(slices)).cast("int"))
-    by_slice = Window.partitionBy(*keys, "_slice").orderBy(*order)
+    slice_number = F.pmod(F.xxhash64(row_id), F.lit(slices)).cast("int")
+    sliced = df.withColumns({"_slice": slice_number, _HASH: F.xxhash64(*keys)})
+    by_slice = Window.partitionBy(_HASH, *keys, "_slice").orderBy(*order)
     in_slice = sliced.withColumn("_slice_rank", F.row_number().over(by_slice))
     heat = F.when(F.col("_slice_rank") == 1, F.lit(-1)).otherwise(F.col("_slice"))
-    by_key = Window.partitionBy(*keys, "_heat").orderBy(*order)
+    by_key = Window.partitionBy(_HASH, *keys, "_heat").orderBy(*order)
     ranked = in_slice.withColumn("_heat", heat).withColumn(_RANK, F.row_number().over(by_key))
     lost = (F.col("_slice_rank") > 1) | (F.col(_RANK) > 1)
-    return ranked.withColumn(flag, lost).drop("_slice", "_slice_rank", "_heat", _RANK)
+    return ranked.withColumn(flag, lost).drop("_slice", "_slice_rank", "_heat", _RANK, _HASH)
 
 
 def count_copies(df: DataFrame, name: str = "copies") -> DataFrame:

@@ -356,6 +356,19 @@ def kafka_round_trip(spark, sf_dir):
     return columns.lower_case(messages.from_messages(messages.to_messages(feed_records(raw_readings(spark, sf_dir)))))
 
 
+@query
+def user_event_messages(spark, sf_dir):
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
+    return messages.keyed_messages(events, F.col("user_id").cast("string"))
+
+
+@query
+def transaction_event_messages(spark, sf_dir):
+    price = F.col("o_totalprice").cast("decimal(18,2)").alias("total")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", price)
+    return messages.keyed_messages(orders, F.col("o_custkey").cast("string"))
+
+
 def api_bodies(events: DataFrame) -> DataFrame:
     """One API body per event: a list of readings, an error object, another object, or text that is not JSON."""
     body = F.expr("""

@@ -6,7 +6,7 @@ functions that name it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aeroline.fixed_values import BATCH_RECORDS
@@ -14,11 +14,15 @@ from aeroline.functions.keys import message_key
 from aeroline.schemas import READING
 
 
+def keyed_messages(records: DataFrame, key: Column, columns: list[str] | None = None) -> DataFrame:
+    """Key and JSON value of any event stream; NULL fields are written out."""
+    value = F.to_json(F.struct(*(columns or records.columns)), {"ignoreNullFields": "false"})
+    return records.select(key.alias("key"), value.alias("value"))
+
+
 def to_messages(records: DataFrame) -> DataFrame:
-    """Key and JSON value of every record, NULL fields included."""
-    names = [field.name for field in READING.fields]
-    value = F.to_json(F.struct(*names), {"ignoreNullFields": "false"})
-    return records.select(message_key().alias("key"), value.alias("value"))
+    """Messages of readings, keyed by instrument."""
+    return keyed_messages(records, message_key(), [field.name for field in READING.fields])
 
 
 def from_messages(messages: DataFrame) -> DataFrame:

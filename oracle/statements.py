@@ -210,6 +210,11 @@ STATEMENTS = {
           'IntlAQSCode', intlaqscode) AS VARCHAR) AS value FROM raw""",
     "kafka_round_trip": f"""WITH {RAW} SELECT latitude, longitude, {FEED_TIME} AS utc, parameter, unit, aqi, category, sitename,
         agencyname, fullaqscode, intlaqscode FROM raw""",
+    "user_event_messages": """SELECT CAST(user_id AS VARCHAR) AS key, CAST(json_object('event_id', event_id, 'user_id', user_id,
+        'event_type', event_type, 'value', value) AS VARCHAR) AS value FROM events""",
+    "transaction_event_messages": """SELECT CAST(o_custkey AS VARCHAR) AS key, '{"o_orderkey":' || o_orderkey || ',"o_custkey":'
+        || o_custkey || ',"o_orderstatus":"' || o_orderstatus || '","total":' || CAST(o_totalprice AS DECIMAL(18,2)) || '}' AS value
+        FROM orders""",
     "api_payload_rows": """SELECT event_id, 'Site ' || user_id AS sitename, CAST(floor(value) AS INT) AS aqi FROM events
           WHERE event_type IN ('view', 'click')
         UNION ALL SELECT event_id, 'Next ' || user_id, NULL FROM events WHERE event_type = 'view'""",
