@@ -29,15 +29,16 @@ def upsert_table(batch: DataFrame, path: str, keys: list[str], partition_by: lis
     spark = batch.sparkSession
     if not (stage and path_exists(spark, f"{stage}/_SUCCESS")):
         stage = stage or work_path(spark, "upsert")
-        _stage_merge(batch, path, keys, partition_by).write.mode("overwrite").parquet(stage)
+        batch = staged(batch, "batch")  # used several times below; written once, its plan runs once
+        if path_exists(spark, path) and batch.isEmpty():
+            return
+        _merged_partitions(batch, path, keys, partition_by).write.mode("overwrite").parquet(stage)
     merged = spark.read.schema(batch.schema).parquet(stage)
     write_partitioned(merged, path, partition_by)
     remove_path(spark, stage)
 
 
-def _stage_merge(batch: DataFrame, path: str, keys: list[str], partition_by: list[str]) -> DataFrame:
-    # The batch is used several times below; written once, its plan runs once.
-    batch = staged(batch, "batch")
+def _merged_partitions(batch: DataFrame, path: str, keys: list[str], partition_by: list[str]) -> DataFrame:
     target = read_table(batch.sparkSession, path, like=batch)
     if partition_by:
         # Staged, so that the short list of partitions is broadcast instead of shuffling the target by a hot date.

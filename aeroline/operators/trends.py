@@ -26,15 +26,17 @@ def running_total(df: DataFrame, key: str, bucket: str, order: list[str], value:
 def moving_average(df: DataFrame, keys: list[str], moment: str, value: str, hours: int, name: str = "moving_avg") -> DataFrame:
     """Mean over the trailing ``hours`` (at most 24) up to and including the row's own moment.
 
-    A row also serves as history for the next day, so it is sent to two day groups and counted as an own row in
-    only one of them.
+    Days are separate groups. A row whose range reaches into the next day is also sent there, as history that is not
+    counted as a row of its own.
     """
     if not 0 < hours <= 24:
         raise ValueError("the trailing range must fit into one day")
     day = F.to_date(moment)
-    copies = F.explode(F.array(F.struct(day.alias("day"), F.lit(True).alias("own")),
-                               F.struct(F.date_add(day, 1).alias("day"), F.lit(False).alias("own"))))
-    spread = df.withColumn("_copy", copies).withColumns({"_day": F.col("_copy.day"), "_own": F.col("_copy.own")})
+    own = F.struct(day.alias("day"), F.lit(True).alias("own"))
+    history = F.struct(F.date_add(day, 1).alias("day"), F.lit(False).alias("own"))
+    reaches = F.to_date(F.col(moment) + F.make_dt_interval(hours=F.lit(hours))) > day
+    copies = F.when(reaches, F.array(own, history)).otherwise(F.array(own))
+    spread = df.withColumn("_copy", F.explode(copies)).withColumns({"_day": F.col("_copy.day"), "_own": F.col("_copy.own")})
     partition = ", ".join([*keys, "_day"])
     reach = f"RANGE BETWEEN INTERVAL '{hours * 3600 - 1}' SECOND PRECEDING AND CURRENT ROW"
     averaged = spread.withColumn(name, F.expr(f"avg({value}) OVER (PARTITION BY {partition} ORDER BY {moment} {reach})"))

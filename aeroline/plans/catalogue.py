@@ -507,25 +507,25 @@ def rank_sites(spark, sf_dir):
     return plain(rounded(trends.rank_groups(cleaned, "date", "fullaqscode", "aqi"), "mean_value"))
 
 
-def _site_days(spark, sf_dir, parameter):
-    """Distinct before the set operation: a busy site reaches it as one row per day."""
+def _site_hours(spark, sf_dir, parameter):
+    """Distinct before the set operation: a busy site reaches it as one row per hour."""
     dated = silver.valid_readings(raw_readings(spark, sf_dir)).filter(F.col("parameter") == parameter)
-    return dated.select("date", "fullaqscode").distinct()
+    return dated.select("date", "hour", "fullaqscode").distinct()
 
 
 @query
 def union_sites(spark, sf_dir):
-    return plain(_site_days(spark, sf_dir, "OZONE").union(_site_days(spark, sf_dir, "CO")).distinct())
+    return plain(_site_hours(spark, sf_dir, "OZONE").union(_site_hours(spark, sf_dir, "CO")).distinct())
 
 
 @query
 def intersect_sites(spark, sf_dir):
-    return plain(_site_days(spark, sf_dir, "OZONE").intersect(_site_days(spark, sf_dir, "CO")))
+    return plain(_site_hours(spark, sf_dir, "OZONE").intersect(_site_hours(spark, sf_dir, "CO")))
 
 
 @query
 def except_sites(spark, sf_dir):
-    return plain(_site_days(spark, sf_dir, "OZONE").subtract(_site_days(spark, sf_dir, "CO")))
+    return plain(_site_hours(spark, sf_dir, "OZONE").subtract(_site_hours(spark, sf_dir, "CO")))
 
 
 def _activity(spark, sf_dir):

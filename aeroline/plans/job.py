@@ -13,7 +13,7 @@ from pyspark.sql import SparkSession
 from aeroline.operators.columns import lower_case
 from aeroline.operators.incremental import MODES
 from aeroline.plans.files import Layout, bronze_to_silver, raw_to_bronze, silver_to_gold
-from aeroline.plans.warehouse import Warehouse, update_gold, update_silver, validate
+from aeroline.plans.warehouse import Warehouse, first_open_date, update_gold, update_silver, validate
 from aeroline.session import clear_work, get_or_create_session
 from aeroline.sources.landing import readable
 from aeroline.sources.tables import read_partitions
@@ -50,10 +50,11 @@ def run_canonical(spark: SparkSession, options: argparse.Namespace) -> int:
     first = options.start and f"{options.start} 00:00:00"
     last = options.end and f"{options.end} 23:59:59"
     folder = options.run_id and f"{options.root}/state/runs/{options.run_id}"
+    start = first_open_date(spark, warehouse, options.lookback) if options.mode == "incremental" else options.start
     update_silver(raw, warehouse, None, options.mode, options.lookback, first, last, run_folder=folder)
-    update_gold(spark, warehouse, start=options.start, end=options.end, run_folder=folder)
+    update_gold(spark, warehouse, start=start, end=options.end, run_folder=folder)
 
-    violations = validate(spark, warehouse).filter("violations > 0")
+    violations = validate(spark, warehouse, start, options.end).filter("violations > 0")
     violations.show(truncate=False)
     return violations.count()
 

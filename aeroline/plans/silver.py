@@ -118,5 +118,8 @@ def reject_increment(
     The watermark is that of the quarantine table itself, at full time resolution. Readings without a time cannot be
     compared with it and always pass; the upsert's NULL-safe key keeps them from piling up.
     """
-    fresh = is_new(reading_time(), rejected, F.col("utc"), lookback)
-    return reject_readings(raw.filter(fresh | reading_time().isNull()), row_id, rejected_at)
+    fresh = raw.filter(is_new(reading_time(), rejected, F.col("utc"), lookback) | reading_time().isNull())
+    if "date" in raw.columns:  # a partitioned bronze table: readings without a time are in its default partition
+        first_date = F.to_date(high_watermark(rejected, F.col("utc"), lookback))
+        fresh = fresh.filter((F.col("date") >= first_date) | F.col("date").isNull())
+    return reject_readings(fresh, row_id, rejected_at)

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aeroline.functions.times import reading_time
+from aeroline.functions.times import hour_timestamp, interval, reading_time
 from aeroline.operators import quality
 from aeroline.operators.incremental import in_range
 from aeroline.operators.merge import upsert_table
 from aeroline.operators.spatial import region_table
 from aeroline.plans import gold, silver
 from aeroline.session import staged
-from aeroline.sources.tables import database_for, read_partitions, read_table
+from aeroline.sources.tables import database_for, path_exists, read_partitions, read_table
 
 DIMENSION_KEYS = {
     "dim_site": ["fullaqscode"],
@@ -77,6 +77,20 @@ def _dated(rejected: DataFrame) -> DataFrame:
     return rejected.withColumn("rejected_date", F.coalesce(F.to_date("utc"), F.lit("1900-01-01").cast("date")))
 
 
+def first_open_date(spark: SparkSession, warehouse: Warehouse, lookback: str) -> str | None:
+    """First date the next increment can change: that of the watermark, or of the newest fact if gold lags behind.
+
+    None before the first load. With it, gold and the checks follow the increment instead of the whole history.
+    """
+    cleaned_path = warehouse.path("silver", "cleaned_readings")
+    fact_path = warehouse.path("gold", "fact_air_quality_readings")
+    if not (path_exists(spark, cleaned_path) and path_exists(spark, fact_path)):
+        return None
+    newest = F.max(hour_timestamp()) - interval(lookback)
+    open_dates = [spark.read.parquet(path).agg(F.to_date(newest)).first()[0] for path in (cleaned_path, fact_path)]
+    return None if None in open_dates else str(min(open_dates))
+
+
 def update_gold(
     spark: SparkSession,
     warehouse: Warehouse,
@@ -119,10 +133,10 @@ def _upsert_dimension(warehouse: Warehouse, name: str, rows: DataFrame, run_fold
     upsert_table(rows, warehouse.path("gold", name), DIMENSION_KEYS[name], [], run_folder and f"{run_folder}/{name}")
 
 
-def validate(spark: SparkSession, warehouse: Warehouse) -> DataFrame:
-    """(check_name, violations) of all checks on the stored tables."""
-    cleaned = spark.read.parquet(warehouse.path("silver", "cleaned_readings"))
-    fact = spark.read.parquet(warehouse.path("gold", "fact_air_quality_readings"))
+def validate(spark: SparkSession, warehouse: Warehouse, start: str | None = None, end: str | None = None) -> DataFrame:
+    """(check_name, violations) of all checks on the stored tables, or on a date range of them."""
+    cleaned = read_partitions(spark, warehouse.path("silver", "cleaned_readings"), start, end)
+    fact = read_partitions(spark, warehouse.path("gold", "fact_air_quality_readings"), start, end)
     required = ["date", "hour", "fullaqscode", "parameter", "unit", "aqi", "category", "latitude", "longitude", "concern_level"]
     nulls = quality.not_null(cleaned, required).filter("violations > 0")
     checks = {

@@ -107,8 +107,8 @@ BOXES = ", ".join(f"({i}, {box})" for i, box in enumerate(REQUEST_BOXES))
 POINTS = "points AS (SELECT sitename, latitude, longitude, count(*) AS readings FROM raw GROUP BY ALL)"
 
 FEED_TIME = "strftime(utc, '%Y-%m-%dT%H:%M')"
-SITE_DAYS = """ozone AS (SELECT DISTINCT CAST(date AS VARCHAR) AS date, fullaqscode FROM valid WHERE parameter = 'OZONE'),
-  co AS (SELECT DISTINCT CAST(date AS VARCHAR) AS date, fullaqscode FROM valid WHERE parameter = 'CO')"""
+SITE_HOURS = """ozone AS (SELECT DISTINCT CAST(date AS VARCHAR) AS date, hour, fullaqscode FROM valid WHERE parameter = 'OZONE'),
+  co AS (SELECT DISTINCT CAST(date AS VARCHAR) AS date, hour, fullaqscode FROM valid WHERE parameter = 'CO')"""
 MEMBERS = """activity AS (SELECT user_id AS member_id, count(*) AS events, count(*) FILTER (event_type = 'purchase') AS purchases
     FROM events GROUP BY user_id),
   spending AS (SELECT o_custkey AS member_id, count(*) AS orders,
@@ -249,9 +249,9 @@ STATEMENTS = {
         SELECT CAST(date AS VARCHAR) AS date, fullaqscode, round(m, 6) AS mean_value,
           CAST(rank() OVER (PARTITION BY date ORDER BY m DESC) AS INT) AS position,
           CAST(dense_rank() OVER (PARTITION BY date ORDER BY m DESC) AS INT) AS dense_position FROM means""",
-    "union_sites": f"WITH {RAW}, {valid('raw')}, {SITE_DAYS} SELECT * FROM ozone UNION SELECT * FROM co",
-    "intersect_sites": f"WITH {RAW}, {valid('raw')}, {SITE_DAYS} SELECT * FROM ozone INTERSECT SELECT * FROM co",
-    "except_sites": f"WITH {RAW}, {valid('raw')}, {SITE_DAYS} SELECT * FROM ozone EXCEPT SELECT * FROM co",
+    "union_sites": f"WITH {RAW}, {valid('raw')}, {SITE_HOURS} SELECT * FROM ozone UNION SELECT * FROM co",
+    "intersect_sites": f"WITH {RAW}, {valid('raw')}, {SITE_HOURS} SELECT * FROM ozone INTERSECT SELECT * FROM co",
+    "except_sites": f"WITH {RAW}, {valid('raw')}, {SITE_HOURS} SELECT * FROM ozone EXCEPT SELECT * FROM co",
     "activity_join_inner": f"WITH {MEMBERS} SELECT * FROM activity JOIN spending USING (member_id)",
     "activity_join_left": f"WITH {MEMBERS} SELECT * FROM activity LEFT JOIN spending USING (member_id)",
     "activity_join_anti": f"WITH {MEMBERS} SELECT * FROM spending WHERE member_id NOT IN (SELECT member_id FROM activity)",

@@ -255,6 +255,43 @@ def test_increments_add_up_to_a_full_load_and_reruns_change_nothing(spark, tmp_p
     assert validate(spark, warehouse).filter("violations > 0").count() == 0
 
 
+def scanned(df):
+    """Folder name and numbers of files and partitions read of every scan, after running the query."""
+    df.collect()
+    found = []
+
+    def walk(node):
+        name = node.nodeName()
+        if name.startswith("Scan"):
+            metrics = node.metrics()
+            count = {key: metrics.apply(key).value() for key in ("numFiles", "numPartitions") if metrics.contains(key)}
+            found.append((node.relation().location().rootPaths().head().getName(), count))
+        children = node.children()
+        for i in range(children.size()):
+            walk(children.apply(i))
+        if name == "AdaptiveSparkPlan":
+            walk(node.executedPlan())
+        elif name.endswith("QueryStage"):
+            walk(node.plan())
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return found
+
+
+def test_increments_read_only_the_folders_they_need(spark, tmp_path):
+    cleaned = silver.clean_readings(raw_readings(spark, SF_DIR), ["event_id"])
+    tables.write_partitioned(cleaned, str(tmp_path / "stored"), ["date"])
+    stored = spark.read.parquet(str(tmp_path / "stored"))
+    batch = session.staged(stored.filter("date = '2024-01-20'"), "batch")
+
+    merged = merge._merged_partitions(batch, str(tmp_path / "stored"), silver.CLEANED_KEYS, ["date"])
+    assert ("stored", {"numFiles": 1, "numPartitions": 1}) in scanned(merged)
+    facts = gold.new_fact_rows(gold.fact_readings_direct(batch), gold.fact_readings_direct(stored), batch)
+    assert ("stored", {"numFiles": 1, "numPartitions": 1}) in scanned(facts)
+    bronze = stored.withColumns({"utc": F.col("date").cast("timestamp_ntz") + F.make_dt_interval(hours=F.col("hour")), "intlaqscode": F.lit("x")})
+    assert scanned(silver.clean_increment(bronze, stored)) == [("stored", {"numFiles": 1, "numPartitions": 1})]
+
+
 def test_job_end_to_end(spark, tmp_path, readings):
     root = str(tmp_path)
     layout = files.Layout(root)
