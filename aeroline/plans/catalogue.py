@@ -20,6 +20,7 @@ from aeroline.plans.warehouse import KEY_COLUMNS, Warehouse, star_of, update_gol
 from aeroline.session import staged, work_path
 from aeroline.sources import landing, messages, progress, tables
 from aeroline.sources.event_readings import events_path, feed_records, hourly_stamped, raw_readings, to_readings
+from aeroline.streaming.joins import join_windows, windowed_counts, write_closed_windows
 from aeroline.streaming.landing import landing_to_bronze, records_to_landing
 from aeroline.streaming.silver import readings_to_silver
 
@@ -484,6 +485,28 @@ def stream_silver_upsert(spark, sf_dir):
     return plain(spark.read.parquet(f"{folder}/silver").select(*silver.CLEANED_COLUMNS))
 
 
+def _stream_join(spark, sf_dir, how):
+    """Views and purchases per user and day, joined as streams; days the watermark has closed."""
+    def daily(kind, name):
+        events = _event_stream(spark, sf_dir).filter(F.col("event_type") == kind)
+        return windowed_counts(events, "user_id", "ts", "1 day", "1 hour", name)
+
+    folder = work_path(spark, "stream")
+    joined = join_windows(daily("view", "views"), daily("purchase", "purchases"), "user_id", how)
+    write_closed_windows(joined, f"{folder}/joined", f"{folder}/checkpoint").awaitTermination()
+    return plain(spark.read.parquet(f"{folder}/joined"))
+
+
+@query
+def stream_join_inner(spark, sf_dir):
+    return _stream_join(spark, sf_dir, "inner")
+
+
+@query
+def stream_join_left(spark, sf_dir):
+    return _stream_join(spark, sf_dir, "left")
+
+
 # --- trends, sets, joins, columns -----------------------------------------------------------------------------------
 
 

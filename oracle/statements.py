@@ -125,7 +125,22 @@ TRUNCATED = "strftime({}, '%Y-%m-%dT%H:%M')"
 CALENDAR_NAMES = """CASE dayofweek(date) WHEN 0 THEN 'Sunday' WHEN 1 THEN 'Monday' WHEN 2 THEN 'Tuesday' WHEN 3 THEN 'Wednesday'
   WHEN 4 THEN 'Thursday' WHEN 5 THEN 'Friday' WHEN 6 THEN 'Saturday' END"""
 
+DAILY = """daily AS (SELECT user_id, event_type, date_trunc('day', ts) AS day, count(*) AS n FROM events GROUP BY ALL),
+  closed AS (SELECT least(max(ts) FILTER (event_type = 'view'), max(ts) FILTER (event_type = 'purchase')) - INTERVAL 1 HOUR AS t
+    FROM events),
+  views AS (SELECT * FROM daily WHERE event_type = 'view' AND day + INTERVAL 1 DAY <= (SELECT t FROM closed)),
+  purchases AS (SELECT * FROM daily WHERE event_type = 'purchase')"""
+
+
+def stream_join(how: str) -> str:
+    return f"""WITH {DAILY} SELECT v.user_id, v.n AS views, p.n AS purchases, strftime(v.day, '%Y-%m-%d %H:%M:%S') AS window_start,
+        strftime(v.day + INTERVAL 1 DAY, '%Y-%m-%d %H:%M:%S') AS window_end
+        FROM views v {how} JOIN purchases p ON v.user_id = p.user_id AND v.day = p.day"""
+
+
 STATEMENTS = {
+    "stream_join_inner": stream_join("INNER"),
+    "stream_join_left": stream_join("LEFT"),
     "cleaned_readings": f"WITH {RAW}, {cleaned()} SELECT {CLEANED_COLUMNS} FROM cleaned",
     "stream_silver_upsert": f"WITH {RAW}, {cleaned()} SELECT {CLEANED_COLUMNS} FROM cleaned",
     "cleaned_spark_variant": f"""WITH {BRONZE} SELECT latitude, longitude, parameter, unit, aqi, category, sitename, agencyname,
