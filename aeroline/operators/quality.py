@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -62,6 +62,12 @@ def count_violations(checks: dict[str, DataFrame]) -> DataFrame:
     return result
 
 
+def failing_rows(df: DataFrame, conditions: dict[str, Column]) -> DataFrame:
+    """(check_name, violations) of any number of row conditions in one scan; a row fails where its condition is true."""
+    counts = df.agg(*[F.count_if(condition).alias(name) for name, condition in conditions.items()])
+    return counts.unpivot([], list(conditions), "check_name", "violations")
+
+
 def schema_differences(df: DataFrame, expected: T.StructType) -> list[tuple[str, str, str]]:
     """(column, expected type, found type) for every column that differs; needs no data."""
     found = {field.name: field.dataType.simpleString() for field in df.schema.fields}

@@ -318,6 +318,14 @@ def dq_range(spark, sf_dir):
     return quality.at_least(raw_readings(spark, sf_dir), "aqi", 0).select("event_id", "aqi")
 
 
+@query
+def dq_orphan_rows(spark, sf_dir):
+    raw = raw_readings(spark, sf_dir)
+    dates = staged(gold.dim_date(silver.valid_readings(loaded_earlier(raw))), "dim_date")
+    fact = gold.fact_readings_direct(silver.clean_readings(raw, TIE))
+    return plain(quality.orphans(fact, dates, "date_key").select("fact_id", "date_key", "date", "hour", "aqi"))
+
+
 @query
 def dq_orphans(spark, sf_dir):
     """Facts of all days against dimensions that stop before the last day."""

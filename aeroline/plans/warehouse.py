@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+from functools import partial, reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from aeroline.fixed_values import CONCERN_LEVELS
 from aeroline.functions.times import hour_timestamp, interval, reading_time
 from aeroline.operators import quality
 from aeroline.operators.incremental import in_range
 from aeroline.operators.merge import upsert_table
 from aeroline.operators.spatial import region_table
 from aeroline.plans import gold, silver
-from aeroline.session import staged
+from aeroline.session import at_once, staged
 from aeroline.sources.tables import database_for, path_exists, read_partitions, read_table
 
 DIMENSION_KEYS = {
@@ -112,13 +115,18 @@ def update_gold(
         "dim_category": gold.dim_category(cleaned),
         "dim_date": gold.dim_date(cleaned),
         "dim_hour": gold.dim_hour(cleaned),
+        "dim_site": gold.dim_site(cleaned, regions),
     }
-    for name, rows in members.items():
+
+    def insert_new(name: str, rows: DataFrame) -> None:
         known = read_table(spark, warehouse.path("gold", name), like=rows)
-        _upsert_dimension(warehouse, name, gold.new_dimension_rows(rows, known, DIMENSION_KEYS[name]), run_folder)
-    sites = gold.dim_site(cleaned, regions)
-    known = read_table(spark, warehouse.path("gold", "dim_site"), like=sites)
-    _upsert_dimension(warehouse, "dim_site", gold.new_sites(cleaned, known, regions), run_folder)
+        if name == "dim_site":
+            new = gold.new_sites(cleaned, known, regions)
+        else:
+            new = gold.new_dimension_rows(rows, known, DIMENSION_KEYS[name])
+        upsert_table(new, warehouse.path("gold", name), DIMENSION_KEYS[name], [], run_folder and f"{run_folder}/{name}")
+
+    at_once([partial(insert_new, name, rows) for name, rows in members.items()])
 
     table = {name: spark.read.parquet(warehouse.path("gold", name)) for name in DIMENSION_KEYS}
     candidates = gold.fact_readings(
@@ -129,31 +137,30 @@ def update_gold(
     upsert_table(new, fact_path, ["date", *gold.FACT_KEYS], ["date"], run_folder and f"{run_folder}/fact")
 
 
-def _upsert_dimension(warehouse: Warehouse, name: str, rows: DataFrame, run_folder: str | None) -> None:
-    upsert_table(rows, warehouse.path("gold", name), DIMENSION_KEYS[name], [], run_folder and f"{run_folder}/{name}")
-
-
 def validate(spark: SparkSession, warehouse: Warehouse, start: str | None = None, end: str | None = None) -> DataFrame:
     """(check_name, violations) of all checks on the stored tables, or on a date range of them."""
     cleaned = read_partitions(spark, warehouse.path("silver", "cleaned_readings"), start, end)
     fact = read_partitions(spark, warehouse.path("gold", "fact_air_quality_readings"), start, end)
     required = ["date", "hour", "fullaqscode", "parameter", "unit", "aqi", "category", "latitude", "longitude", "concern_level"]
-    nulls = quality.not_null(cleaned, required).filter("violations > 0")
-    checks = {
-        "cleaned_not_null": nulls,
+    cleaned_rows = {f"cleaned_{name}_not_null": F.col(name).isNull() for name in required}
+    cleaned_rows["cleaned_category_values"] = ~F.col("category").isin(list(CONCERN_LEVELS))
+    cleaned_rows["cleaned_aqi_range"] = F.col("aqi") < 0
+    fact_rows = {f"fact_{name}_not_null": F.col(name).isNull() for name in [*gold.FACT_KEYS, "aqi"]}
+    duplicates = {
         "cleaned_unique": quality.unique(cleaned, silver.CLEANED_KEYS),
-        "cleaned_category": quality.accepted_values(cleaned, "category", [1, 2, 3, 4, 5, 6]),
-        "cleaned_aqi_range": quality.at_least(cleaned, "aqi", 0),
-        "fact_not_null": quality.not_null(fact, [*gold.FACT_KEYS, "aqi"]).filter("violations > 0"),
         "fact_unique": quality.unique(fact, gold.FACT_KEYS),
     }
+    results = [quality.failing_rows(cleaned, cleaned_rows), quality.failing_rows(fact, fact_rows)]
     dimensions = {}
     for name, key in KEY_COLUMNS.items():
         dimension = spark.read.parquet(warehouse.path("gold", name))
         dimensions[f"fact_{name}"] = (dimension, key)
-        checks[f"{name}_unique"] = quality.unique(dimension, [key])
-        checks[f"{name}_not_null"] = quality.not_null(dimension, [key]).filter("violations > 0")
-    return quality.count_violations(checks).unionByName(quality.orphan_counts(fact, dimensions))
+        columns = [key, *DIMENSION_KEYS[name]]
+        results.append(quality.failing_rows(dimension, {f"{name}_{column}_not_null": F.col(column).isNull() for column in columns}))
+        duplicates[f"{name}_key_unique"] = quality.unique(dimension, [key])
+        duplicates[f"{name}_unique"] = quality.unique(dimension, DIMENSION_KEYS[name])
+    results += [quality.count_violations(duplicates), quality.orphan_counts(fact, dimensions)]
+    return reduce(DataFrame.unionByName, results)
 
 
 def star_of(cleaned: DataFrame, regions: DataFrame | None = None, tables: tuple[str, ...] = tuple(DIMENSION_KEYS)) -> dict[str, DataFrame]:
@@ -169,4 +176,5 @@ def star_of(cleaned: DataFrame, regions: DataFrame | None = None, tables: tuple[
         "dim_date": lambda: gold.dim_date(cleaned),
         "dim_hour": lambda: gold.dim_hour(cleaned),
     }
-    return {"cleaned": cleaned, **{name: staged(builders[name](), name) for name in tables}}
+    dimensions = at_once([partial(staged, builders[name](), name) for name in tables])
+    return {"cleaned": cleaned, **dict(zip(tables, dimensions))}

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -80,6 +82,12 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def at_once(actions: list[Callable[[], object]]) -> list:
+    """Run independent small jobs concurrently, so the cluster is not idle between them; the first error is raised."""
+    with ThreadPoolExecutor(max_workers=max(1, len(actions))) as pool:
+        return [future.result() for future in [pool.submit(action) for action in actions]]
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
     location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)

@@ -210,6 +210,9 @@ STATEMENTS = {
         count(*) AS occurrences FROM valid GROUP BY ALL HAVING count(*) > 1""",
     "dq_accepted_values": f"WITH {RAW} SELECT event_id, category FROM raw WHERE category NOT IN (1, 2, 3, 4, 5, 6)",
     "dq_range": f"WITH {RAW} SELECT event_id, aqi FROM raw WHERE aqi < 0",
+    "dq_orphan_rows": f"""{STAR}, {CUTOFF}, {EARLIER}, {valid('earlier', 'old')} SELECT f.fact_id, f.date_key,
+        CAST(f.date AS VARCHAR) AS date, f.hour, f.aqi FROM fact f
+        LEFT JOIN (SELECT DISTINCT date FROM old) d ON f.date = d.date WHERE d.date IS NULL""",
     "dq_orphans": f"{STAR}, {CUTOFF}, {EARLIER}, {cleaned('earlier', 'old')} " + " UNION ALL ".join(
         f"""SELECT '{name}' AS check_name, count(*) AS violations FROM fact
             WHERE {column} NOT IN (SELECT {key(*members)} FROM old)"""

@@ -11,6 +11,7 @@ from aeroline.operators import quality, series, spatial, trends
 from aeroline.operators.incremental import new_members
 from aeroline.plans import files, gold, silver
 from aeroline.plans.warehouse import star_of
+from aeroline.sources.event_readings import raw_readings
 from tests.conftest import rows, same
 
 
@@ -92,6 +93,28 @@ def test_fact_by_joins_equals_fact_by_keys_and_leaves_out_missing_units(readings
     assert first.fact_id == md5("-".join(md5(part) for part in parts))
 
 
+def test_results_do_not_depend_on_broadcasting(spark):
+    """Beyond the size bound every join is a shuffle join; the results are the same."""
+    cleaned = silver.clean_readings(raw_readings(spark, "/root/testdata/sf0.001"), ["event_id"])
+
+    def build():
+        tables = star_of(cleaned)
+        fact = gold.fact_readings(tables["cleaned"], tables["dim_site"], tables["dim_parameter"], tables["dim_category"],
+                                  tables["dim_date"], tables["dim_hour"])
+        return fact, tables["dim_site"]
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fact, sites = build()
+        assert "Broadcast" not in fact._jdf.queryExecution().executedPlan().toString()
+        shuffled, shuffled_sites = rows(fact), rows(sites)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    fact, sites = build()
+    assert "BroadcastHashJoin" in fact._jdf.queryExecution().executedPlan().toString()
+    assert (rows(fact), rows(sites)) == (shuffled, shuffled_sites)
+
+
 def test_new_facts_are_insert_only(readings):
     known = gold.fact_readings_direct(star(readings, {}))
     same_category = gold.fact_readings_direct(star(readings, {"aqi": 40}))
@@ -199,6 +222,12 @@ def test_quality_checks(spark):
     assert rows(summary) == [("r", 0), ("u", 1)]
 
 
+def test_row_conditions_in_one_scan(spark):
+    df = spark.createDataFrame([(1, None), (None, 2), (-5, 3)], "a INT, b INT")
+    found = quality.failing_rows(df, {"a_null": F.col("a").isNull(), "a_low": F.col("a") < 0, "b_null": F.col("b").isNull()})
+    assert rows(found) == [("a_low", 1), ("a_null", 1), ("b_null", 1)]
+
+
 def test_schema_differences(spark):
     df = spark.createDataFrame([(1, "a")], "k INT, s STRING")
     wanted = spark.createDataFrame([(1, "a")], "k BIGINT, t STRING").schema

@@ -1,10 +1,12 @@
 """Cleaning and quarantine rules on hand-made readings."""
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from aeroline.functions.times import hour_timestamp
-from aeroline.operators.dedup import count_copies, mark_losers
+from aeroline.operators.dedup import count_copies, keep_best, mark_losers
 from aeroline.operators.incremental import high_watermark, late_row_count
 from aeroline.plans import silver
 from aeroline.sources.event_readings import hourly_stamped, raw_readings
@@ -95,6 +97,20 @@ def test_hot_key_is_ranked_in_slices(spark):
     assert marked.filter("NOT is_loser").count() == 2001
 
 
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.integers(0, 3)), min_size=1, max_size=40))
+def test_survivors_and_losers_equal_brute_force(spark, pairs):
+    df = spark.createDataFrame([(i, key, aqi) for i, (key, aqi) in enumerate(pairs)], "event_id INT, k STRING, aqi INT")
+    best = {}
+    for i, (key, aqi) in enumerate(pairs):
+        if key not in best or aqi > pairs[best[key]][1]:
+            best[key] = i
+    order = [F.col("aqi").desc(), F.col("event_id")]
+    assert ids(keep_best(df, ["k"], order)) == sorted(best.values())
+    losers = mark_losers(df, ["k"], order, "event_id").filter("is_loser")
+    assert ids(losers) == sorted(set(range(len(pairs))) - set(best.values()))
+
+
 def test_copies_are_collapsed_with_their_count(spark):
     df = spark.range(10).selectExpr("id % 2 AS a", "'x' AS b")
     assert rows(count_copies(df)) == [(0, "x", 5), (1, "x", 5)]
