@@ -28,13 +28,17 @@ def upsert_table(batch: DataFrame, path: str, keys: list[str], partition_by: lis
     """
     spark = batch.sparkSession
     if not (stage and path_exists(spark, f"{stage}/_SUCCESS")):
-        stage = stage or work_path(spark, "upsert")
         batch = staged(batch, "batch")  # used several times below; written once, its plan runs once
-        if path_exists(spark, path) and batch.isEmpty():
+        is_first = not path_exists(spark, path)
+        if is_first and not stage:
+            write_partitioned(batch, path, partition_by)
+            return
+        if batch.isEmpty() and not is_first:
             return
-        _merged_partitions(batch, path, keys, partition_by).write.mode("overwrite").parquet(stage)
-    merged = spark.read.schema(batch.schema).parquet(stage)
-    write_partitioned(merged, path, partition_by)
+        stage = stage or work_path(spark, "upsert")
+        merged = batch if is_first else _merged_partitions(batch, path, keys, partition_by)
+        merged.write.mode("overwrite").parquet(stage)
+    write_partitioned(spark.read.schema(batch.schema).parquet(stage), path, partition_by)
     remove_path(spark, stage)
 
 
