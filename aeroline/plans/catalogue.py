@@ -20,7 +20,7 @@ from aeroline.plans.warehouse import KEY_COLUMNS, Warehouse, star_of, update_gol
 from aeroline.session import staged, work_path
 from aeroline.sources import landing, messages, progress, tables
 from aeroline.sources.event_readings import events_path, feed_records, hourly_stamped, raw_readings, to_readings
-from aeroline.streaming.joins import join_windows, windowed_counts, write_closed_windows
+from aeroline.streaming.joins import join_windows, windowed_counts, with_state_partitions, write_closed_windows
 from aeroline.streaming.landing import landing_to_bronze, records_to_landing
 from aeroline.streaming.silver import readings_to_silver
 
@@ -495,8 +495,10 @@ def stream_silver_upsert(spark, sf_dir):
 
 def _stream_join(spark, sf_dir, how):
     """Views and purchases per user and day, joined as streams; days the watermark has closed."""
+    session = with_state_partitions(spark, spark.sparkContext.defaultParallelism)
+
     def daily(kind, name):
-        events = _event_stream(spark, sf_dir).filter(F.col("event_type") == kind)
+        events = _event_stream(session, sf_dir).filter(F.col("event_type") == kind)
         return windowed_counts(events, "user_id", "ts", "1 day", "1 hour", name)
 
     folder = work_path(spark, "stream")
@@ -614,7 +616,7 @@ def bucketed_join(spark, sf_dir):
     cents = F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double")
     lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(cents.alias("gross"), F.count(F.lit(1)).alias("lines"))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = spark.sparkContext.defaultParallelism
     folder = work_path(spark, "bucketed")
     name = folder.rsplit("-", 1)[-1]
     bucketed_lines = tables.write_bucketed(lines, f"lines_{name}", f"{folder}/lines", buckets, "l_orderkey")

@@ -7,11 +7,20 @@ closed windows are joined, which makes the result final (append mode).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 
+def with_state_partitions(spark: SparkSession, partitions: int) -> SparkSession:
+    """A session of its own for a stateful query: the number of state partitions is fixed by its first batch, so it
+    should follow the cluster and the expected state, not whatever batch queries in the same session use."""
+    session = spark.newSession()
+    session.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    session.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    return session
+
+
 def windowed_counts(events: DataFrame, key: str, moment: str, window: str, delay: str, name: str) -> DataFrame:
     """Events per key and tumbling window; watermarks need a timestamp with a zone, here the session's."""
     watched = events.withColumn(moment, F.col(moment).cast("timestamp")).withWatermark(moment, delay)
