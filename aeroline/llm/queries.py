@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aeroline.llm import ann, bpe, codes, langid, mixing, simhash
+from aeroline.llm import ann, bpe, codes, langid, mixing, repeats, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,6 +49,11 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op9_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = repeats.without_repeats(_table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_binary_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = codes.sign_codes(_table(spark, sf_dir, "embeddings"))
     found = codes.search(rows, rows.where("id % 50 = 0"))
@@ -61,5 +66,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_bpe": op4_bpe,
     "op7_mixing": op7_mixing,
     "op8_language": op8_language,
+    "op9_suffix_arrays": op9_suffix_arrays,
     "op10_binary_topk": op10_binary_topk,
 }
