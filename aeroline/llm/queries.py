@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aeroline.llm import ann, bpe, codes, langid, mixing, repeats, simhash
+from aeroline.llm import ann, bpe, codes, langid, licenses, mixing, quality, repeats, simhash, wrappers
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,10 @@ def op1_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
 
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf_dir, "documents"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
@@ -37,6 +41,14 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op5_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.main_text(_table(spark, sf_dir, "pages"))
+
+
+def op6_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(_table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -62,8 +74,11 @@ def op10_binary_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_kmeans_tree": op1_kmeans_tree,
+    "op2_licenses": op2_licenses,
     "op3_simhash": op3_simhash,
     "op4_bpe": op4_bpe,
+    "op5_wrappers": op5_wrappers,
+    "op6_cotraining": op6_cotraining,
     "op7_mixing": op7_mixing,
     "op8_language": op8_language,
     "op9_suffix_arrays": op9_suffix_arrays,
