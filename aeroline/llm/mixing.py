@@ -82,3 +82,15 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = MOST)
     out = rows.join(own, F.col("source").eqNullSafe(F.col("of")))
     times = F.col("rounds") + F.when(chosen, 1).otherwise(0)
     return out.select("doc_id", "size", "source", "source_size", "target", times.alias("times"), (F.col("size") * times).alias("taken"))
+
+
+def repeated(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = MOST) -> DataFrame:
+    """The rows of ``docs``, each as often as the mix takes it, with all their columns.
+
+    How often is decided by source and doc_id alone, so rows that share both are taken alike.
+    """
+    times = mix(docs, weights, most).where("times > 0").select(
+        F.col("source").alias("mix_source"), F.col("doc_id").alias("mix_id"), "times").distinct()
+    own = docs.select(F.struct(*docs.columns).alias("doc"))
+    joined = own.join(times, F.col("doc.doc_id").eqNullSafe(F.col("mix_id")) & F.col("doc.source").eqNullSafe(F.col("mix_source")))
+    return joined.select("doc", F.explode(F.sequence(F.lit(1).cast("long"), "times"))).select("doc.*")

@@ -291,6 +291,8 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def removed_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """``doc``, ``mark``, ``lo``, ``hi``: spans of bytes to remove, overlapping, of ``docs`` (``doc``, ``text``)."""
+    if not 0 < gram <= window or window - gram > 127:
+        raise ValueError("an anchor lies in a window, which is at most 127 bytes longer")
     spark = docs.sparkSession
     rows = docs.select("doc", "text")
     schema = "route long, anchor long, context long, doc long, loc long"
@@ -317,6 +319,22 @@ def removed_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Da
         classes.where(F.col("kind") == REMOVED).select(*span)).union(merged)
 
 
+def _kept(data: bytes, spans: list[tuple[int, int]]) -> tuple[int, int, bytes]:
+    """Bytes removed, runs of them, and what stays."""
+    pieces, removed, runs, end = [], 0, 0, 0
+    for lo, hi in sorted(spans):
+        if lo > end or not runs:
+            pieces.append(data[end:lo])
+            runs += 1
+            removed += hi - lo
+            end = hi
+        elif hi > end:
+            removed += hi - end
+            end = hi
+    pieces.append(data[end:])
+    return removed, runs, b"".join(pieces)
+
+
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, 500):
@@ -324,18 +342,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for text, spans in zip(part.column(1), part.column(2)):
                 data = text.as_py().encode()
                 own = _text_mark(data)
-                pieces, removed, runs, end = [], 0, 0, 0
-                for x in sorted((s["lo"], s["hi"]) for s in spans.as_py() or [] if s["mark"] == own):
-                    if x[0] > end or not runs:
-                        pieces.append(data[end:x[0]])
-                        runs += 1
-                        removed += x[1] - x[0]
-                        end = x[1]
-                    elif x[1] > end:
-                        removed += x[1] - end
-                        end = x[1]
-                pieces.append(data[end:])
-                out.append((len(data), removed, runs, b"".join(pieces)))
+                out.append((len(data), *_kept(data, [(s["lo"], s["hi"]) for s in spans.as_py() or [] if s["mark"] == own])))
             columns = list(zip(*out))
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), *(pa.array(c, pa.int64()) for c in columns[:3]), pa.array(columns[3], pa.binary())],
@@ -350,10 +357,30 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
     doc_id comes after all others. Rows that share a doc_id come in the order of a hash of their text; rows that are
     equal as a whole count as one document and get the same result. Other columns are left behind.
     """
-    if not 2 * gram <= window + 1 or window - gram > 127:
-        raise ValueError("the anchor has to be at most half a window, and the window at most 127 bytes longer")
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     spans = removed_spans(rows, window, gram).groupBy("doc").agg(F.collect_list(F.struct("mark", "lo", "hi")).alias("spans"))
     out = rows.join(spans, "doc", "left").select("doc", "text", "spans").mapInArrow(
         _cut, "doc long, n_bytes long, n_removed long, n_spans long, kept binary")
     return out.select(F.when(F.col("doc") != NO_ID, F.col("doc")).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept")
+
+
+def cut_texts(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+    """``docs`` with ``text`` cut as in :func:`without_repeats`, and all other columns as they are.
+
+    What is left of a character that a cut goes through is dropped. A null text stays null.
+    """
+    doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
+    spans = removed_spans(docs.select(doc.alias("doc"), F.coalesce(F.col("text"), F.lit("")).alias("text")), window, gram)
+    known = spans.groupBy("doc").agg(F.collect_list(F.struct("mark", "lo", "hi")).alias("spans"))
+
+    @F.udf("string", useArrow=True)
+    def cut(text: str | None, spans: list | None) -> str | None:
+        if text is None or not spans:
+            return text
+        data = text.encode()
+        own = _text_mark(data)
+        return _kept(data, [(s["lo"], s["hi"]) for s in spans if s["mark"] == own])[2].decode(errors="ignore")
+
+    whole = docs.select(F.struct(*docs.columns).alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"))
+    joined = whole.join(known, "doc", "left")
+    return joined.select(*[cut("row.text", "spans").alias("text") if c == "text" else F.col(f"row.{c}").alias(c) for c in docs.columns])
