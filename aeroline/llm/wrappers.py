@@ -32,6 +32,7 @@ AROUND_WORDS = frozenset("""ad ads advert adverts advertisement advertising bann
 notices alert nav navbar navigation menu breadcrumb breadcrumbs sidebar sidebars widget widgets footer masthead comment comments commentlist discussion disqus respond
 replies related recommended share sharing social newsletter subscribe subscription signup popup modal overlay login pagination pager toolbar skip search hidden""".split())
 AROUND_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar".split())
+BOXES = frozenset(["div", "section"])
 #: Pages of a host from which on text that never varies counts as part of the template, and its greatest share of the main text.
 PAGES, FIXED_SHARE = 3, 0.3
 _MOST_TEXT = 0.6
@@ -224,12 +225,13 @@ def main_path(wrapper: list) -> tuple[tuple[str, ...], list]:
         path, nodes = (*path, best[0]), best[2]
 
 
-def _fixed(nodes: list) -> Iterator[str]:
+def _fixed(nodes: list, box: bool = False) -> Iterator[str]:
+    """Lines that all pages have in a box of their own; headings and paragraphs of the text itself are not meant."""
     for sign, kind, children, _, text in nodes:
-        if sign == "#" and text is not None and kind == "1":
+        if sign == "#" and text is not None and kind == "1" and box:
             yield text
         elif kind == "1":
-            yield from _fixed(children)
+            yield from _fixed(children, box or sign.split(".")[0] in BOXES)
 
 
 def rules(wrapper: list, pages: int) -> dict:
