@@ -3,6 +3,8 @@
 import pytest
 
 import __spark_entry__ as contract
+from aeroline.plans.catalogue import QUERIES
+from oracle.statements import STATEMENTS
 from tests.conftest import SF_DIR
 from tests.oracle_check import compare, connect
 
@@ -14,14 +16,15 @@ def connection():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(set(contract.queries()) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - SLOW))
 def test_query_equals_sql(spark, connection, name):
-    problem, _, _ = compare(spark, connection, name, contract.queries()[name], contract.oracle_sql()[name], SF_DIR)
+    problem, _, _ = compare(spark, connection, name, QUERIES[name], STATEMENTS[name], SF_DIR)
     assert problem is None
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(STATEMENTS)
+    assert set(QUERIES) <= set(contract.queries()) and set(contract.oracle_sql()) <= set(contract.queries())
 
 
 def test_flagship_query(spark):
