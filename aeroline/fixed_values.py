@@ -64,9 +64,6 @@ BEGINNING_OF_TIME = "1900-01-01 00:00:00"
 BACKFILL_TARGET = "2019-09-01T00:00"
 BACKFILL_WEEKS = 2
 
-# Records per ingest batch.
-BATCH_RECORDS = 25000
-
 # Time zone of the local-time series.
 LOCAL_TIME_ZONE = "US/Eastern"
 

@@ -46,9 +46,13 @@ def backfill_windows(state: DataFrame, target: str = BACKFILL_TARGET) -> DataFra
 def coverage_gaps(readings: DataFrame, key: str = "parameter") -> DataFrame:
     """Hours without any reading between the first and last hour of every key.
 
-    Readings are reduced to distinct (key, hour) first; the spine is one sequence per key, not a cross join.
+    Readings are reduced to distinct (key, hour) first. The spine is a sequence of days per key, each dealt on as a row
+    and then taken apart into hours, so one stray time makes a row per day and not one huge array of hours.
     """
     present = readings.select(key, event_hour().alias("gap_hour")).distinct()
     ends = present.groupBy(key).agg(F.min("gap_hour").alias("low"), F.max("gap_hour").alias("high"))
-    spine = ends.select(key, F.explode(F.sequence("low", "high", interval("1 HOUR"))).alias("gap_hour"))
+    days = ends.select(key, "low", "high", F.explode(F.sequence(F.to_date("low"), F.to_date("high"))).alias("day"))
+    hours = F.transform(F.sequence(F.lit(0), F.lit(23)), lambda h: F.col("day").cast("timestamp_ntz") + F.make_dt_interval(hours=h))
+    spine = days.select(key, "low", "high", F.explode(hours).alias("gap_hour")).filter(F.col("gap_hour").between(F.col("low"), F.col("high")))
+    spine = spine.select(key, "gap_hour")
     return spine.join(present, [key, "gap_hour"], "left_anti")

@@ -48,7 +48,7 @@ def late_row_count(batch: DataFrame, target: DataFrame, target_hour: Column, loo
 
 
 def partition_inventory(df: DataFrame, columns: tuple[str, ...] = ("date", "hour")) -> DataFrame:
-    """Partitions present in a table. On partition columns this reads file metadata only."""
+    """Partitions present in a table. Only the partition columns are read, one row per record, reduced before the shuffle."""
     return df.select(*columns).distinct()
 
 

@@ -24,23 +24,21 @@ def running_total(df: DataFrame, key: str, bucket: str, order: list[str], value:
 
 
 def moving_average(df: DataFrame, keys: list[str], moment: str, value: str, hours: int, name: str = "moving_avg") -> DataFrame:
-    """Mean over the trailing ``hours`` (at most 24) up to and including the row's own moment.
+    """Mean over the trailing ``hours`` up to and including the row's own moment.
 
-    Days are separate groups. A row whose range reaches into the next day is also sent there, as history that is not
-    counted as a row of its own.
+    Days are separate groups. A row is also sent to every later day that its range reaches, as history that is not
+    counted as a row of its own; so a group holds a day and the range before it, never the whole history of a key.
     """
-    if not 0 < hours <= 24:
-        raise ValueError("the trailing range must fit into one day")
+    if hours <= 0:
+        raise ValueError("the trailing range must be positive")
     day = F.to_date(moment)
-    own = F.struct(day.alias("day"), F.lit(True).alias("own"))
-    history = F.struct(F.date_add(day, 1).alias("day"), F.lit(False).alias("own"))
-    reaches = F.to_date(F.col(moment) + F.make_dt_interval(hours=F.lit(hours))) > day
-    copies = F.when(reaches, F.array(own, history)).otherwise(F.array(own))
-    spread = df.withColumn("_copy", F.explode(copies)).withColumns({"_day": F.col("_copy.day"), "_own": F.col("_copy.own")})
+    last = F.to_date(F.col(moment) + F.make_dt_interval(hours=F.lit(hours)))
+    later = F.when(day.isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.datediff(last, day)))
+    spread = df.withColumn("_later", F.explode(later)).withColumns({"_day": F.date_add(day, F.col("_later")), "_own": F.col("_later") == 0})
     partition = ", ".join([*keys, "_day"])
     reach = f"RANGE BETWEEN INTERVAL '{hours * 3600 - 1}' SECOND PRECEDING AND CURRENT ROW"
     averaged = spread.withColumn(name, F.expr(f"avg({value}) OVER (PARTITION BY {partition} ORDER BY {moment} {reach})"))
-    return averaged.filter("_own").drop("_copy", "_day", "_own")
+    return averaged.filter("_own").drop("_later", "_day", "_own")
 
 
 def rank_groups(df: DataFrame, within: str, member: str, value: str) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from aeroline.functions.readings import assign_region, is_rejected, wanted_pollutant
+from aeroline.functions.readings import assign_region, is_rejected, rejection_reason, wanted_pollutant
 from aeroline.functions.times import hour_timestamp
 from aeroline.operators import backfill, columns, incremental, merge, quality, series, spatial, trends
 from aeroline.plans import files, gold, silver
@@ -31,6 +31,7 @@ QUERIES: dict[str, Query] = {}
 TIE = ["event_id"]
 RUN_TIME = "2024-02-01 00:00:00"
 SERIES_START, SERIES_END = "2024-01-10", "2024-01-16"
+SERIES_PARAMETER = "PM2.5"
 LOCAL_START, LOCAL_END = "2024-01-11 00:00:00", "2024-01-12 23:59:59"
 MEAN_DIGITS = 6
 
@@ -234,18 +235,21 @@ def unprocessed_partitions(spark, sf_dir):
 
 
 def _star_for_series(spark, sf_dir, *dimensions):
-    star = star_of(silver.clean_readings(raw_readings(spark, sf_dir), TIE), tables=dimensions)
+    # Date and pollutant are part of the key that duplicates are told by, so what is not asked for can go first.
+    wanted = (F.col("parameter") == SERIES_PARAMETER) & (F.col("utc") >= F.lit(SERIES_START).cast("timestamp_ntz")) & (
+        F.col("utc") < F.date_add(F.lit(SERIES_END).cast("date"), 1).cast("timestamp_ntz"))
+    star = star_of(silver.clean_readings(raw_readings(spark, sf_dir).filter(wanted), TIE), tables=dimensions)
     return gold.fact_readings_direct(star["cleaned"]), star
 
 
 def _hourly(spark, sf_dir):
     fact, star = _star_for_series(spark, sf_dir, "dim_parameter")
-    return series.hourly_mean(fact, star["dim_parameter"], "PM2.5", SERIES_START, SERIES_END)
+    return series.hourly_mean(fact, star["dim_parameter"], SERIES_PARAMETER, SERIES_START, SERIES_END)
 
 
 def _site_hourly(spark, sf_dir):
     fact, star = _star_for_series(spark, sf_dir, "dim_parameter", "dim_site")
-    return series.site_hourly_mean(fact, star["dim_parameter"], star["dim_site"], "PM2.5", SERIES_START, SERIES_END)
+    return series.site_hourly_mean(fact, star["dim_parameter"], star["dim_site"], SERIES_PARAMETER, SERIES_START, SERIES_END)
 
 
 @query
@@ -430,6 +434,24 @@ def landing_counts(spark, sf_dir):
     return landing.landing_counts(feed_records(raw_readings(spark, sf_dir)))
 
 
+@query
+def delivery_outcomes(spark, sf_dir):
+    """Good lines, lines with a bad field and broken lines through the landing zone: what becomes of each."""
+    raw = raw_readings(spark, sf_dir)
+    record = F.to_json(F.struct(*feed_records(raw).columns), {"ignoreNullFields": "false"})
+    lines = feed_records(raw).select(record.alias("line")).withColumn("n", F.get_json_object("line", "$.UTC"))
+    bad = F.regexp_replace("line", '"Latitude":[0-9.]+', '"Latitude":"n/a"')
+    line = F.when(F.col("n").endswith("7"), bad).when(F.col("n").endswith("9"), F.concat(F.lit("{broken "), "line")).otherwise(F.col("line"))
+    path = work_path(spark, "delivery")
+    lines.select(line.alias("value")).write.text(path)
+    read = staged(landing.read_json_lines(spark, path), "delivery-lines")
+    records = columns.lower_case(landing.readable(read))
+    outcome = F.when(is_rejected(), rejection_reason()).otherwise(F.lit("valid"))
+    counted = records.groupBy(outcome.alias("outcome")).agg(F.count(F.lit(1)).alias("lines"))
+    broken = landing.unreadable(read).agg(F.lit("quarantined").alias("outcome"), F.count(F.lit(1)).alias("lines"))
+    return counted.unionByName(broken)
+
+
 # --- file-based layers and streams ----------------------------------------------------------------------------------
 
 
@@ -439,11 +461,25 @@ def bronze_partitions(spark, sf_dir):
     layout = files.Layout(work_path(spark, "bronze"))
     landing.write_landing(feed_records(raw_readings(spark, sf_dir)), layout.landing)
     files.raw_to_bronze(spark, layout)
-    stored = landing.path_partitions(spark.read.parquet(layout.bronze))
+    stored = landing.path_partitions(spark.read.parquet(layout.file_bronze))
     counted = stored.groupBy("date", "hour", "path_date").agg(F.count(F.lit(1)).alias("readings"))
     return plain(counted)
 
 
+@query
+def medallion_two_deliveries(spark, sf_dir):
+    """Two deliveries that share their hours: the second brings readings of hours that are stored already."""
+    layout = files.Layout(work_path(spark, "deliveries"))
+    raw = raw_readings(spark, sf_dir)
+    for part in (0, 1):
+        landing.write_landing(feed_records(raw.filter(F.col("event_id") % 2 == part)), layout.landing)
+        files.raw_to_bronze(spark, layout)
+        files.bronze_to_silver(spark, layout)
+        files.silver_to_gold(spark, layout)
+    fact = spark.read.parquet(layout.gold("fact_air_quality_readings"))
+    return plain(fact.select("fact_id", "date", "hour", "site_key", "parameter_key", "date_key", "category_key", "aqi"))
+
+
 @query
 def medallion_fact(spark, sf_dir):
     """Landing to gold through stored files, in one run."""
@@ -534,6 +570,13 @@ def moving_average(spark, sf_dir):
     return plain(rounded(trends.moving_average(hourly, ["fullaqscode", "parameter"], "moment", "aqi", 6), "moving_avg"))
 
 
+@query
+def moving_average_week(spark, sf_dir):
+    cleaned = silver.clean_readings(raw_readings(spark, sf_dir), TIE)
+    hourly = cleaned.select("fullaqscode", "parameter", hour_timestamp().alias("moment"), "aqi")
+    return plain(rounded(trends.moving_average(hourly, ["fullaqscode", "parameter"], "moment", "aqi", 168), "moving_avg"))
+
+
 @query
 def rank_sites(spark, sf_dir):
     cleaned = silver.clean_readings(raw_readings(spark, sf_dir), TIE)

@@ -1,12 +1,15 @@
 """File-based variant of the layers: bronze, silver and gold as Parquet partitioned by date and hour.
 
 It differs from the canonical tables in grain and keys (sites by international code, one date row per hour, facts at
-reading grain) and works partition by partition. Every step can be repeated: partitions that exist are left alone,
-those that are written are written whole.
+reading grain) and works partition by partition. A ledger says which partitions a delivery has touched and which of
+them a step has done, so a later reading of an hour that is stored already brings the hour back. Every step can be
+repeated: partitions that are written are written whole, and count as done only then.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,12 +18,13 @@ from aeroline.functions.keys import path_key
 from aeroline.functions.readings import concern_level, weekday_name
 from aeroline.operators.columns import lower_case
 from aeroline.operators.dedup import drop_duplicates
-from aeroline.operators.incremental import new_members, only_partitions, unprocessed_partitions
+from aeroline.operators.incremental import new_members, only_partitions
 from aeroline.session import staged
-from aeroline.sources.landing import read_json_lines, readable, with_partitions
-from aeroline.sources.tables import read_table, write_dimension, write_partitioned
+from aeroline.sources.landing import read_json_lines, readable, unreadable, with_partitions
+from aeroline.sources.tables import path_exists, read_table, write_dimension, write_partitioned
 
 PARTITIONS = ["date", "hour"]
+LEDGER = "date DATE, hour INT, delivery STRING"
 SILVER_KEYS = ["date", "hour", "intlaqscode", "parameter"]
 
 
@@ -30,29 +34,47 @@ class Layout:
     def __init__(self, root: str, dataset: str = "readings"):
         self.landing = f"{root}/landing/{dataset}"
         self.archive = f"{root}/archive/{dataset}"
-        self.bronze = f"{root}/bronze/{dataset}"
+        self.bronze = f"{root}/bronze/{dataset}"  # written by the landing stream only
+        self.file_bronze = f"{root}/bronze/{dataset}_files"  # written by the file layers only
+        self.quarantine = f"{root}/quarantine/{dataset}_lines"
         self.silver = f"{root}/silver/{dataset}_clean"
         self.progress = f"{root}/state/{dataset}_progress"
         self._gold = f"{root}/gold/{dataset}"
 
+    def ledger(self, step: str) -> str:
+        return f"{self.progress}_{step}"
+
     def gold(self, table: str) -> str:
         return f"{self._gold}/{table}"
 
 
 def raw_to_bronze(spark: SparkSession, layout: Layout) -> None:
-    """Append landing files that bronze does not have yet.
+    """Append landing files that bronze does not have yet; lines that are no records go to the quarantine.
 
-    Files are told apart by name. Only the dates that occur in landing are looked up in bronze, and of those only
-    the file-name column.
+    Files are told apart by name, and each is parsed once. Partitions are entered into the ledger and lines into the
+    quarantine before the records are stored, so a repeated run completes what an interrupted one has begun.
     """
-    records = with_partitions(readable(read_json_lines(spark, layout.landing)))
-    stored = read_table(spark, layout.bronze, like=records).select("date", "original_file")
-    # Both lists are staged: their size is then known, and short ones are broadcast. Readings without a readable time
-    # are in the default partition, hence the NULL-safe match.
-    dates = staged(records.select("date").distinct(), "dates")
-    known = stored.join(dates, stored["date"].eqNullSafe(dates["date"]), "left_semi").select("original_file")
-    known = staged(known.distinct(), "known-files")
-    write_partitioned(new_members(records, known, ["original_file"]), layout.bronze, PARTITIONS, mode="append")
+    lines = with_partitions(read_json_lines(spark, layout.landing))
+    stored = read_table(spark, layout.file_bronze, like=readable(lines)).select("original_file")
+    known = staged(stored.distinct(), "known-files")  # its size is then known, and a short list is broadcast
+    new = staged(new_members(lines, known, ["original_file"]), "new-lines")
+
+    records = readable(new)
+    touched = records.filter("date IS NOT NULL AND hour IS NOT NULL").select(*PARTITIONS).distinct()
+    touched.withColumn("delivery", F.lit(uuid.uuid4().hex)).write.mode("append").parquet(layout.ledger("pending"))
+    broken = unreadable(new)
+    known = read_table(spark, layout.quarantine, like=broken)
+    new_members(broken, staged(known.select("original_file").distinct(), "known-lines"), ["original_file"]).write.mode("append").parquet(layout.quarantine)
+    write_partitioned(records, layout.file_bronze, PARTITIONS, mode="append")
+
+
+def _open_entries(spark: SparkSession, layout: Layout, step: str) -> DataFrame:
+    """Ledger entries that a step has not done."""
+    def entries(name: str) -> DataFrame:
+        path = layout.ledger(name)
+        return spark.read.schema(LEDGER).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], LEDGER)
+
+    return staged(entries("pending").join(entries(step), ["date", "hour", "delivery"], "left_anti"), "open-entries")
 
 
 def valid_bronze(bronze: DataFrame) -> DataFrame:
@@ -71,12 +93,13 @@ def clean_bronze(bronze: DataFrame, tie_breakers: list[str] | None = None) -> Da
 
 
 def bronze_to_silver(spark: SparkSession, layout: Layout) -> None:
-    """Clean the (date, hour) partitions that silver does not have."""
-    bronze = spark.read.parquet(layout.bronze)
-    silver = read_table(spark, layout.silver, like=bronze.limit(0))
-    todo = staged(unprocessed_partitions(bronze, silver.select(*PARTITIONS), tuple(PARTITIONS)), "todo")
+    """Clean the (date, hour) partitions of new deliveries, each from all its records."""
+    bronze = spark.read.parquet(layout.file_bronze)
+    entries = _open_entries(spark, layout, "silver")
+    todo = staged(entries.select(*PARTITIONS).distinct(), "todo")
     cleaned = clean_bronze(only_partitions(bronze, todo, tuple(PARTITIONS)).drop("original_file"))
     write_partitioned(cleaned, layout.silver, PARTITIONS)
+    entries.write.mode("append").parquet(layout.ledger("silver"))
 
 
 def with_reading_keys(silver: DataFrame) -> DataFrame:
@@ -121,7 +144,7 @@ def reading_facts(keyed: DataFrame) -> DataFrame:
 
 
 def silver_to_gold(spark: SparkSession, layout: Layout) -> None:
-    """Extend dimensions and fact by the silver partitions the fact does not have.
+    """Extend dimensions and fact by the silver partitions of new deliveries.
 
     Dimension rows are reduced to distinct members by the scan itself, so the column-pruned silver partitions are
     read once per table instead of being held in memory. Facts go last: a partition counts as done only when its
@@ -129,8 +152,8 @@ def silver_to_gold(spark: SparkSession, layout: Layout) -> None:
     """
     silver = spark.read.parquet(layout.silver)
     fact_path = layout.gold("fact_air_quality_readings")
-    stored = read_table(spark, fact_path, like=reading_facts(with_reading_keys(silver)).limit(0))
-    todo = staged(unprocessed_partitions(silver, stored, tuple(PARTITIONS)), "todo")
+    entries = _open_entries(spark, layout, "gold")
+    todo = staged(entries.select(*PARTITIONS).distinct(), "todo")
     keyed = with_reading_keys(only_partitions(silver, todo, tuple(PARTITIONS)))
 
     _extend(layout.gold("dim_site"), site_rows(keyed), "site_key")
@@ -138,6 +161,7 @@ def silver_to_gold(spark: SparkSession, layout: Layout) -> None:
     _extend(layout.gold("dim_category"), category_rows(keyed), "category_key")
     _extend(layout.gold("dim_date"), calendar_rows(keyed), "date_key", ["year", "month"])
     write_partitioned(reading_facts(keyed), fact_path, PARTITIONS)
+    entries.write.mode("append").parquet(layout.ledger("gold"))
 
 
 def _extend(path: str, rows: DataFrame, key: str, partition_by: list[str] | None = None) -> None:

@@ -14,9 +14,10 @@ from aeroline.operators.columns import lower_case
 from aeroline.operators.incremental import MODES
 from aeroline.plans.files import Layout, bronze_to_silver, raw_to_bronze, silver_to_gold
 from aeroline.plans.warehouse import Warehouse, first_open_date, update_gold, update_silver, validate
-from aeroline.session import clear_work, get_or_create_session
-from aeroline.sources.landing import readable
-from aeroline.sources.tables import read_partitions
+from aeroline.plans.silver import clean_readings
+from aeroline.session import clear_work, get_or_create_session, staged
+from aeroline.sources.landing import readable, unreadable
+from aeroline.sources.tables import read_partitions, read_table
 from aeroline.streaming.landing import landing_to_bronze
 
 
@@ -35,6 +36,13 @@ def parse_arguments(arguments: list[str] | None = None) -> argparse.Namespace:
     parsed = parser.parse_args(arguments)
     if parsed.mode == "backfill" and not (parsed.start and parsed.end):
         parser.error("a backfill needs --start and --end")
+    if parsed.mode != "backfill" and (parsed.start or parsed.end):
+        parser.error("--start and --end belong to --mode backfill")
+    if parsed.layers == "files":
+        others = ("mode", "start", "end", "lookback", "target", "run_id", "archive")
+        given = [name for name in others if getattr(parsed, name) != parser.get_default(name)]
+        if given:
+            parser.error(f"--layers files takes every new delivery; not applicable: {', '.join(given)}")
     return parsed
 
 
@@ -45,16 +53,22 @@ def run_canonical(spark: SparkSession, options: argparse.Namespace) -> int:
     checkpoint = f"{options.root}/state/{options.dataset}_bronze"
     landing_to_bronze(spark, layout.landing, layout.bronze, checkpoint, archive=archive).awaitTermination()
 
-    raw = lower_case(readable(read_partitions(spark, layout.bronze, options.start, options.end)))
+    bronze = read_partitions(spark, layout.bronze, options.start, options.end)
+    print(f"lines that are no records, kept in bronze: {unreadable(bronze).count()}")
+    raw = lower_case(readable(bronze))
     warehouse = Warehouse(options.root, options.target)
     first = options.start and f"{options.start} 00:00:00"
     last = options.end and f"{options.end} 23:59:59"
     folder = options.run_id and f"{options.root}/state/runs/{options.run_id}"
     start = first_open_date(spark, warehouse, options.lookback) if options.mode == "incremental" else options.start
     update_silver(raw, warehouse, None, options.mode, options.lookback, first, last, run_folder=folder)
+    cleaned = read_table(spark, warehouse.path("silver", "cleaned_readings"), like=clean_readings(raw))
+    if cleaned.isEmpty():
+        print("no valid reading has been loaded yet")
+        return 0
     update_gold(spark, warehouse, start=start, end=options.end, run_folder=folder)
 
-    violations = validate(spark, warehouse, start, options.end).filter("violations > 0")
+    violations = staged(validate(spark, warehouse, start, options.end).filter("violations > 0"), "violations")
     violations.show(truncate=False)
     return violations.count()
 

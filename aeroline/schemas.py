@@ -21,5 +21,3 @@ READING = T.StructType([T.StructField(name, kind, True) for name, kind in READIN
 # PERMISSIVE reads put the text of unreadable records here, so they can be quarantined instead of vanishing.
 CORRUPT = "_corrupt_record"
 READING_WITH_CORRUPT = T.StructType(READING.fields + [T.StructField(CORRUPT, T.StringType(), True)])
-
-API_BODY = T.ArrayType(READING)

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aeroline.functions.times import reading_date, reading_hour
-from aeroline.schemas import API_BODY, CORRUPT, READING_WITH_CORRUPT
+from aeroline.schemas import CORRUPT, READING, READING_WITH_CORRUPT
+
+OLDEST_FILE = "36500d"
 
 
 def read_json_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -26,7 +28,8 @@ def stream_json_lines(spark: SparkSession, path: str, max_files: int | None = No
     With ``archive``, files are moved there after the batch that read them has been committed.
     """
     reader = spark.readStream.schema(READING_WITH_CORRUPT).option("columnNameOfCorruptRecord", CORRUPT)
-    reader = reader.option("recursiveFileLookup", True)
+    # A file restored from an archive keeps its old date and is still to be read.
+    reader = reader.option("recursiveFileLookup", True).option("maxFileAge", OLDEST_FILE)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if archive:
@@ -43,13 +46,20 @@ def _with_lineage(df: DataFrame) -> DataFrame:
     return df.withColumn("original_file", F.col("_metadata.file_path"))
 
 
+def _is_record() -> Column:
+    """Whether a line is a JSON object. Spark also keeps the text of objects with a field it cannot parse; such a field
+    is NULL, and the rules for readings decide about the rest."""
+    return F.col(CORRUPT).isNull() | F.json_object_keys(CORRUPT).isNotNull()
+
+
 def readable(df: DataFrame) -> DataFrame:
-    return df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    """Records, those with bad fields included."""
+    return df.filter(_is_record()).drop(CORRUPT)
 
 
 def unreadable(df: DataFrame) -> DataFrame:
-    """Quarantine of lines that are not JSON."""
-    return df.filter(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("line"), "original_file")
+    """Quarantine of lines that are no JSON object."""
+    return df.filter(~_is_record()).select(F.col(CORRUPT).alias("line"), "original_file")
 
 
 def with_partitions(df: DataFrame, utc: str = "UTC") -> DataFrame:
@@ -99,12 +109,21 @@ def classify_body(bodies: DataFrame, body: str = "body") -> DataFrame:
 
 
 def body_rows(bodies: DataFrame, body: str = "body") -> DataFrame:
-    """One row per reading of the bodies that hold readings."""
-    classified = classify_body(bodies, body).filter("status = 'rows'")
+    """One row per reading of the bodies that hold readings. Elements are parsed one by one: an odd one costs no other."""
     others = [name for name in bodies.columns if name != body]
-    return classified.select(*others, F.explode(F.from_json(body, API_BODY)).alias("_row")).select(*others, "_row.*")
+    rows = _elements(bodies, body).filter(F.json_object_keys("_element").isNotNull())
+    return rows.select(*others, F.from_json("_element", READING).alias("_row")).select(*others, "_row.*")
+
+
+def _elements(bodies: DataFrame, body: str) -> DataFrame:
+    listed = classify_body(bodies, body).filter("status = 'rows'")
+    return listed.withColumn("_element", F.explode(F.from_json(body, "array<string>")))
 
 
 def failed_bodies(bodies: DataFrame, body: str = "body") -> DataFrame:
-    """Everything that gave no rows, with its status, for the quarantine table."""
-    return classify_body(bodies, body).filter("status <> 'rows'")
+    """Everything that gave no rows, with its status, for the quarantine table: whole bodies, and of lists the elements
+    that are no objects (``bad_element``)."""
+    whole = classify_body(bodies, body).filter("status <> 'rows'")
+    odd = _elements(bodies, body).filter(F.json_object_keys("_element").isNull())
+    odd = odd.withColumns({body: F.coalesce("_element", F.lit("null")), "status": F.lit("bad_element")})
+    return whole.unionByName(odd.select(*whole.columns))

@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aeroline.fixed_values import BATCH_RECORDS
 from aeroline.functions.keys import message_key
 from aeroline.schemas import READING
 
@@ -26,16 +25,33 @@ def to_messages(records: DataFrame) -> DataFrame:
 
 
 def from_messages(messages: DataFrame) -> DataFrame:
-    """Records of messages; works on batch and streaming frames, with text or binary values."""
-    return messages.select(F.from_json(F.col("value").cast("string"), READING).alias("_record")).select("_record.*")
+    """Records of messages; works on batch and streaming frames, with text or binary values.
 
+    A field that cannot be parsed is NULL. Messages that are no JSON object are left to :func:`broken_messages`.
+    """
+    value = F.col("value").cast("string")
+    kept = messages.filter(F.json_object_keys(value).isNotNull())
+    return kept.select(F.from_json(value, READING).alias("_record")).select("_record.*")
 
-def kafka_stream(spark: SparkSession, servers: str, topic: str, max_records: int = BATCH_RECORDS) -> DataFrame:
-    """Topic as a stream from its first message on; offsets live in the query's checkpoint."""
+
+def broken_messages(messages: DataFrame) -> DataFrame:
+    """Key and text of messages that give no record, for the quarantine and a later replay."""
+    value = F.col("value").cast("string")
+    broken = messages.filter(F.json_object_keys(value).isNull())
+    return broken.select(F.col("key").cast("string").alias("key"), value.alias("value"))
+
+
+def kafka_stream(spark: SparkSession, servers: str, topic: str, max_records: int | None = None) -> DataFrame:
+    """Topic as a stream from its first message on; offsets live in the query's checkpoint.
+
+    ``max_records`` bounds a micro-batch over the whole topic; without it a drain takes what is there.
+    """
     if not topic:
         raise ValueError("a topic is required")
     reader = spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic)
-    return reader.option("startingOffsets", "earliest").option("maxOffsetsPerTrigger", max_records).load()
+    if max_records:
+        reader = reader.option("maxOffsetsPerTrigger", max_records)
+    return reader.option("startingOffsets", "earliest").load()
 
 
 def write_kafka(records: DataFrame, servers: str, topic: str) -> None:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from aeroline.sources.landing import landing_rows, stream_json_lines, with_partitions
-from aeroline.sources.messages import from_messages
+from aeroline.sources.messages import broken_messages, from_messages
 from aeroline.sources.progress import advance, read_progress, write_progress
 
 
@@ -19,6 +19,12 @@ def messages_to_landing(messages: DataFrame, landing: str, checkpoint: str) -> S
     return records_to_landing(from_messages(messages), landing, checkpoint)
 
 
+def broken_to_quarantine(messages: DataFrame, quarantine: str, checkpoint: str) -> StreamingQuery:
+    """Drain the messages that give no record into JSON lines of key and text, and stop."""
+    writer = broken_messages(messages).writeStream.format("json").option("ignoreNullFields", False)
+    return writer.option("path", quarantine).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def records_to_landing(records: DataFrame, landing: str, checkpoint: str) -> StreamingQuery:
     writer = landing_rows(records).writeStream.format("json").option("ignoreNullFields", False)
     writer = writer.partitionBy("date").option("path", landing).option("checkpointLocation", checkpoint)

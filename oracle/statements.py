@@ -165,6 +165,7 @@ STATEMENTS = {
     "fact_readings_direct": f"{STAR} SELECT {FACT_COLUMNS} FROM fact",
     "warehouse_fact": f"{STAR} SELECT {FACT_COLUMNS} FROM fact",
     "fact_keys_reading_grain": f"WITH {BRONZE} {READING_FACTS}",
+    "medallion_two_deliveries": f"WITH {BRONZE} {READING_FACTS}",
     "medallion_fact": f"WITH {BRONZE} {READING_FACTS}",
     "incremental_silver_batch": f"""WITH {RAW}, {CUTOFF}, {EARLIER}, {valid('earlier', 'stored')},
         {cleaned('raw', 'cleaned', INCREMENT)} SELECT {CLEANED_COLUMNS} FROM cleaned""",
@@ -263,6 +264,14 @@ STATEMENTS = {
         strftime(date + to_hours(hour), '%Y-%m-%d %H:%M:%S') AS moment, aqi, round(avg(aqi) OVER (
           PARTITION BY fullaqscode, parameter ORDER BY date + to_hours(hour)
           RANGE BETWEEN INTERVAL 5 HOURS PRECEDING AND CURRENT ROW), 6) AS moving_avg FROM cleaned""",
+    "moving_average_week": f"""WITH {RAW}, {cleaned()} SELECT fullaqscode, parameter,
+        strftime(date + to_hours(hour), '%Y-%m-%d %H:%M:%S') AS moment, aqi, round(avg(aqi) OVER (
+          PARTITION BY fullaqscode, parameter ORDER BY date + to_hours(hour)
+          RANGE BETWEEN INTERVAL 167 HOURS PRECEDING AND CURRENT ROW), 6) AS moving_avg FROM cleaned""",
+    "delivery_outcomes": f"""WITH {RAW}, sent AS (SELECT *, minute(utc) % 10 AS last_digit FROM raw),
+      records AS (SELECT * REPLACE (CASE WHEN last_digit = 7 THEN NULL ELSE latitude END AS latitude) FROM sent WHERE last_digit <> 9)
+      SELECT CASE WHEN {REJECT} THEN {REASON} ELSE 'valid' END AS outcome, count(*) AS lines FROM records GROUP BY 1
+      UNION ALL SELECT 'quarantined', count(*) FROM sent WHERE last_digit = 9""",
     "rank_sites": f"""WITH {RAW}, {cleaned()}, means AS (SELECT date, fullaqscode, avg(aqi) AS m FROM cleaned GROUP BY ALL)
         SELECT CAST(date AS VARCHAR) AS date, fullaqscode, round(m, 6) AS mean_value,
           CAST(rank() OVER (PARTITION BY date ORDER BY m DESC) AS INT) AS position,

@@ -200,10 +200,11 @@ def test_running_total_and_moving_average_equal_plain_windows(spark):
     total = trends.running_total(df, "site", "day", ["moment", "n"], "aqi")
     expected = df.withColumn("running_total", F.expr("sum(aqi) OVER (PARTITION BY site ORDER BY moment, n ROWS UNBOUNDED PRECEDING)"))
     same(total, expected)
-    mean = trends.moving_average(df, ["site"], "moment", "aqi", 24)
-    plain = df.withColumn("moving_avg", F.expr(
-        "avg(aqi) OVER (PARTITION BY site ORDER BY moment RANGE BETWEEN INTERVAL '86399' SECOND PRECEDING AND CURRENT ROW)"))
-    same(mean.withColumn("moving_avg", F.round("moving_avg", 9)), plain.withColumn("moving_avg", F.round("moving_avg", 9)))
+    for hours in (24, 100):
+        mean = trends.moving_average(df, ["site"], "moment", "aqi", hours)
+        plain = df.withColumn("moving_avg", F.expr(
+            f"avg(aqi) OVER (PARTITION BY site ORDER BY moment RANGE BETWEEN INTERVAL '{hours * 3600 - 1}' SECOND PRECEDING AND CURRENT ROW)"))
+        same(mean.withColumn("moving_avg", F.round("moving_avg", 9)), plain.withColumn("moving_avg", F.round("moving_avg", 9)))
 
 
 def test_quality_checks(spark):

@@ -40,10 +40,10 @@ def test_json_lines_fixed_schema(spark, tmp_path):
     df = landing.read_json_lines(spark, str(tmp_path)).cache()
     assert df.columns == [field.name for field in READING.fields] + [CORRUPT, "original_file"]
     good = landing.readable(df)
-    assert rows(good, "FullAQSCode", "AQI") == [("030970004", 17)]
-    assert sorted(row.line for row in landing.unreadable(df).collect()) == sorted(["{not json", json.dumps(bad_field)])
-    assert rows(landing.path_partitions(good), "path_date", "path_hour") == [("2026-03-04", 14)]
-    assert rows(landing.with_partitions(good), "date", "hour") == [("2026-03-04", 14)]
+    assert rows(good, "FullAQSCode", "AQI", "Category") == [("030970004", 17, 1), ("030970004", None, 1)]  # a bad field costs only itself
+    assert [row.line for row in landing.unreadable(df).collect()] == ["{not json"]
+    assert rows(landing.path_partitions(good), "path_date", "path_hour") == [("2026-03-04", 14)] * 2
+    assert rows(landing.with_partitions(good), "date", "hour") == [("2026-03-04", 14)] * 2
 
 
 def test_malformed_folder_names_give_null(spark):
@@ -80,6 +80,55 @@ def test_api_bodies(spark, body, status, count):
     assert landing.failed_bodies(bodies).count() == (status != "rows")
 
 
+def test_odd_elements_cost_no_other(spark):
+    bodies = spark.createDataFrame([(1, json.dumps([1, {**RECORD, "AQI": "many"}, None, RECORD, "x"]))], "id INT, body STRING")
+    assert rows(landing.body_rows(bodies), "id", "SiteName", "AQI") == [(1, "Douglasville", 17), (1, "Douglasville", None)]
+    assert rows(landing.failed_bodies(bodies), "id", "body", "status") == [(1, "1", "bad_element"), (1, "null", "bad_element"), (1, "x", "bad_element")]
+
+
+def test_old_files_are_read_and_broken_messages_kept(spark, tmp_path):
+    import os
+
+    source, bronze, checkpoint = (str(tmp_path / name) for name in ("landing", "bronze", "state"))
+    write_lines(tmp_path / "landing" / "date=2026-03-04", "a.json", RECORD)
+    landing_to_bronze(spark, source, bronze, checkpoint).awaitTermination()
+    write_lines(tmp_path / "landing" / "date=2026-03-04", "b.json", {**RECORD, "Parameter": "CO"})
+    os.utime(tmp_path / "landing" / "date=2026-03-04" / "b.json", (1, 1))
+    landing_to_bronze(spark, source, bronze, checkpoint).awaitTermination()
+    assert rows(spark.read.parquet(bronze), "Parameter") == [("CO",), ("OZONE",)]
+    sent = spark.createDataFrame([("k", json.dumps(RECORD)), ("k", "{oops"), (None, None), ("k", "5")], "key STRING, value STRING")
+    assert messages.from_messages(sent).count() == 1
+    assert rows(messages.broken_messages(sent), "key", "value") == [("k", "5"), ("k", "{oops"), (None, None)]
+
+
+def test_file_layers_take_a_later_reading_of_a_stored_hour_and_keep_broken_lines(spark, tmp_path):
+    layout = files.Layout(str(tmp_path))
+    folder = Path(layout.landing) / "date=2026-03-04"
+
+    def run():
+        files.raw_to_bronze(spark, layout)
+        files.bronze_to_silver(spark, layout)
+        files.silver_to_gold(spark, layout)
+        return rows(spark.read.parquet(layout.gold("fact_air_quality_readings")), "aqi"), rows(spark.read.parquet(layout.quarantine), "line")
+
+    write_lines(folder, "a.json", RECORD, "{oops")
+    assert run() == ([(17,)], [("{oops",)])
+    write_lines(folder, "b.json", {**RECORD, "Parameter": "CO", "AQI": 5}, "[}")
+    assert run() == run() == ([(17,), (5,)], [("[}",), ("{oops",)])
+
+
+def test_first_load_without_a_valid_reading(spark, tmp_path):
+    write_lines(tmp_path / "landing" / "readings" / "date=2026-03-04", "a.json", {**RECORD, "AQI": "many"})
+    assert main(["--root", str(tmp_path)]) == 0
+    assert rows(spark.read.parquet(f"{tmp_path}/silver/rejected_readings"), "rejection_reason") == [("NULL_AQI",)]
+
+
+@pytest.mark.parametrize("given", [["--start", "2026-01-01"], ["--layers", "files", "--run-id", "x"], ["--layers", "files", "--mode", "full"]])
+def test_options_that_do_not_apply_are_refused(given):
+    with pytest.raises(SystemExit):
+        parse_arguments(["--root", "x", *given])
+
+
 def test_messages_round_trip(spark):
     records = feed_records(raw_readings(spark, SF_DIR))
     same(messages.from_messages(messages.to_messages(records)), records)
@@ -245,7 +294,7 @@ def test_file_layers_take_later_hours_of_a_date_and_repeat_safely(spark, tmp_pat
 
     deliver(spark, layout, readings({}, {"parameter": "CO"}))
     assert run() == 2
-    assert run() == 2 and spark.read.parquet(layout.bronze).count() == 2
+    assert run() == 2 and spark.read.parquet(layout.file_bronze).count() == 2
     deliver(spark, layout, readings({"utc": "2026-03-04T15:00"}, {"utc": "2026-03-05T01:00", "intlaqscode": "new"}))
     assert run() == 4
     assert rows(spark.read.parquet(fact_path), "date", "hour") == [
