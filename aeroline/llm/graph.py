@@ -32,7 +32,8 @@ def _stars(edges: DataFrame, large: bool) -> DataFrame:
     if large:
         pairs = pairs.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     low = pairs.groupBy("a").agg(F.min("b").alias("low"))
-    low = low.select("a", F.least("a", "low").alias("low"))
+    # Written, so that the join is one of two plain tables: its hubs can be split, and a short list is broadcast.
+    low = staged(low.select("a", F.least("a", "low").alias("low")), "lowest")
     joined = pairs.join(low, "a")
     if large:
         out = joined.where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("low").alias("b"))
