@@ -194,6 +194,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     At most ``LABELLED`` labelled and ``POOL`` other documents are used, the ones whose ids have the smallest hashes.
     A document with different labels counts by their mean. Null ids and labels are left out.
     """
+    docs = docs.select("doc_id", *INPUT)
     known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(
         F.when(F.avg("quality") >= 0.5, 1).otherwise(0).alias("label"))
     by = F.xxhash64(F.col("doc_id").cast("long"))

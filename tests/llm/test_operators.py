@@ -32,7 +32,7 @@ def odd_docs(spark):
         (2, None, None, None, None), (3, "", "en", "a", 0), (None, "text without an id", "en", None, 5), (4, "Éa ïo 漢字 😀 ok", None, "b", 2),
         (5, long, "en", "b", len(long)), (6, long, "en", "b", len(long)), (7, " \t\n ", "fr", "c", 1), (8, "x" * 70_000, "fr", "c", 70_000)]
     frame = spark.createDataFrame(rows, DOCS)
-    return frame.withColumn("doc", F.lit(7)).withColumn("size", F.lit("x")).withColumn("key", F.lit(1)).withColumn("fingerprint", F.lit(0))
+    return frame.withColumn("doc", F.lit(7)).withColumn("size", F.lit("x")).withColumn("key", F.lit(1)).withColumns({n: F.lit(0) for n in ("fingerprint", "label", "of", "score", "times", "spans", "row")})
 
 
 def empty_docs(spark):
