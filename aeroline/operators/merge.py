@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aeroline.operators.incremental import same_key
-from aeroline.session import remove_path, staged, work_path
+from aeroline.session import remove_path, staged
 from aeroline.sources.tables import path_exists, read_table, write_partitioned
 
 
@@ -17,29 +17,46 @@ def merge_frames(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFr
     return kept.unionByName(batch.select(*target.columns))
 
 
-def upsert_table(batch: DataFrame, path: str, keys: list[str], partition_by: list[str], stage: str | None = None) -> None:
+def stage_of(path: str) -> str:
+    """Where the next version of a table's partitions waits, beside the table: any later run finds it."""
+    folder, name = path.rstrip("/").rsplit("/", 1)
+    return f"{folder}/_swap/{name}"
+
+
+def finish_swap(spark: SparkSession, path: str, partition_by: list[str], stage: str | None = None) -> None:
+    """Complete a swap that an earlier run has left unfinished; without one, nothing happens.
+
+    Call it before reading a table that is to be changed. As every change of a table starts with it, a stage is never
+    older than the table, and swapping it in again gives the same partitions.
+    """
+    stage = stage or stage_of(path)
+    if not path_exists(spark, f"{stage}/_SUCCESS"):
+        return
+    write_partitioned(spark.read.parquet(stage), path, partition_by)
+    remove_path(spark, f"{stage}/_SUCCESS")  # first, so that what is left of a half-removed stage is not taken for one
+    remove_path(spark, stage)
+
+
+def upsert_table(
+    batch: DataFrame, path: str, keys: list[str], partition_by: list[str], stage: str | None = None, is_stored: bool = False
+) -> None:
     """Merge ``batch`` into the Parquet table at ``path``.
 
     Only partitions the batch touches are read and rewritten; partition columns must follow from the key. The merged
-    partitions are first staged in the shared folder and then swapped in, because a table must not be overwritten
-    while it is being read. ``stage`` names the staging path of one particular run: if that run is repeated after an
-    interruption, its complete stage is swapped in again instead of merging into a half-replaced table. The stage is
-    dropped once the table is whole; from then on repeating the run merges the same batch, which changes nothing.
+    partitions are staged and then swapped in, because a table must not be overwritten while it is being read. A run
+    that is interrupted in the swap leaves its stage complete, and whatever run comes next swaps it in first, see
+    :func:`finish_swap`. ``stage`` names another place for it. ``is_stored``: the batch is a plain table already.
     """
-    spark = batch.sparkSession
-    if not (stage and path_exists(spark, f"{stage}/_SUCCESS")):
-        batch = staged(batch, "batch")  # used several times below; written once, its plan runs once
-        is_first = not path_exists(spark, path)
-        if is_first and not stage:
-            write_partitioned(batch, path, partition_by)
+    spark, stage = batch.sparkSession, stage or stage_of(path)
+    finish_swap(spark, path, partition_by, stage)
+    is_first = not path_exists(spark, path)
+    if not is_first:
+        batch = batch if is_stored else staged(batch, "batch")  # used several times below; written once, its plan runs once
+        if batch.isEmpty():
             return
-        if batch.isEmpty() and not is_first:
-            return
-        stage = stage or work_path(spark, "upsert")
-        merged = batch if is_first else _merged_partitions(batch, path, keys, partition_by)
-        merged.write.mode("overwrite").parquet(stage)
-    write_partitioned(spark.read.schema(batch.schema).parquet(stage), path, partition_by)
-    remove_path(spark, stage)
+    merged = batch if is_first else _merged_partitions(batch, path, keys, partition_by)
+    merged.write.mode("overwrite").parquet(stage)
+    finish_swap(spark, path, partition_by, stage)
 
 
 def _merged_partitions(batch: DataFrame, path: str, keys: list[str], partition_by: list[str]) -> DataFrame:

@@ -7,6 +7,7 @@ whichever engine produced them; means are rounded, because the order of addition
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,8 +16,8 @@ from pyspark.sql import types as T
 from aeroline.functions.readings import assign_region, is_rejected, rejection_reason, wanted_pollutant
 from aeroline.functions.times import hour_timestamp
 from aeroline.operators import backfill, columns, incremental, merge, quality, series, spatial, trends
-from aeroline.plans import files, gold, silver
-from aeroline.plans.warehouse import KEY_COLUMNS, Warehouse, star_of, update_gold, update_silver
+from aeroline.plans import files, gold, job, silver
+from aeroline.plans.warehouse import KEY_COLUMNS, Warehouse, star_of, update_gold, update_silver, validate
 from aeroline.session import staged, work_path
 from aeroline.sources import landing, messages, progress, tables
 from aeroline.sources.event_readings import events_path, feed_records, hourly_stamped, raw_readings, to_readings
@@ -505,6 +506,37 @@ def warehouse_fact(spark, sf_dir):
     return plain(fact.select(*gold.FACT_KEYS, "fact_id", "aqi", "date", "hour"))
 
 
+@query
+def job_end_to_end(spark, sf_dir):
+    """Messages, some of them broken, through the whole job: rows of every stage."""
+    root = work_path(spark, "job")
+    sent = messages.to_messages(feed_records(raw_readings(spark, sf_dir)))
+    broken = F.get_json_object("value", "$.UTC").endswith("9")
+    sent = sent.withColumn("value", F.when(broken, F.concat(F.lit("{broken "), "value")).otherwise(F.col("value")))
+    sent.write.parquet(f"{root}/inbox")
+    stream = spark.readStream.schema("key STRING, value STRING").parquet(f"{root}/inbox")
+    job.run_canonical(spark, job.parse_arguments(["--root", root]), stream)
+    layout, stored = files.Layout(root), Warehouse(root)
+    counts = [
+        spark.read.parquet(path).agg(F.lit(stage).alias("stage"), F.count(F.lit(1)).alias("rows"))
+        for stage, path in [
+            ("messages", f"{root}/inbox"), ("bronze", layout.bronze), ("cleaned", stored.path("silver", "cleaned_readings")),
+            ("rejected", stored.path("silver", "rejected_readings")), ("facts", stored.path("gold", "fact_air_quality_readings"))]]
+    quarantined = spark.read.schema("key STRING, value STRING").json(layout.broken)
+    return reduce(DataFrame.unionByName, [*counts, quarantined.agg(F.lit("broken").alias("stage"), F.count(F.lit(1)).alias("rows"))])
+
+
+@query
+def validation_report(spark, sf_dir):
+    """All checks of the stored tables after a load; a unit may be missing in the readings, nothing else is violated."""
+    raw = hourly_stamped(raw_readings(spark, sf_dir))
+    warehouse = Warehouse(work_path(spark, "checked"))
+    unit = F.when(F.col("event_id") % 10 != 0, F.col("unit"))
+    update_silver(raw.withColumn("unit", unit), warehouse, "event_id", "full", tie_breakers=TIE)
+    update_gold(spark, warehouse)
+    return validate(spark, warehouse)
+
+
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = spark.read.parquet(events_path(sf_dir)).schema
     return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)

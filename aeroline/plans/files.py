@@ -37,6 +37,7 @@ class Layout:
         self.bronze = f"{root}/bronze/{dataset}"  # written by the landing stream only
         self.file_bronze = f"{root}/bronze/{dataset}_files"  # written by the file layers only
         self.quarantine = f"{root}/quarantine/{dataset}_lines"
+        self.broken = f"{root}/quarantine/{dataset}_messages"
         self.silver = f"{root}/silver/{dataset}_clean"
         self.progress = f"{root}/state/{dataset}_progress"
         self._gold = f"{root}/gold/{dataset}"

@@ -2,23 +2,25 @@
 
     spark-submit run_job.py --root s3a://bucket/air --mode incremental --run-id 2026-03-10T05
     spark-submit run_job.py --root s3a://bucket/air --mode backfill --start 2026-01-01 --end 2026-01-14
+    spark-submit --packages <kafka connector> run_job.py --root s3a://bucket/air --servers host:9092 --topic readings
 """
 
 from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from aeroline.operators.columns import lower_case
 from aeroline.operators.incremental import MODES
 from aeroline.plans.files import Layout, bronze_to_silver, raw_to_bronze, silver_to_gold
-from aeroline.plans.warehouse import Warehouse, first_open_date, update_gold, update_silver, validate
-from aeroline.plans.silver import clean_readings
+from aeroline.plans.warehouse import Warehouse, close_dates, open_dates, update_gold, update_silver, validate
 from aeroline.session import clear_work, get_or_create_session, staged
 from aeroline.sources.landing import readable, unreadable
-from aeroline.sources.tables import read_partitions, read_table
-from aeroline.streaming.landing import landing_to_bronze
+from aeroline.sources.messages import from_messages, kafka_stream
+from aeroline.sources.tables import read_partitions
+from aeroline.streaming.landing import broken_to_quarantine, landing_to_bronze, messages_to_landing, track_progress
 
 
 def parse_arguments(arguments: list[str] | None = None) -> argparse.Namespace:
@@ -31,46 +33,67 @@ def parse_arguments(arguments: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--end", help="last date of a backfill, inclusive")
     parser.add_argument("--lookback", default="1 hour", help="how far behind the newest stored hour rows are still taken")
     parser.add_argument("--target", choices=["prod", "dev"], default="prod")
-    parser.add_argument("--run-id", help="name of this run; repeating it finishes an interrupted run")
+    parser.add_argument("--run-id", help="name of this run in its report; what an interrupted run has left is finished by the next one, whatever its name")
+    parser.add_argument("--servers", help="brokers to take new messages from first; needs the Kafka connector")
+    parser.add_argument("--topic", help="topic of the messages")
     parser.add_argument("--archive", action="store_true", help="move landing files away once they are in bronze")
     parsed = parser.parse_args(arguments)
     if parsed.mode == "backfill" and not (parsed.start and parsed.end):
         parser.error("a backfill needs --start and --end")
     if parsed.mode != "backfill" and (parsed.start or parsed.end):
         parser.error("--start and --end belong to --mode backfill")
+    if bool(parsed.servers) != bool(parsed.topic):
+        parser.error("--servers and --topic belong together")
     if parsed.layers == "files":
-        others = ("mode", "start", "end", "lookback", "target", "run_id", "archive")
+        others = ("mode", "start", "end", "lookback", "target", "run_id", "archive", "servers")
         given = [name for name in others if getattr(parsed, name) != parser.get_default(name)]
         if given:
             parser.error(f"--layers files takes every new delivery; not applicable: {', '.join(given)}")
     return parsed
 
 
-def run_canonical(spark: SparkSession, options: argparse.Namespace) -> int:
-    """Bronze as a drained stream, then silver and gold increments and their checks; returns the violations."""
+def ingest(messages: DataFrame, options: argparse.Namespace) -> None:
+    """Drain new messages into the landing zone, and those that give no record into the quarantine.
+
+    A backfill also moves the progress of the historical load, from which ``next_window`` plans the next one.
+    """
+    layout, state = Layout(options.root, options.dataset), f"{options.root}/state/{options.dataset}"
+    messages_to_landing(messages, layout.landing, f"{state}_ingest").awaitTermination()
+    broken_to_quarantine(messages, layout.broken, f"{state}_broken").awaitTermination()
+    if options.mode == "backfill":
+        track_progress(from_messages(messages), layout.progress, f"{state}_history").awaitTermination()
+
+
+def run_canonical(spark: SparkSession, options: argparse.Namespace, messages: DataFrame | None = None) -> int:
+    """Messages, if there are any, to landing; bronze as a drained stream; then silver and gold increments and their
+    checks. Returns the violations. ``messages``: a stream of key and value in place of the broker's."""
+    if messages is None and options.servers:
+        messages = kafka_stream(spark, options.servers, options.topic)
+    if messages is not None:
+        ingest(messages, options)
     layout = Layout(options.root, options.dataset)
     archive = layout.archive if options.archive else None
     checkpoint = f"{options.root}/state/{options.dataset}_bronze"
     landing_to_bronze(spark, layout.landing, layout.bronze, checkpoint, archive=archive).awaitTermination()
 
     bronze = read_partitions(spark, layout.bronze, options.start, options.end)
-    print(f"lines that are no records, kept in bronze: {unreadable(bronze).count()}")
     raw = lower_case(readable(bronze))
     warehouse = Warehouse(options.root, options.target)
     first = options.start and f"{options.start} 00:00:00"
     last = options.end and f"{options.end} 23:59:59"
-    folder = options.run_id and f"{options.root}/state/runs/{options.run_id}"
-    start = first_open_date(spark, warehouse, options.lookback) if options.mode == "incremental" else options.start
-    update_silver(raw, warehouse, None, options.mode, options.lookback, first, last, run_folder=folder)
-    cleaned = read_table(spark, warehouse.path("silver", "cleaned_readings"), like=clean_readings(raw))
-    if cleaned.isEmpty():
-        print("no valid reading has been loaded yet")
+    update_silver(raw, warehouse, None, options.mode, options.lookback, first, last)
+    dates = open_dates(spark, warehouse)
+    done = dates.agg(F.count("*"), F.min("date").cast("string"), F.max("date").cast("string")).first()
+    print(f"run {options.run_id or ''}: {done[0]} dates from {done[1]} to {done[2]}; "
+          f"lines in bronze that are no records: {unreadable(bronze).count()}")
+    if not done[0]:
+        print("no valid reading to load")
         return 0
-    update_gold(spark, warehouse, start=start, end=options.end, run_folder=folder)
-
-    violations = staged(validate(spark, warehouse, start, options.end).filter("violations > 0"), "violations")
-    violations.show(truncate=False)
-    return violations.count()
+    update_gold(spark, warehouse, dates=dates)
+    report = staged(validate(spark, warehouse, dates), "validation")
+    close_dates(spark, warehouse)
+    report.filter("violations > 0").show(truncate=False)
+    return report.agg(F.count_if(F.col("violations") > 0)).first()[0]
 
 
 def run_files(spark: SparkSession, options: argparse.Namespace) -> int:

@@ -8,14 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aeroline.fixed_values import CONCERN_LEVELS
-from aeroline.functions.times import hour_timestamp, interval, reading_time
+from aeroline.functions.times import reading_time
 from aeroline.operators import quality
-from aeroline.operators.incremental import in_range
-from aeroline.operators.merge import upsert_table
+from aeroline.operators.incremental import in_range, only_partitions
+from aeroline.operators.merge import finish_swap, upsert_table
 from aeroline.operators.spatial import region_table
 from aeroline.plans import gold, silver
-from aeroline.session import at_once, staged
-from aeroline.sources.tables import database_for, path_exists, read_partitions, read_table
+from aeroline.session import at_once, remove_path, staged
+from aeroline.sources.tables import database_for, newest_partition, path_exists, read_table
 
 DIMENSION_KEYS = {
     "dim_site": ["fullaqscode"],
@@ -33,6 +33,13 @@ KEY_COLUMNS = {
 }
 
 
+PARTITIONED = {
+    ("silver", "cleaned_readings"): ["date"],
+    ("silver", "rejected_readings"): ["rejected_date"],
+    ("gold", "fact_air_quality_readings"): ["date"],
+}
+
+
 class Warehouse:
     """Paths of the canonical tables. ``target="dev"`` keeps a development run apart."""
 
@@ -42,6 +49,17 @@ class Warehouse:
     def path(self, layer: str, table: str) -> str:
         return f"{self._root}/{database_for(layer, self._target)}/{table}"
 
+    @property
+    def open_dates(self) -> str:
+        """Dates that silver has changed and gold has not confirmed."""
+        return f"{self._root}/state/{database_for('gold', self._target)}_open_dates"
+
+    def recover(self, spark: SparkSession) -> None:
+        """Finish swaps that an interrupted run has left; call it before the tables are read."""
+        tables = {**PARTITIONED, **{("gold", name): [] for name in DIMENSION_KEYS}}
+        for (layer, table), partition_by in tables.items():
+            finish_swap(spark, self.path(layer, table), partition_by)
+
 
 def update_silver(
     raw: DataFrame,
@@ -52,27 +70,30 @@ def update_silver(
     start: str | None = None,
     end: str | None = None,
     tie_breakers: list[str] | None = None,
-    run_folder: str | None = None,
 ) -> None:
     """Upsert one increment into the cleaned and the quarantine table.
 
-    ``run_folder``, a shared folder of this one run, lets the run be repeated after an interruption.
+    Watermarks read the newest stored partition only. The dates of the increment are entered as open before the table
+    changes, so gold finds them even if this run ends before it gets there.
     """
     spark = raw.sparkSession
+    warehouse.recover(spark)
     cleaned_path = warehouse.path("silver", "cleaned_readings")
     cleaned = read_table(spark, cleaned_path, like=silver.clean_readings(raw))
-    batch = silver.clean_increment(raw, cleaned, mode, lookback, start, end, tie_breakers)
-    upsert_table(batch, cleaned_path, silver.CLEANED_KEYS, ["date"], run_folder and f"{run_folder}/cleaned")
+    newest = newest_partition(cleaned, cleaned_path, "date")
+    batch = staged(silver.clean_increment(raw, newest, mode, lookback, start, end, tie_breakers), "increment")
+    batch.select("date").distinct().write.mode("append").parquet(warehouse.open_dates)
+    upsert_table(batch, cleaned_path, silver.CLEANED_KEYS, ["date"], is_stored=True)
 
     rejected_path = warehouse.path("silver", "rejected_readings")
     rejected = read_table(spark, rejected_path, like=_dated(silver.reject_readings(raw, row_id)))
     if mode == "incremental":
-        fresh = silver.reject_increment(raw, rejected, row_id, lookback)
+        fresh = silver.reject_increment(raw, newest_partition(rejected, rejected_path, "rejected_date"), row_id, lookback)
     elif mode == "backfill":
         fresh = silver.reject_readings(raw.filter(in_range(reading_time(), start, end)), row_id)
     else:
         fresh = silver.reject_readings(raw, row_id)
-    upsert_table(_dated(fresh), rejected_path, silver.REJECTED_KEYS, ["rejected_date"], run_folder and f"{run_folder}/rejected")
+    upsert_table(_dated(fresh), rejected_path, silver.REJECTED_KEYS, ["rejected_date"])
 
 
 def _dated(rejected: DataFrame) -> DataFrame:
@@ -80,34 +101,30 @@ def _dated(rejected: DataFrame) -> DataFrame:
     return rejected.withColumn("rejected_date", F.coalesce(F.to_date("utc"), F.lit("1900-01-01").cast("date")))
 
 
-def first_open_date(spark: SparkSession, warehouse: Warehouse, lookback: str) -> str | None:
-    """First date the next increment can change: that of the watermark, or of the newest fact if gold lags behind.
+def open_dates(spark: SparkSession, warehouse: Warehouse) -> DataFrame:
+    """The dates gold and the checks have to do: those of this run and of runs that did not get that far."""
+    path = warehouse.open_dates
+    entries = spark.read.schema("date DATE").parquet(path) if path_exists(spark, path) else spark.createDataFrame([], "date DATE")
+    return staged(entries.distinct(), "open-dates")
 
-    None before the first load. With it, gold and the checks follow the increment instead of the whole history.
-    """
-    cleaned_path = warehouse.path("silver", "cleaned_readings")
-    fact_path = warehouse.path("gold", "fact_air_quality_readings")
-    if not (path_exists(spark, cleaned_path) and path_exists(spark, fact_path)):
-        return None
-    newest = F.max(hour_timestamp()) - interval(lookback)
-    open_dates = [spark.read.parquet(path).agg(F.to_date(newest)).first()[0] for path in (cleaned_path, fact_path)]
-    return None if None in open_dates else str(min(open_dates))
 
+def close_dates(spark: SparkSession, warehouse: Warehouse) -> None:
+    """Everything that was open is in gold and checked."""
+    remove_path(spark, warehouse.open_dates)
 
-def update_gold(
-    spark: SparkSession,
-    warehouse: Warehouse,
-    regions: DataFrame | None = None,
-    start: str | None = None,
-    end: str | None = None,
-    run_folder: str | None = None,
-) -> None:
+
+def _of_dates(table: DataFrame, dates: DataFrame | None) -> DataFrame:
+    return table if dates is None else only_partitions(table, dates, ("date",))
+
+
+def update_gold(spark: SparkSession, warehouse: Warehouse, regions: DataFrame | None = None, dates: DataFrame | None = None) -> None:
     """Insert new dimension members and facts from the cleaned table.
 
-    A date range restricts the work to the partitions the last silver update has touched; without one, the whole
-    cleaned table is compared with what is stored.
+    ``dates`` (one column ``date``) restricts the work to those partitions; without them, the whole cleaned table is
+    compared with what is stored.
     """
-    cleaned = read_partitions(spark, warehouse.path("silver", "cleaned_readings"), start, end)
+    warehouse.recover(spark)
+    cleaned = _of_dates(spark.read.parquet(warehouse.path("silver", "cleaned_readings")), dates)
     regions = region_table(spark) if regions is None else regions
 
     members = {
@@ -124,7 +141,7 @@ def update_gold(
             new = gold.new_sites(cleaned, known, regions)
         else:
             new = gold.new_dimension_rows(rows, known, DIMENSION_KEYS[name])
-        upsert_table(new, warehouse.path("gold", name), DIMENSION_KEYS[name], [], run_folder and f"{run_folder}/{name}")
+        upsert_table(new, warehouse.path("gold", name), DIMENSION_KEYS[name], [])
 
     at_once([partial(insert_new, name, rows) for name, rows in members.items()])
 
@@ -134,13 +151,13 @@ def update_gold(
     )
     fact_path = warehouse.path("gold", "fact_air_quality_readings")
     new = gold.new_fact_rows(candidates, read_table(spark, fact_path, like=candidates), cleaned)
-    upsert_table(new, fact_path, ["date", *gold.FACT_KEYS], ["date"], run_folder and f"{run_folder}/fact")
+    upsert_table(new, fact_path, ["date", *gold.FACT_KEYS], ["date"])
 
 
-def validate(spark: SparkSession, warehouse: Warehouse, start: str | None = None, end: str | None = None) -> DataFrame:
-    """(check_name, violations) of all checks on the stored tables, or on a date range of them."""
-    cleaned = read_partitions(spark, warehouse.path("silver", "cleaned_readings"), start, end)
-    fact = read_partitions(spark, warehouse.path("gold", "fact_air_quality_readings"), start, end)
+def validate(spark: SparkSession, warehouse: Warehouse, dates: DataFrame | None = None) -> DataFrame:
+    """(check_name, violations) of all checks on the stored tables, or on some dates of them."""
+    cleaned = _of_dates(spark.read.parquet(warehouse.path("silver", "cleaned_readings")), dates)
+    fact = _of_dates(spark.read.parquet(warehouse.path("gold", "fact_air_quality_readings")), dates)
     required = ["date", "hour", "fullaqscode", "parameter", "unit", "aqi", "category", "latitude", "longitude", "concern_level"]
     cleaned_rows = {f"cleaned_{name}_not_null": F.col(name).isNull() for name in required}
     cleaned_rows["cleaned_category_values"] = ~F.col("category").isin(list(CONCERN_LEVELS))
@@ -156,7 +173,11 @@ def validate(spark: SparkSession, warehouse: Warehouse, start: str | None = None
         dimension = spark.read.parquet(warehouse.path("gold", name))
         dimensions[f"fact_{name}"] = (dimension, key)
         columns = [key, *DIMENSION_KEYS[name]]
-        results.append(quality.failing_rows(dimension, {f"{name}_{column}_not_null": F.col(column).isNull() for column in columns}))
+        rules = {f"{name}_{column}_not_null": F.col(column).isNull() for column in columns}
+        if name == "dim_category":
+            rules["dim_category_category_values"] = ~F.col("category").isin(list(CONCERN_LEVELS))
+            rules["dim_category_concern_level_not_null"] = F.col("concern_level").isNull()
+        results.append(quality.failing_rows(dimension, rules))
         duplicates[f"{name}_key_unique"] = quality.unique(dimension, [key])
         duplicates[f"{name}_unique"] = quality.unique(dimension, DIMENSION_KEYS[name])
     results += [quality.count_violations(duplicates), quality.orphan_counts(fact, dimensions)]

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,6 +26,7 @@ SESSION_DEFAULTS = {
 }
 
 _own_folders: dict[str, str] = {}
+_scratch: ContextVar[str] = ContextVar("scratch", default="")
 
 
 def create_session(app_name: str = APP_NAME, master: str | None = None, overrides: dict | None = None) -> SparkSession:
@@ -64,7 +67,7 @@ def shared_folder(spark: SparkSession) -> str:
 
 def work_folder(spark: SparkSession) -> str:
     """This application's own part of the shared folder."""
-    return f"{shared_folder(spark)}/aeroline/{spark.sparkContext.applicationId}"
+    return f"{shared_folder(spark)}/aeroline/{spark.sparkContext.applicationId}{_scratch.get()}"
 
 
 def work_path(spark: SparkSession, label: str) -> str:
@@ -96,6 +99,17 @@ def remove_path(spark: SparkSession, path: str) -> None:
     location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What is staged inside, by this thread, is dropped at the end: a stream keeps no copy of every batch."""
+    token = _scratch.set(f"{_scratch.get()}/scratch-{uuid.uuid4().hex}")
+    try:
+        yield
+    finally:
+        remove_path(spark, work_folder(spark))
+        _scratch.reset(token)
+
+
 def clear_work(spark: SparkSession) -> None:
     """Drop what this application has staged; call it when no result is read any more."""
     remove_path(spark, work_folder(spark))

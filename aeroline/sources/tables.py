@@ -11,6 +11,23 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
 
 
+def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
+    """Values of a table's first partition column in order, from folder names: no row and no file is read."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not path_exists(spark, path):
+        return []
+    folders = location.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(location)
+    names = [folder.getPath().getName() for folder in folders]
+    values = [name.removeprefix(f"{column}=") for name in names if name.startswith(f"{column}=")]
+    return sorted(value for value in values if value != "__HIVE_DEFAULT_PARTITION__")
+
+
+def newest_partition(table: DataFrame, path: str, column: str) -> DataFrame:
+    """The partition of the latest date of the table at ``path``, which is all that a watermark needs."""
+    values = partition_values(table.sparkSession, path, column)
+    return table.filter(F.col(column) == F.lit(values[-1]).cast("date")) if values else table
+
+
 def read_table(spark: SparkSession, path: str, like: DataFrame | None = None) -> DataFrame:
     """The table at ``path``. With ``like``, its schema is used, so partition columns keep their types, and a table
     that does not exist yet is empty."""

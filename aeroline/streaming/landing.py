@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from aeroline.sources.landing import landing_rows, stream_json_lines, with_partitions
@@ -10,6 +11,16 @@ from aeroline.sources.messages import broken_messages, from_messages
 from aeroline.sources.progress import advance, read_progress, write_progress
 
 
+SPREAD = 4
+
+
+def clustered(records: DataFrame, *columns: str, spread: int = SPREAD) -> DataFrame:
+    """Rows of one partition folder in ``spread`` tasks at most, so a batch writes that many files a folder and not one
+    per task; a hot hour still has several writers."""
+    part = F.pmod(F.xxhash64(*records.columns), F.lit(spread))
+    return records.withColumn("_part", part).repartition(*columns, "_part").drop("_part")
+
+
 def messages_to_landing(messages: DataFrame, landing: str, checkpoint: str) -> StreamingQuery:
     """Drain what is available now into JSON lines under ``date=…/`` and stop.
 
@@ -26,7 +37,7 @@ def broken_to_quarantine(messages: DataFrame, quarantine: str, checkpoint: str)
 
 
 def records_to_landing(records: DataFrame, landing: str, checkpoint: str) -> StreamingQuery:
-    writer = landing_rows(records).writeStream.format("json").option("ignoreNullFields", False)
+    writer = clustered(landing_rows(records), "date").writeStream.format("json").option("ignoreNullFields", False)
     writer = writer.partitionBy("date").option("path", landing).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()
 
@@ -39,7 +50,7 @@ def landing_to_bronze(
     Unreadable lines go along in the corrupt-record column, so one scan serves the readings and their quarantine.
     Files of the last batch are archived when the next run commits it.
     """
-    records = with_partitions(stream_json_lines(spark, landing, max_files, archive))
+    records = clustered(with_partitions(stream_json_lines(spark, landing, max_files, archive)), "date", "hour")
     writer = records.writeStream.format("parquet").partitionBy("date", "hour")
     writer = writer.option("path", bronze).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()

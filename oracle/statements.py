@@ -138,7 +138,32 @@ def stream_join(how: str) -> str:
         FROM views v {how} JOIN purchases p ON v.user_id = p.user_id AND v.day = p.day"""
 
 
+CHECKED = f"""unitless AS (SELECT * REPLACE (CASE WHEN event_id % 10 <> 0 THEN unit END AS unit) FROM raw),
+  {cleaned('unitless')}, {DIMS}, {FACT}"""
+CHECKS = {"cleaned": ["date", "hour", "fullaqscode", "parameter", "unit", "aqi", "category", "latitude", "longitude", "concern_level"],
+          "fact": ["date_key", "hour_key", "site_key", "parameter_key", "category_key", "aqi"],
+          "dim_site": ["site_key", "fullaqscode"], "dim_parameter": ["parameter_key", "parameter", "unit"],
+          "dim_category": ["category_key", "category", "concern_level"], "dim_date": ["date_key", "date"], "dim_hour": ["hour_key", "hour"]}
+UNIQUE = {"cleaned": ("cleaned", "date, hour, fullaqscode, parameter"), "fact": ("fact", FACT_KEYS)} | {
+    name: (table, columns) for table, key_name, columns in [
+        ("dim_site", "site_key", "fullaqscode"), ("dim_parameter", "parameter_key", "parameter, unit"),
+        ("dim_category", "category_key", "category"), ("dim_date", "date_key", "date"), ("dim_hour", "hour_key", "hour")]
+    for name, columns in [(f"{table}_key", key_name), (table, columns)]}
+VALIDATION = " UNION ALL ".join(
+    [f"SELECT '{t}_{c}_not_null' AS check_name, count(*) FILTER ({c} IS NULL) AS violations FROM {t}" for t, names in CHECKS.items() for c in names]
+    + [f"SELECT '{name}_unique', count(*) FROM (SELECT 1 FROM {t} GROUP BY {columns} HAVING count(*) > 1)" for name, (t, columns) in UNIQUE.items()]
+    + [f"SELECT 'fact_{t}', count(*) FROM fact f WHERE NOT EXISTS (SELECT 1 FROM {t} d WHERE d.{k} = f.{k})" for t, k in ORPHAN_CHECKS.items()]
+    + ["SELECT 'cleaned_category_values', count(*) FROM cleaned WHERE category NOT BETWEEN 1 AND 6",
+       "SELECT 'dim_category_category_values', count(*) FROM dim_category WHERE category NOT BETWEEN 1 AND 6",
+       "SELECT 'cleaned_aqi_range', count(*) FROM cleaned WHERE aqi < 0"])
+
 STATEMENTS = {
+    "validation_report": f"WITH {HOURLY}, {CHECKED} {VALIDATION}",
+    "job_end_to_end": f"""WITH {RAW}, sent AS (SELECT * REPLACE (date_trunc('minute', utc) AS utc), coalesce(minute(utc) % 10 = 9, FALSE) AS is_broken FROM raw),
+        records AS (SELECT * FROM sent WHERE NOT is_broken), {cleaned('records')}, {rejected('records')}
+      SELECT 'messages' AS stage, count(*) AS rows FROM sent UNION ALL SELECT 'bronze', count(*) FROM records
+      UNION ALL SELECT 'broken', count(*) FROM sent WHERE is_broken UNION ALL SELECT 'cleaned', count(*) FROM cleaned
+      UNION ALL SELECT 'rejected', count(*) FROM rejected UNION ALL SELECT 'facts', count(*) FROM cleaned WHERE unit IS NOT NULL""",
     "stream_join_inner": stream_join("INNER"),
     "stream_join_left": stream_join("LEFT"),
     "cleaned_readings": f"WITH {RAW}, {cleaned()} SELECT {CLEANED_COLUMNS} FROM cleaned",

@@ -15,7 +15,7 @@ from aeroline.plans.warehouse import Warehouse, update_gold, update_silver, vali
 from aeroline.schemas import CORRUPT, READING
 from aeroline.sources import landing, messages, progress, tables
 from aeroline.sources.event_readings import feed_records, hourly_stamped, raw_readings, to_readings
-from aeroline.streaming.landing import landing_to_bronze, messages_to_landing, track_progress
+from aeroline.streaming.landing import SPREAD, landing_to_bronze, messages_to_landing, track_progress
 from aeroline.streaming.silver import readings_to_silver
 from tests.conftest import GOOD, SF_DIR, rows, same
 
@@ -233,6 +233,29 @@ def test_interrupted_first_load_is_finished_from_its_stage(spark, tmp_path, monk
     assert rows(spark.read.parquet(path)) == [(1, "a", 1), (2, "b", 2)]
 
 
+@pytest.mark.parametrize("partition_by", [[], ["p"]])
+def test_the_next_run_finishes_a_swap_whoever_it_is(spark, tmp_path, monkeypatch, partition_by):
+    """The table is gone and the run had no name: what it had staged is found beside the table."""
+    path = str(tmp_path / "table")
+    make = lambda *values: spark.createDataFrame(values, "k INT, v STRING, p INT")
+    upsert_table(make((1, "a", 1), (2, "b", 1)), path, ["k", "p"], partition_by)
+
+    def lose_all_and_die(merged, where, _partition_by):
+        session.remove_path(spark, where)
+        raise OSError("executor lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(merge, "write_partitioned", lose_all_and_die)
+        with pytest.raises(OSError):
+            upsert_table(make((2, "B", 1), (3, "c", 2)), path, ["k", "p"], partition_by)
+    assert not Path(path).exists()
+    merge.finish_swap(spark, path, partition_by)
+    assert rows(spark.read.parquet(path)) == [(1, "a", 1), (2, "B", 1), (3, "c", 2)]
+    upsert_table(make((2, "X", 1)), path, ["k", "p"], partition_by)
+    merge.finish_swap(spark, path, partition_by)  # nothing is left to undo it
+    assert rows(spark.read.parquet(path)) == [(1, "a", 1), (2, "X", 1), (3, "c", 2)]
+
+
 def test_target_names_and_saved_tables(spark):
     assert (tables.database_for("silver", "dev"), tables.database_for("gold", "prod")) == ("test_silver", "gold")
     name = tables.save_as_table(spark.range(3), "gold", "numbers", "dev")
@@ -320,6 +343,31 @@ def test_increments_add_up_to_a_full_load_and_reruns_change_nothing(spark, tmp_p
     assert validate(spark, warehouse).filter("violations > 0").count() == 0
 
 
+def test_gold_finds_dates_of_an_interrupted_backfill(spark, tmp_path, readings):
+    root, layout = str(tmp_path), files.Layout(str(tmp_path))
+    fact = f"{root}/gold/fact_air_quality_readings"
+    deliver(spark, layout, readings({}))
+    assert main(["--root", root]) == 0
+    deliver(spark, layout, readings({"utc": "2026-03-01T00:00"}, {"utc": "2026-03-06T00:00"}))
+    landing_to_bronze(spark, layout.landing, layout.bronze, f"{root}/state/readings_bronze").awaitTermination()
+    bronze = columns.lower_case(landing.readable(spark.read.parquet(layout.bronze)))
+    update_silver(bronze, Warehouse(root), mode="backfill", start="2026-03-01 00:00:00", end="2026-03-02 00:00:00")  # and no gold
+    assert rows(spark.read.parquet(fact), "date") == [("2026-03-04",)]
+    assert main(["--root", root]) == 0
+    assert rows(spark.read.parquet(fact), "date") == [("2026-03-01",), ("2026-03-04",), ("2026-03-06",)]
+
+
+def test_watermark_reads_the_newest_partition(spark, tmp_path):
+    cleaned = silver.clean_readings(raw_readings(spark, SF_DIR), ["event_id"])
+    path = str(tmp_path / "stored")
+    tables.write_partitioned(cleaned, path, ["date"])
+    stored = spark.read.parquet(path)
+    values = tables.partition_values(spark, path, "date")
+    assert values == sorted(row[0] for row in rows(stored.select(F.col("date").cast("string")).distinct()))
+    assert scanned(tables.newest_partition(stored, path, "date").agg(F.max("hour"))) == [("stored", {"numFiles": 1, "numPartitions": 1})]
+    assert tables.partition_values(spark, str(tmp_path / "none"), "date") == []
+
+
 def scanned(df):
     """Folder name and numbers of files and partitions read of every scan, after running the query."""
     df.collect()
@@ -415,6 +463,19 @@ def test_messages_to_landing_to_bronze_restarts(spark, tmp_path):
     assert run() == sent.count() + 7
 
 
+def test_stream_sinks_write_few_files_a_folder_and_batches_leave_no_copies(spark, tmp_path):
+    inbox, land = str(tmp_path / "inbox"), tmp_path / "landing"
+    messages.to_messages(feed_records(raw_readings(spark, SF_DIR))).repartition(16).write.parquet(inbox)
+    stream = spark.readStream.schema("key STRING, value STRING").parquet(inbox)
+    messages_to_landing(stream, str(land), str(tmp_path / "c")).awaitTermination()
+    assert max(len(list(folder.glob("*.json"))) for folder in land.glob("date=*")) <= SPREAD
+    with session.scratch(spark):
+        folder = Path(session.work_folder(spark))
+        session.staged(spark.range(3), "x")
+        assert folder.exists()
+    assert not folder.exists() and Path(session.work_folder(spark)) == folder.parent
+
+
 def test_processed_landing_files_are_archived(spark, tmp_path):
     land, archive = tmp_path / "landing", tmp_path / "archive"
 
