@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 from aeroline.fixed_values import CONCERN_LEVELS
 from aeroline.functions.times import reading_time
 from aeroline.operators import quality
-from aeroline.operators.incremental import in_range, only_partitions
+from aeroline.operators.incremental import in_range, only_partitions, same_key
 from aeroline.operators.merge import finish_swap, upsert_table
 from aeroline.operators.spatial import region_table
 from aeroline.plans import gold, silver
 from aeroline.session import at_once, remove_path, staged
-from aeroline.sources.tables import database_for, newest_partition, path_exists, read_table
+from aeroline.sources.tables import database_for, newest_partition, partition_values, path_exists, read_table
 
 DIMENSION_KEYS = {
     "dim_site": ["fullaqscode"],
@@ -33,6 +33,7 @@ KEY_COLUMNS = {
 }
 
 
+NO_TIME = "1900-01-01"
 PARTITIONED = {
     ("silver", "cleaned_readings"): ["date"],
     ("silver", "rejected_readings"): ["rejected_date"],
@@ -93,12 +94,24 @@ def update_silver(
         fresh = silver.reject_readings(raw.filter(in_range(reading_time(), start, end)), row_id)
     else:
         fresh = silver.reject_readings(raw, row_id)
-    upsert_table(_dated(fresh), rejected_path, silver.REJECTED_KEYS, ["rejected_date"])
+    fresh = _dated(fresh)
+    if mode == "incremental":
+        fresh = _changed(fresh, rejected, partition_values(spark, rejected_path, "rejected_date")[-1:])
+    upsert_table(fresh, rejected_path, silver.REJECTED_KEYS, ["rejected_date"])
 
 
 def _dated(rejected: DataFrame) -> DataFrame:
     """Partition date of a rejected reading; those without a time share one fixed date, so equality finds it again."""
-    return rejected.withColumn("rejected_date", F.coalesce(F.to_date("utc"), F.lit("1900-01-01").cast("date")))
+    return rejected.withColumn("rejected_date", F.coalesce(F.to_date("utc"), F.lit(NO_TIME).cast("date")))
+
+
+def _changed(fresh: DataFrame, stored: DataFrame, newest: list[str]) -> DataFrame:
+    """Rejected readings that are not stored as they are: those without a time pass every watermark, those of the newest
+    hour come again, and neither is to be stamped anew."""
+    again = stored.filter(F.col("rejected_date").isin([F.lit(day).cast("date") for day in {NO_TIME, *newest}]))
+    names = [name for name in fresh.columns if name != "rejected_at"]
+    known = again.select(*names)
+    return fresh.join(known, same_key(fresh, known, names), "left_anti")
 
 
 def open_dates(spark: SparkSession, warehouse: Warehouse) -> DataFrame:

@@ -60,7 +60,7 @@ def shared_folder(spark: SparkSession) -> str:
     if folder:
         return folder.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not (context.master == "local" or context.master.startswith("local[")):
         raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     return _own_folders.setdefault(context.applicationId, tempfile.mkdtemp(prefix="aeroline-"))
 

@@ -357,6 +357,18 @@ def test_gold_finds_dates_of_an_interrupted_backfill(spark, tmp_path, readings):
     assert rows(spark.read.parquet(fact), "date") == [("2026-03-01",), ("2026-03-04",), ("2026-03-06",)]
 
 
+def test_a_rerun_stamps_no_rejected_reading_anew(spark, tmp_path, readings):
+    warehouse, path = Warehouse(str(tmp_path)), f"{tmp_path}/silver/rejected_readings"
+    raw = readings({}, {"aqi": -999}, {"utc": None}, {"utc": "2026-03-05T00:00", "aqi": None})
+    update_silver(raw, warehouse, "event_id")
+    first = rows(spark.read.parquet(path))
+    update_silver(raw, warehouse, "event_id")
+    assert rows(spark.read.parquet(path)) == first and len(first) == 3
+    update_silver(readings({}, {}, {}, {}, {"utc": None, "parameter": "CO"}), warehouse, "event_id")
+    later = rows(spark.read.parquet(path))
+    assert set(first) < set(later) and len(later) == 4
+
+
 def test_watermark_reads_the_newest_partition(spark, tmp_path):
     cleaned = silver.clean_readings(raw_readings(spark, SF_DIR), ["event_id"])
     path = str(tmp_path / "stored")
