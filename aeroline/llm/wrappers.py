@@ -36,6 +36,8 @@ BOXES = frozenset(["div", "section"])
 #: Pages of a host from which on text that never varies counts as part of the template, and its greatest share of the main text.
 PAGES, FIXED_SHARE = 3, 0.3
 _MOST_TEXT = 0.6
+#: Elements nested deeper than this have no level of their own, so that no page exhausts the stack.
+DEEPEST = 150
 
 
 class Element:
@@ -57,8 +59,21 @@ def _start(tag: str, attributes: str, inside: bool) -> Element:
     return Element(tag, ".".join([tag, *names]), around)
 
 
+def _border(element: Element) -> None:
+    """The start or end of a block that shares its children with the element it is in."""
+    if element.tag not in INLINE:
+        element.children.append(Element("hr", "hr", False))
+
+
+def _end(stack: list[Element], at: int) -> None:
+    for element in stack[max(at, DEEPEST + 1):]:
+        _border(element)
+    del stack[at:]
+
+
 def parse(page: str) -> Element:
-    """The element tree of a page, whatever it looks like: end tags without a start are ignored, missing ones are implied."""
+    """The element tree of a page, whatever it looks like: end tags without a start are ignored, missing ones are implied,
+    and levels end at ``DEEPEST``: what is nested deeper stays in its place and keeps its block borders."""
     root = Element("", "", False)
     stack, at = [root], 0
     while at < len(page):
@@ -75,18 +90,22 @@ def parse(page: str) -> Element:
         if m[1]:
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag == tag:
-                    del stack[i:]
+                    _end(stack, i)
                     break
             continue
         if tag not in INLINE:
             for i in range(len(stack) - 1, 0, -1):
                 own = stack[i].tag
                 if own == "p" or tag in CLOSES.get(own, ()):
-                    del stack[i:]
+                    _end(stack, i)
                 elif own in SCOPES and own not in CLOSES:
                     break
         element = _start(tag, m[3], any(e.tag in ("article", "main") for e in stack))
-        stack[-1].children.append(element)
+        if len(stack) > DEEPEST and not element.around and tag not in VOID and tag not in RAW:
+            element.children = stack[-1].children
+            _border(element)
+        else:
+            stack[-1].children.append(element)
         if tag in RAW:
             end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
             at = end.end() if end else len(page)

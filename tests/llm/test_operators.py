@@ -1,6 +1,7 @@
 """Each operator against brute force, the library it has to equal, or held-out accuracy."""
 
 import hashlib
+import json
 import random
 import re
 
@@ -292,6 +293,16 @@ def test_line_of_the_template_is_left_out_unless_pages_are_copies():
     assert rule(["<article><h1>Head</h1><div>the whole text</div></article>"] * 4)["fixed"] == []
 
 
+def test_deeply_nested_pages():
+    for n in (100, 5000):
+        menu = "<nav>" + "<div><a>" * n + "left out" + "</a></div>" * n + "</nav>"
+        page = "<article>" + "<div>" * n + f"<p>Kept <b>text</b>,<br>whole.</p>{menu}<p>More.</p>" + "end</div>" * n + "</article>"
+        assert wrappers.extract(page, None) == "Kept text, whole.\nMore.\n" + "\n".join(["end"] * n)
+    assert wrappers.extract("<article><p>One" + "<b>" * 5000 + " two</p></article>", None) == "One two"
+    known = wrappers.merge(*(wrappers._pattern(wrappers.parse("<div>" * 5000 + f"<p>{t}")) for t in "ab"))
+    assert wrappers.rules(json.loads(json.dumps(known)), 2)["path"]
+
+
 def test_pages_of_the_table(spark):
     import html
 
