@@ -192,7 +192,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """The model from ``labels`` (``doc_id``, ``quality`` 0 or 1) and ``docs`` (``doc_id`` and :data:`INPUT`).
 
     At most ``LABELLED`` labelled and ``POOL`` other documents are used, the ones whose ids have the smallest hashes.
-    A document with different labels counts by their mean. Null ids and labels are left out.
+    A document with different labels counts by their mean. Null ids and labels are left out. Of rows that share an id
+    one is used, the one with the smallest features, so that the sample stays bounded.
     """
     docs = docs.select("doc_id", *INPUT)
     known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(
@@ -212,7 +213,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
                  pa.array([text_features(t).tobytes() for t in texts], pa.binary()), pa.array([metadata_features(*x).tobytes() for x in zip(*meta)], pa.binary())],
                 ["id", "label", "text", "meta"])
 
-    got = rows.mapInArrow(run, "id long, label int, text binary, meta binary").toPandas()
+    made = rows.mapInArrow(run, "id long, label int, text binary, meta binary")
+    got = made.groupBy("id").agg(F.min(F.struct("label", "text", "meta")).alias("row")).select("id", "row.*").toPandas()
     got = got.assign(key=[crc32(str(i).encode()) for i in got["id"]]).sort_values(["key", "id", "text"])
     table = [np.array([np.frombuffer(x, np.float32) for x in got[c]], np.float64).reshape(len(got), n) for c, n in (("text", TEXT_SIZE), ("meta", META_SIZE))]
     marked = (got["label"] >= 0).to_numpy()
