@@ -19,6 +19,8 @@ SEED = 42
 DISTANCE = 4
 #: Start and width of the segments. Two fingerprints at ``DISTANCE`` differ by at most one bit in one of three.
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
+#: Groups of more fingerprints are first linked by lookup, see :func:`_dense`.
+DENSE = 1024
 _FOLD = 1 << 18
 
 
@@ -62,6 +64,39 @@ def _variants(marks: DataFrame) -> DataFrame:
     return marks.select("fingerprint", F.explode(F.array(*keys)).alias("key"))
 
 
+def _dense(marks: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
+    """A forest that connects the different ``marks`` of a large group as all their links do.
+
+    Near copies of one text differ in the few bits that are nearly even, so most of them are one bit apart, and that is
+    looked up in order. Only what lies outside the largest component of this is compared, with all the others.
+    """
+    sorted_marks = np.sort(marks.view(np.uint64))
+    left, right = [], []
+    for bit in range(64):
+        other = sorted_marks ^ np.uint64(1 << bit)
+        place = np.minimum(np.searchsorted(sorted_marks, other), len(other) - 1)
+        hit = (sorted_marks[place] == other) & (sorted_marks < other) & (distance > 0)
+        left.append(sorted_marks[hit].view(np.int64))
+        right.append(other[hit].view(np.int64))
+    a, b = forest(np.concatenate(left), np.concatenate(right))
+    roots, sizes = np.unique(b, return_counts=True)
+    largest = roots[sizes.argmax()] if len(roots) else marks[0]
+    inside = np.r_[largest, a[b == largest]]
+    order = np.r_[inside, np.setdiff1d(marks, inside)]
+    left, right, held = [a], [b], 0
+    for i in range(len(inside), len(order)):
+        near = np.flatnonzero(np.bitwise_count((order[:i] ^ order[i]).view(np.uint64)) <= distance)
+        # One link into the largest component says what all of them would.
+        near = near[np.searchsorted(near, len(inside)) - 1:] if len(near) and near[0] < len(inside) else near
+        left.append(np.full(len(near), order[i]))
+        right.append(order[near])
+        held += len(near)
+        if held > 500_000:
+            a, b = forest(np.concatenate(left), np.concatenate(right))
+            left, right, held = [a], [b], 0
+    return forest(np.concatenate(left), np.concatenate(right))
+
+
 def _close(batches: Iterator[pa.RecordBatch], distance: int) -> Iterator[pa.RecordBatch]:
     """Verified links among the fingerprints of each key, contracted to a forest so that dense groups stay linear."""
     got = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches if b.num_rows]
@@ -74,8 +109,16 @@ def _close(batches: Iterator[pa.RecordBatch], distance: int) -> Iterator[pa.Reco
     sizes = np.diff(np.r_[starts, len(keys)])
     ends = np.repeat(starts + sizes, sizes)
     left, right, held = [], [], 0
-    at, step = np.arange(len(keys)), 1
-    at = at[at + 1 < ends]
+    for start, size in zip(starts[sizes > DENSE].tolist(), sizes[sizes > DENSE].tolist()):
+        a, b = _dense(marks[start:start + size], distance)
+        left.append(a)
+        right.append(b)
+        held += len(a)
+        if held > 500_000:
+            a, b = forest(np.concatenate(left), np.concatenate(right))
+            left, right, held = [a], [b], 0
+    at, step = np.flatnonzero(np.repeat(sizes <= DENSE, sizes)), 1
+    at = at[at + 1 < ends[at]]
     while len(at):
         near = np.bitwise_count((marks[at] ^ marks[at + step]).view(np.uint64)) <= distance
         left.append(marks[at[near]])

@@ -184,6 +184,43 @@ def test_links_of_random_fingerprints_are_complete(spark):
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, wanted.values()))
 
 
+@pytest.mark.parametrize("distance", [0, 1, 4])
+def test_large_groups_of_fingerprints_stay_whole(distance):
+    rng = random.Random(3)
+    centres = [rng.getrandbits(63) for _ in range(4)] + [rng.getrandbits(64) - (1 << 63) for _ in range(300)]
+    marks = set(centres)
+    for centre in centres[:4]:
+        bits = rng.sample(range(63), 12)
+        marks |= {centre ^ sum(1 << b for b in bits if rng.random() < 0.5) for _ in range(500)}
+        marks |= {centre ^ sum(1 << b for b in rng.sample(range(63), 9)) for _ in range(60)}
+    own = np.array(sorted(marks), np.int64)
+    rng.shuffle(own)
+    assert len(own) > simhash.DENSE
+    few = np.array([1, 3, 1 << 40], np.int64)
+    batch = simhash.pa.RecordBatch.from_arrays([np.r_[few, own], np.r_[np.full(3, 9), np.full(len(own), 7)]], ["fingerprint", "key"])
+    got = [x for b in simhash._close(iter([batch]), distance) for x in zip(*(c.to_pylist() for c in b.columns))]
+    near = np.bitwise_count((own[:, None] ^ own[None, :]).view(np.uint64)) <= distance
+    low = np.arange(len(own))
+    while True:
+        new = np.where(near, low[None, :], len(own)).min(axis=1)
+        if (new == low).all():
+            break
+        low = new
+    nodes = {m: m for m in own.tolist()}
+
+    def root(m):
+        while nodes[m] != m:
+            m = nodes[m]
+        return m
+
+    for a, b in got:
+        if a in nodes:
+            nodes[root(a)] = root(b)
+    assert len({root(m) for m in nodes}) == len(set(low.tolist()))
+    assert len({(root(m), label) for m, label in zip(own.tolist(), low.tolist())}) == len(set(low.tolist()))
+    assert len(got) == len(own) - len(set(low.tolist())) + {0: 0, 1: 1, 4: 2}[distance]  # 1, 3 and 1 << 40
+
+
 def test_simhash_of_odd_rows(spark):
     found = simhash.near_duplicates(odd_docs(spark)).collect()
     by = {r["doc_id"]: r for r in found}
@@ -321,6 +358,8 @@ def test_quality_held_out_accuracy_and_odd_rows(spark):
     got = [(r["keep"], r["quality"] == 1) for r in scored.collect()]
     assert len(got) > 80 and sum(a == b for a, b in got) >= 0.97 * len(got)
     assert quality.fit(docs, known).passed_on > 0
+    again = docs.union(docs.where("doc_id % 2 = 0")).union(docs.where("doc_id = 1"))
+    assert (quality.fit(again, known).combine == quality.fit(docs, known).combine).all()
     odd = odd_docs(spark)
     assert quality.score(odd, labels).count() == 11
     kept = quality.good(odd, spark.createDataFrame([(1, 1), (None, 0), (3, None)], "doc_id long, quality int"))
