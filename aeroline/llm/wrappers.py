@@ -5,8 +5,10 @@ from __future__ import annotations
 import html as html_entities
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -14,7 +16,7 @@ from pyspark.sql import functions as F
 
 from aeroline.session import staged
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^\"'>]|\"[^\"]*\"|'[^']*')*)>", re.S)
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^\"'>]|\"[^\"]*\"|'[^']*')*+)>", re.S)
 ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 WORDS = re.compile(r"[A-Z]?[a-z0-9]+|[A-Z]+(?![a-z])")
 SPACE = re.compile(r"\s+")
@@ -38,6 +40,8 @@ PAGES, FIXED_SHARE = 3, 0.3
 _MOST_TEXT = 0.6
 #: Elements nested deeper than this have no level of their own, so that no page exhausts the stack.
 DEEPEST = 150
+#: A list of nodes that grows beyond this is folded into repeated groups, so that a wrapper does not grow with its pages.
+LONGEST = 64
 
 
 class Element:
@@ -75,16 +79,18 @@ def parse(page: str) -> Element:
     """The element tree of a page, whatever it looks like: end tags without a start are ignored, missing ones are implied,
     and levels end at ``DEEPEST``: what is nested deeper stays in its place and keeps its block borders."""
     root = Element("", "", False)
-    stack, at = [root], 0
+    stack, at, last = [root], 0, page.rfind(">") + 1
     while at < len(page):
-        m = TOKEN.search(page, at)
-        text = page[at:m.start() if m else len(page)]
+        m = TOKEN.search(page, at, last) if at < last else None
+        text = page[at:m.start()] if m else page[at:].partition("<!--")[0]
         if text:
             stack[-1].children.append(text)
         if not m:
             break
         at = m.end()
         if m[2] is None:
+            if m[0].startswith("<!--") and not m[0].endswith("-->"):
+                break
             continue
         tag = m[2].lower()
         if m[1]:
@@ -141,8 +147,8 @@ def _lines(element: Element, fixed: set[str]) -> list[str]:
 
 
 # A wrapper is a list of nodes [sign, kind, children, weight, text]. kind: "1" once, "?" optional, "+" repeated,
-# "*" both. A text node has the sign "#"; its text is what all pages have there, or None: a slot. weight: characters
-# of text below it over all pages.
+# "*" both. A text node has the sign "#"; its text is what all pages have there, or None: a slot. A node with the sign
+# "()" is a group that is no element of its own. weight: characters of text below it over all pages.
 
 
 def _pattern(element: Element) -> list:
@@ -172,7 +178,7 @@ def _pattern(element: Element) -> list:
 
     walk(element)
     flush()
-    return _repeats(nodes)
+    return _folded(_repeats(nodes))
 
 
 def _joined(a: list, b: list, kind: str) -> list:
@@ -194,6 +200,43 @@ def _repeats(nodes: list) -> list:
     return out
 
 
+def _group(nodes: list) -> list:
+    """A repeated group of optional members that covers the nodes in any order; too many signs are told apart by tag only."""
+    def joined(sign_of) -> dict[str, list]:
+        members: dict[str, list] = {}
+        for node in _flat(nodes):
+            sign, known = sign_of(node[0]), members.get(sign_of(node[0]))
+            single = [sign, "?" if node[1] in "1?" else "*", *node[2:]]
+            members[sign] = single if known is None else _joined(known, single, "*")
+        return members
+
+    members = joined(str)
+    if len(members) > LONGEST:
+        members = joined(lambda sign: sign.split(".")[0])
+    return ["()", "*", list(members.values()), sum(n[3] for n in nodes), None]
+
+
+def _flat(nodes: list) -> Iterator[list]:
+    """The nodes, with the members of groups in their place."""
+    for node in nodes:
+        if node[0] == "()":
+            yield from _flat(node[2])
+        else:
+            yield node
+
+
+def _folded(nodes: list) -> list:
+    """A list of bounded length: what stands between elements that are there once on every page becomes a group."""
+    if len(nodes) <= LONGEST:
+        return nodes
+    often = Counter(n[0] for n in nodes)
+    out: list[list] = []
+    for single, run in groupby(nodes, lambda n: n[1] == "1" and often[n[0]] == 1):
+        run = list(run)
+        out += run if single or len(run) == 1 else [_group(run)]
+    return out if len(out) <= LONGEST else [_group(out)]
+
+
 def merge(a: list, b: list) -> list:
     """The wrapper that covers both: equal signs are aligned, what has no partner becomes optional, text that differs a slot."""
     if not a or not b:
@@ -204,20 +247,21 @@ def merge(a: list, b: list) -> list:
             out += [_joined(x, y, _kind(x[1], y[1])) for x, y in zip(a[a0:a1], b[b0:b1])]
         else:
             out += [[n[0], _kind(n[1], "?"), *n[2:]] for n in a[a0:a1] + b[b0:b1]]
-    return _repeats(out)
+    return _folded(_repeats(out))
 
 
 def expression(wrapper: list) -> str:
     """The wrapper as a readable expression."""
     parts = []
     for sign, kind, children, _, text in wrapper:
-        body = ("#slot" if text is None else repr(text)) if sign == "#" else f"<{sign}>{expression(children)}</>"
+        inner = expression(children)
+        body = ("#slot" if text is None else repr(text)) if sign == "#" else inner if sign == "()" else f"<{sign}>{inner}</>"
         parts.append(body if kind == "1" else f"({body}){kind}")
     return "".join(parts)
 
 
 def _articles(nodes: list, path: tuple[str, ...] = ()) -> Iterator[tuple[tuple[str, ...], list]]:
-    for node in nodes:
+    for node in _flat(nodes):
         here = (*path, node[0])
         if node[0].split(".")[0] in ("article", "main") and node[3]:
             yield here, node
@@ -237,6 +281,7 @@ def main_path(wrapper: list) -> tuple[tuple[str, ...], list]:
     path: tuple[str, ...] = ()
     nodes = wrapper
     while True:
+        nodes = list(_flat(nodes))
         total = sum(n[3] for n in nodes)
         best = max((n for n in nodes if n[0] != "#" and n[1] in "1?"), key=lambda n: n[3], default=None)
         if best is None or best[0].split(".")[0] in ("p", "pre", "table", "ul", "ol", "blockquote") or best[3] < _MOST_TEXT * total or not total:
@@ -289,7 +334,7 @@ def infer(pages: DataFrame) -> DataFrame:
     """``host``, ``pages``, ``wrapper`` (JSON) for every host of ``pages`` (``host``, ``html``), from all its pages.
 
     Tasks merge the pages of a host that they have, then the wrappers of tasks are merged, one row per host and batch:
-    a host with a third of all pages sends no more rows than others. A wrapper has the size of a page's structure.
+    a host with a third of all pages sends no more rows than others. A list of a wrapper has ``LONGEST`` nodes at most, or a group of as many.
     """
 
     def fold(rows: Iterator[tuple[str, int, list]]) -> Iterator[pa.RecordBatch]:

@@ -340,6 +340,23 @@ def test_deeply_nested_pages():
     assert wrappers.rules(json.loads(json.dumps(known)), 2)["path"]
 
 
+def test_wrappers_stay_bounded_and_broken_markup_is_quick():
+    rng, known, pages = random.Random(1), None, []
+    for i in range(300):
+        tags = [rng.choice(["h2", "p", "p", "ul", "pre", f"div class={''.join(rng.choices('abcdefgh', k=5))}"]) for _ in range(rng.randrange(5, 90))]
+        pages.append("<body><article>" + "".join(f"<{t}>t{k}</{t[:3].strip()}>" for k, t in enumerate(tags)) + "</article></body>")
+        own = wrappers._pattern(wrappers.parse(pages[-1]))
+        known = own if known is None else wrappers.merge(known, own)
+    assert len(json.dumps(known)) < 20_000 and wrappers.expression(known).count("(") > 2
+    rule = wrappers.rules(known, len(pages))
+    assert rule == {"path": ["body", "article"], "fixed": []}
+    assert wrappers.extract(pages[0], rule).split("\n") == [f"t{k}" for k in range(pages[0].count(">t"))]
+    assert wrappers.extract("<p>x</p>" + "<a " * 200_000, None).startswith("x\n<a <a")
+    assert wrappers.extract("<p>one<!-- x > y", None) == "one"
+    assert wrappers.extract("<p>one <!-- x --> two<!-- a > b <p>c", None) == "one two"
+    assert wrappers.extract("<p>1 > 0 <b <!-- end", None) == "1 > 0 <b"
+
+
 def test_pages_of_the_table(spark):
     import html
 
