@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from zlib import crc32
 
@@ -11,9 +11,12 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-#: Bounds of the sample that the views are fitted on: labelled and unlabelled documents, taken by hash of their id.
-LABELLED, POOL = 8000, 8000
+from aeroline.session import staged
+
+#: Bound of the labelled sample that the views are fitted on, taken by hash of the id. All unlabelled documents take part.
+LABELLED = 8000
 ROUNDS, PER_ROUND = 5, 200
 #: A pseudo-label is passed on only if the view that gives it is that sure after calibration.
 SURE = 0.97
@@ -150,11 +153,12 @@ class Model:
         return _sigmoid(t), _sigmoid(m), _sigmoid(np.stack([t, m], axis=1) @ self.combine[:2] + self.combine[2])
 
 
-def co_train(text_x: np.ndarray, meta_x: np.ndarray, y: np.ndarray, pool_text: np.ndarray, pool_meta: np.ndarray) -> Model:
+def co_train(text_x: np.ndarray, meta_x: np.ndarray, y: np.ndarray, surest: Callable[[dict[str, View], dict[int, int], set[int]], dict]) -> Model:
     """Views on two thirds of the labelled rows; the other third calibrates and combines them.
 
-    In each round both views label what they are surest of in the pool, as many of each class as the labels suggest,
-    and the other view learns from it.
+    In each round both views label what they are surest of among the unlabelled documents, as many of each class as the
+    labels suggest, and the other view learns from it. ``surest`` is given the views, the number wanted of each class and
+    the ids that are taken, see :func:`_surest`.
     """
     if len(set(y.tolist())) < 2:
         return Model(None, None, np.zeros(3))
@@ -163,23 +167,19 @@ def co_train(text_x: np.ndarray, meta_x: np.ndarray, y: np.ndarray, pool_text: n
         held = np.zeros(len(y), bool)
     fit, check = ~held, held if held.any() else ~held
     sets = {"text": (text_x[fit], y[fit]), "meta": (meta_x[fit], y[fit])}
-    inputs = {"text": (text_x, pool_text), "meta": (meta_x, pool_meta)}
-    free = np.ones(len(pool_text), bool)
-    share, passed_on, views = y.mean(), 0, {}
+    inputs = {"text": text_x, "meta": meta_x}
+    share, passed_on, views, taken = y.mean(), 0, {}, set()
+    wanted = {1: max(1, round(PER_ROUND * share)), 0: max(1, round(PER_ROUND * (1 - share)))}
     for turn in range(ROUNDS + 1):
-        views = {k: _fit_view(*sets[k], inputs[k][0][check], y[check]) for k in sets}
-        if turn == ROUNDS or not free.any():
+        views = {k: _fit_view(*sets[k], inputs[k][check], y[check]) for k in sets}
+        if turn == ROUNDS:
             break
         given = 0
-        for teacher, learner in (("text", "meta"), ("meta", "text")):
-            sure = _sigmoid(views[teacher].calibrated(inputs[teacher][1]))
-            for label, certainty, part in ((1, sure, share), (0, 1 - sure, 1 - share)):
-                order = np.argsort(-certainty, kind="stable")
-                chosen = order[(certainty[order] >= SURE) & free[order]][: max(1, round(PER_ROUND * part))]
-                free[chosen] = False
-                given += len(chosen)
-                x, labels = sets[learner]
-                sets[learner] = (np.r_[x, inputs[learner][1][chosen]], np.r_[labels, np.full(len(chosen), label)])
+        for (_, learner, label), found in surest(views, wanted, taken).items():
+            x, labels = sets[learner]
+            taken.update(i for i, _ in found)
+            given += len(found)
+            sets[learner] = (np.array([*x, *(row for _, row in found)]), np.r_[labels, np.full(len(found), label)])
         passed_on += given
         if not given:
             break
@@ -188,37 +188,113 @@ def co_train(text_x: np.ndarray, meta_x: np.ndarray, y: np.ndarray, pool_text: n
     return Model(views["text"], views["meta"], combine, passed_on)
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    """The model from ``labels`` (``doc_id``, ``quality`` 0 or 1) and ``docs`` (``doc_id`` and :data:`INPUT`).
+def _stack(column: pa.Array, size: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.float32).astype(np.float64).reshape(-1, size)
+
+
+def _surest(pool: DataFrame, views: dict[str, View], wanted: dict[int, int], taken: set[int]) -> dict[tuple[str, str, int], list[tuple[int, np.ndarray]]]:
+    """By teacher, learner and label, in turn: ids of ``pool`` and the learner's features, the surest first.
 
-    At most ``LABELLED`` labelled and ``POOL`` other documents are used, the ones whose ids have the smallest hashes.
-    A document with different labels counts by their mean. Null ids and labels are left out. Of rows that share an id
-    one is used, the one with the smallest features, so that the sample stays bounded.
+    Every row is scored; a task hands on the few surest different ids of each teacher and label, and the best of all
+    tasks reach the driver: a number of rows that depends on ``wanted`` only. An id goes once, by the row that its
+    teacher is surest of; equally sure ones go in order of a hash.
     """
-    docs = docs.select("doc_id", *INPUT)
-    known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(
-        F.when(F.avg("quality") >= 0.5, 1).otherwise(0).alias("label"))
-    by = F.xxhash64(F.col("doc_id").cast("long"))
-    known = known.join(docs.select("doc_id").distinct(), "doc_id", "left_semi").orderBy(by, "doc_id").limit(LABELLED)
-    others = docs.select("doc_id").where("doc_id IS NOT NULL").join(labels.select("doc_id"), "doc_id", "left_anti")
-    others = others.orderBy(by, "doc_id").limit(POOL).distinct().withColumn("label", F.lit(-1))
-    chosen = F.broadcast(known.union(others).select(F.col("doc_id").alias("of"), "label"))  # LABELLED + POOL rows at most
-    rows = docs.join(chosen, docs["doc_id"] == F.col("of")).select(F.col("of").cast("long"), "label", *_input(docs))
+    turns = [("text", "meta", 1), ("text", "meta", 0), ("meta", "text", 1), ("meta", "text", 0)]
+    most = 2 * sum(wanted.values())  # what the other teacher takes first may be among them
+    out = np.array(sorted(taken), np.int64)
+    # Sums by row: a row's certainty does not depend on the batch it is in.
+    lines = {k: (v.mean, v.scale, v.weights, v.slope, v.shift) for k, v in views.items()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = {turn: tuple(np.zeros(0, t) for t in (np.float64, np.int64, np.int64, np.int64)) for turn in range(len(turns))}
+        for b in batches:
+            ids, keys, marks = (b.column(i).to_numpy() for i in range(3))
+            free = ~np.isin(ids, out)
+            good = {}
+            for teacher, column, size in (("text", 3, TEXT_SIZE), ("meta", 4, META_SIZE)):
+                mean, scale, weights, slope, shift = lines[teacher]
+                margin = ((_stack(b.column(column), size) - mean) / scale * weights[:-1]).sum(axis=1) + weights[-1]
+                good[teacher] = _sigmoid(slope * margin + shift)
+            for at, (teacher, _, label) in enumerate(turns):
+                certainty = good[teacher] if label else 1 - good[teacher]
+                some = np.flatnonzero((certainty >= SURE) & free)
+                doubt, key, own, mark = (np.r_[x, new[some]] for x, new in zip(best[at], (-certainty, keys, ids, marks)))
+                order = np.lexsort((mark, own, key, doubt))
+                order = order[np.sort(np.unique(own[order], return_index=True)[1])][:most]
+                best[at] = (doubt[order], key[order], own[order], mark[order])
+        for at, (doubt, key, own, mark) in best.items():
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), at, np.int32)), *map(pa.array, (doubt, key, own, mark))], ["turn", "doubt", "key", "id", "mark"])
+
+    rows = pool.select("id", "key", "mark", "text", "meta").mapInArrow(run, "turn int, doubt double, key long, id long, mark long")
+    single = rows.groupBy("turn", "id").agg(F.min(F.struct("doubt", "key", "mark")).alias("row")).select("turn", "id", "row.*")
+    place = F.row_number().over(Window.partitionBy("turn").orderBy("doubt", "key", "id"))
+    listed = single.withColumn("place", place).where(F.col("place") <= most).collect()
+    chosen: dict[int, list] = {at: [] for at in range(len(turns))}
+    given: set[int] = set()
+    for r in sorted(listed, key=lambda r: (r["turn"], r["place"])):
+        if r["id"] not in given and len(chosen[r["turn"]]) < wanted[turns[r["turn"]][2]]:
+            chosen[r["turn"]].append((r["id"], r["mark"]))
+            given.add(r["id"])
+    pairs = {pair for listed in chosen.values() for pair in listed}
+    if not pairs:
+        return {turn: [] for turn in turns}
+    near = np.array(sorted(i for i, _ in pairs), np.int64)
+
+    def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
+        for b in batches:
+            ids, marks = b.column(0).to_numpy(), b.column(1).to_numpy()
+            at = []
+            for i in np.flatnonzero(np.isin(ids, near)).tolist():
+                pair = int(ids[i]), int(marks[i])
+                if pair in pairs and pair not in seen:
+                    seen.add(pair)
+                    at.append(i)
+            if at:
+                yield b.take(pa.array(at))
+
+    # A task gives a row once; rows that several tasks have are few, as only chosen ids are left.
+    rows = pool.select("id", "mark", "text", "meta").mapInArrow(fetch, "id long, mark long, text binary, meta binary").dropDuplicates(["id", "mark"])
+    known = {(r["id"], r["mark"]): r for r in rows.collect()}
+    return {turns[at]: [(i, np.frombuffer(known[i, mark][turns[at][1]], np.float32).astype(np.float64)) for i, mark in pairs_of]
+            for at, pairs_of in chosen.items()}
+
+
+def _features(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``id``, ``key``, ``mark`` (hashes of id and features), ``text``, ``meta``, ``labelled`` of each row with an id, stored."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids, marks, texts, *meta = (c.to_pylist() for c in b.columns)
+            ids, texts, *meta = (c.to_pylist() for c in b.columns)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(marks, pa.int32()),
+                [pa.array(ids, pa.int64()), pa.array([crc32(str(i).encode()) for i in ids], pa.int64()),
                  pa.array([text_features(t).tobytes() for t in texts], pa.binary()), pa.array([metadata_features(*x).tobytes() for x in zip(*meta)], pa.binary())],
-                ["id", "label", "text", "meta"])
-
-    made = rows.mapInArrow(run, "id long, label int, text binary, meta binary")
-    got = made.groupBy("id").agg(F.min(F.struct("label", "text", "meta")).alias("row")).select("id", "row.*").toPandas()
-    got = got.assign(key=[crc32(str(i).encode()) for i in got["id"]]).sort_values(["key", "id", "text"])
-    table = [np.array([np.frombuffer(x, np.float32) for x in got[c]], np.float64).reshape(len(got), n) for c, n in (("text", TEXT_SIZE), ("meta", META_SIZE))]
-    marked = (got["label"] >= 0).to_numpy()
-    return co_train(table[0][marked], table[1][marked], got["label"].to_numpy()[marked].astype(float), table[0][~marked], table[1][~marked])
+                ["id", "key", "text", "meta"])
+
+    rows = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), *_input(docs))
+    made = rows.mapInArrow(run, "id long, key long, text binary, meta binary")
+    marked = labels.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("id")).distinct().withColumn("labelled", F.lit(True))
+    made = made.join(marked, "id", "left")
+    return staged(made.select("id", "key", F.xxhash64("text", "meta").alias("mark"), "text", "meta", F.coalesce("labelled", F.lit(False)).alias("labelled")), "features")
+
+
+def fit(docs: DataFrame, labels: DataFrame) -> Model:
+    """The model from ``labels`` (``doc_id``, ``quality`` 0 or 1) and ``docs`` (``doc_id`` and :data:`INPUT`).
+
+    At most ``LABELLED`` labelled documents are used, the ones whose ids have the smallest hashes, and all others.
+    A document with different labels counts by their mean. Null ids and labels are left out. Of labelled rows that share
+    an id the one with the smallest features is used, so that the sample stays bounded.
+    """
+    features = _features(docs, labels)
+    known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("id")).agg(
+        F.when(F.avg("quality") >= 0.5, 1).otherwise(0).alias("label"))
+    known = known.join(features.where("labelled").select("id").distinct(), "id", "left_semi").orderBy(F.xxhash64("id"), "id").limit(LABELLED)
+    rows = features.where("labelled").join(F.broadcast(known), "id")  # LABELLED rows at most
+    got = rows.groupBy("id").agg(F.min(F.struct("label", "text", "meta")).alias("row")).select("id", "row.*").toPandas()
+    got = got.assign(key=[crc32(str(i).encode()) for i in got["id"]]).sort_values(["key", "id"])
+    text_x, meta_x = (np.array([np.frombuffer(x, np.float32) for x in got[c]], np.float64).reshape(len(got), n) for c, n in (("text", TEXT_SIZE), ("meta", META_SIZE)))
+    pool = features.where("NOT labelled")
+    return co_train(text_x, meta_x, got["label"].to_numpy().astype(float), lambda *state: _surest(pool, *state))
 
 
 def _input(docs: DataFrame) -> list[Column]:

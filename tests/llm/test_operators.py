@@ -385,6 +385,41 @@ def test_quality_held_out_accuracy_and_odd_rows(spark):
     assert quality.score(docs, labels.limit(0)).where("keep").count() == docs.count()
 
 
+def test_all_unlabelled_documents_take_part_in_co_training(spark):
+    docs, labels = (spark.read.parquet(f"{SF_DIR.replace('0.001', '0.01')}/{t}.parquet") for t in ("documents", "labels"))
+    known = labels.where("doc_id % 3 <> 0")
+    first = docs.join(labels, "doc_id", "left_anti").orderBy(F.xxhash64("doc_id")).limit(1)
+    copies = first.withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(8000)))).drop("n")
+    once, often = quality.fit(docs, known), quality.fit(docs.union(copies), known)
+    assert often.passed_on == once.passed_on > 1 and (often.combine == once.combine).all()
+
+
+def test_surest_documents_are_those_of_all(spark):
+    docs = spark.range(12_000).select(
+        F.col("id").alias("doc_id"), F.concat_ws(" ", F.array_repeat(F.lit("ab c"), (F.col("id") % 7).cast("int")), F.col("id").cast("string")).alias("text"),
+        F.lit("en").alias("lang"), F.lit("a").alias("source"), (F.col("id") * 3).alias("n_chars"))
+    features = quality._features(docs, spark.createDataFrame([(5, 1)], "doc_id long, quality int"))
+    got = {r["id"]: r for r in features.collect()}
+    assert len(got) == 12_000 and [i for i, r in got.items() if r["labelled"]] == [5]
+    random = np.random.default_rng(1)
+    views = {k: quality.View(np.zeros(n), np.ones(n), random.normal(size=n + 1) * 9) for k, n in (("text", quality.TEXT_SIZE), ("meta", quality.META_SIZE))}
+    taken, wanted = set(range(0, 12_000, 5)) - {5}, {1: 60, 0: 40}
+    found = quality._surest(features.where("NOT labelled"), views, wanted, set(taken))
+    for (teacher, learner, label), chosen in found.items():
+        free = [i for i in got if i not in taken and i != 5]
+        margin = views[teacher].margin(np.array([np.frombuffer(got[i][teacher], np.float32) for i in free], np.float64))
+        certainty = 1 / (1 + np.exp(-np.clip(margin, -40, 40)))
+        certainty = certainty if label else 1 - certainty
+        order = sorted((j for j in range(len(free)) if certainty[j] >= quality.SURE), key=lambda j: -certainty[j])
+        assert len(chosen) == min(wanted[label], len(order))
+        if chosen:
+            at = dict(zip(free, certainty))
+            assert np.allclose([at[i] for i, _ in chosen], [certainty[j] for j in order[:len(chosen)]], atol=1e-9)
+            assert all((x == np.frombuffer(got[i][learner], np.float32)).all() for i, x in chosen)
+        taken |= {i for i, _ in chosen}
+    assert sum(map(len, found.values())) >= 100
+
+
 # 7: mixing.
 
 def test_mixing_meets_targets(spark):
