@@ -35,6 +35,9 @@ notices alert nav navbar navigation menu breadcrumb breadcrumbs sidebar sidebars
 replies related recommended share sharing social newsletter subscribe subscription signup popup modal overlay login pagination pager toolbar skip search hidden""".split())
 AROUND_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar".split())
 BOXES = frozenset(["div", "section"])
+ARTICLES = frozenset(["article", "main"])
+#: Repeated elements of these are items of a list (comments, teasers), not the paragraphs of one text.
+ITEMS = frozenset("li div section article dd tr".split())
 #: Pages of a host from which on text that never varies counts as part of the template, and its greatest share of the main text.
 PAGES, FIXED_SHARE = 3, 0.3
 _MOST_TEXT = 0.6
@@ -45,10 +48,21 @@ LONGEST = 64
 
 
 class Element:
-    __slots__ = ("around", "children", "sign", "tag")
+    __slots__ = ("around", "children", "doubtful", "sign", "tag")
 
     def __init__(self, tag: str, sign: str, around: bool):
-        self.tag, self.sign, self.around, self.children = tag, sign, around, []
+        self.tag, self.sign, self.around, self.children, self.doubtful = tag, sign, around, [], not around and _doubtful(sign)
+
+
+def _doubtful(sign: str) -> bool:
+    """Class or id has a word of things around a text; whether the element is one is decided by its host's wrapper."""
+    tag, *names = sign.split(".")
+    return bool(names) and tag not in ("html", "body", "article", "main") and not AROUND_WORDS.isdisjoint(names)
+
+
+def _flows(element: Element) -> bool:
+    """Part of a line: inline, without blocks."""
+    return element.tag in INLINE and not any(isinstance(c, Element) and c.tag not in INLINE for c in element.children)
 
 
 def _start(tag: str, attributes: str, inside: bool) -> Element:
@@ -57,7 +71,7 @@ def _start(tag: str, attributes: str, inside: bool) -> Element:
     if attributes.strip():
         found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(attributes)}
         names = sorted({w.lower() for a in ("class", "id") for w in WORDS.findall(found.get(a, "")) if not w.isdigit()})
-        around = around or bool(AROUND_WORDS.intersection(names)) or found.get("role", "").lower() in AROUND_ROLES
+        around = around or found.get("role", "").lower() in AROUND_ROLES
         around = around or "hidden" in found or found.get("aria-hidden") == "true" or bool(re.search(r"display\s*:\s*none", found.get("style", ""), re.I))
         around = around and tag not in ("html", "body", "article", "main")
     return Element(tag, ".".join([tag, *names]), around)
@@ -107,6 +121,7 @@ def parse(page: str) -> Element:
                 elif own in SCOPES and own not in CLOSES:
                     break
         element = _start(tag, m[3], any(e.tag in ("article", "main") for e in stack))
+        element.around = element.around or (element.doubtful and len(stack) > DEEPEST)
         if len(stack) > DEEPEST and not element.around and tag not in VOID and tag not in RAW:
             element.children = stack[-1].children
             _border(element)
@@ -120,29 +135,32 @@ def parse(page: str) -> Element:
     return root
 
 
-def _blocks(element: Element, out: list[list[str]]) -> None:
-    """Pieces of text by block; ``out`` ends with the open block."""
+def _blocks(element: Element, out: list[list[str]], opened: set[tuple[str, ...]], path: tuple[str, ...] = ()) -> None:
+    """Pieces of text by block; ``out`` ends with the open block. ``opened``: paths of doubtful elements that are text."""
     for child in element.children:
         if isinstance(child, str):
             out[-1].append(child)
-        elif child.around:
+            continue
+        here = path if _flows(child) else (*path, child.sign)
+        if child.around or (child.doubtful and (here is path or here not in opened)):
             if child.tag not in INLINE:
                 out.append([])
         elif child.tag in INLINE:
             if child.tag in ("br", "wbr", "img"):
                 out[-1].append(" " if child.tag == "br" else "")
             else:
-                _blocks(child, out)
+                _blocks(child, out, opened, here)
         else:
             out.append([])
-            _blocks(child, out)
+            _blocks(child, out, opened, here)
             out.append([])
 
 
-def _lines(element: Element, fixed: set[str]) -> list[str]:
+def _lines(element: Element, rule: dict) -> list[str]:
     out: list[list[str]] = [[]]
-    _blocks(element, out)
+    _blocks(element, out, {tuple(p) for p in rule.get("open", ())})
     lines = (SPACE.sub(" ", html_entities.unescape("".join(b))).strip() for b in out if b)
+    fixed = set(rule["fixed"])
     return [line for line in lines if line and line not in fixed]
 
 
@@ -165,9 +183,9 @@ def _pattern(element: Element) -> list:
         for child in e.children:
             if isinstance(child, str):
                 flow.append(child)
-            elif child.around:
+            elif child.around or (child.doubtful and _flows(child)):
                 continue
-            elif child.tag in INLINE and not any(isinstance(c, Element) and c.tag not in INLINE for c in child.children):
+            elif _flows(child):
                 if child.tag == "br":
                     flow.append(" ")
                 walk(child)
@@ -212,7 +230,7 @@ def _group(nodes: list) -> list:
 
     members = joined(str)
     if len(members) > LONGEST:
-        members = joined(lambda sign: sign.split(".")[0])
+        members = joined(lambda sign: sign.split(".")[0] + (".ad" if _doubtful(sign) else ""))
     return ["()", "*", list(members.values()), sum(n[3] for n in nodes), None]
 
 
@@ -289,6 +307,51 @@ def main_path(wrapper: list) -> tuple[tuple[str, ...], list]:
         path, nodes = (*path, best[0]), best[2]
 
 
+def _own(nodes: list, fixed: bool) -> int:
+    """Characters of text outside lists of items; ``fixed``: without what all pages have."""
+    total = 0
+    for sign, kind, children, weight, text in nodes:
+        if sign == "#":
+            total += 0 if fixed and text is not None and kind == "1" else weight
+        elif sign == "()" or kind in "1?" or sign.split(".")[0] not in ITEMS:
+            total += _own(children, fixed)
+    return total
+
+
+def _holds_article(nodes: list) -> bool:
+    """An article or main element with text that is no item of a list."""
+    return any(n[3] and n[1] in "1?" and (n[0].split(".")[0] in ARTICLES or _holds_article(n[2])) for n in _flat(nodes))
+
+
+def _without_around(wrapper: list, pages: int) -> tuple[list, set[tuple[str, ...]]]:
+    """The wrapper without the doubtful elements that are around the text, and the paths of those that are not: what
+    holds the article or main element, or most of the text of the page, or of the article it is in."""
+    fixed = pages >= PAGES and _own(wrapper, True) > 0
+    opened: set[tuple[str, ...]] = set()
+
+    def kept(nodes: list, path: tuple[str, ...], scope: int, inside: bool) -> list:
+        out = []
+        for node in nodes:
+            sign, kind, children, _, text = node
+            if sign == "#":
+                out.append(node)
+                continue
+            here, within, whole = path, inside, scope
+            if sign != "()":
+                here = (*path, sign)
+                if _doubtful(sign):
+                    if not (not inside and _holds_article([node])) and _own([node], fixed) < max(1, _MOST_TEXT * scope):
+                        continue
+                    opened.add(here)
+                elif sign.split(".")[0] in ARTICLES:
+                    within, whole = True, _own(children, fixed)
+            inner = kept(children, here, whole, within)
+            out.append([sign, kind, inner, sum(n[3] for n in inner), text])
+        return out
+
+    return kept(wrapper, (), _own(wrapper, fixed), False), opened
+
+
 def _fixed(nodes: list, box: bool = False) -> Iterator[str]:
     """Lines that all pages have in a box of their own; headings and paragraphs of the text itself are not meant."""
     for sign, kind, children, _, text in nodes:
@@ -299,12 +362,15 @@ def _fixed(nodes: list, box: bool = False) -> Iterator[str]:
 
 
 def rules(wrapper: list, pages: int) -> dict:
-    """What extraction needs of a wrapper: the path of the main element, and lines of the template in it."""
+    """What extraction needs of a wrapper: the path of the main element, lines of the template in it, and the paths below
+    it of doubtful elements that are text, if there are any."""
+    wrapper, opened = _without_around(wrapper, pages)
     path, nodes = main_path(wrapper)
     fixed = set(_fixed(nodes)) if pages >= PAGES else set()
     if sum(map(len, fixed)) * pages > FIXED_SHARE * sum(n[3] for n in nodes):
         fixed = set()  # the pages are copies
-    return {"path": list(path), "fixed": sorted(fixed)}
+    inner = sorted(list(p[len(path):]) for p in opened if len(p) > len(path) and p[:len(path)] == path)
+    return {"path": list(path), "fixed": sorted(fixed)} | ({"open": inner} if inner else {})
 
 
 def _at(element: Element, path: list[str]) -> list[Element]:
@@ -318,10 +384,10 @@ def extract(page: str | None, rule: dict | None) -> str:
     """Main text of a page by its host's rule; a page without the rule's element is judged by itself."""
     root = parse(page or "")
     own = _at(root, rule["path"]) if rule and rule["path"] else []
-    lines = [line for e in own for line in _lines(e, set(rule["fixed"]))] if own else []
+    lines = [line for e in own for line in _lines(e, rule)] if own else []
     if not lines:
-        path = list(main_path(_pattern(root))[0])
-        lines = [line for e in (_at(root, path) if path else [root]) for line in _lines(e, set())]
+        rule = rules(_pattern(root), 1)
+        lines = [line for e in (_at(root, rule["path"]) if rule["path"] else [root]) for line in _lines(e, rule)]
     return "\n".join(lines)
 
 

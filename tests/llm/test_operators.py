@@ -357,6 +357,38 @@ def test_wrappers_stay_bounded_and_broken_markup_is_quick():
     assert wrappers.extract("<p>1 > 0 <b <!-- end", None) == "1 > 0 <b"
 
 
+@pytest.mark.parametrize("page", [
+    '<body><div class="page has-sidebar"><div class="sidebar">Side {i}.</div><article><p>{text}</p></article></div></body>',
+    '<body><div class="sidebar">Side {i}.</div><div id="content" class="no-comments"><h1>{i}</h1><p>{text}</p></div></body>',
+    '<body><div class="ad">Buy {i}.</div><section class="post share-enabled"><main><p>{text}</p></main></section></body>',
+    '<body><article><div class="widget-text"><p>{text}</p></div><div class="share">Send {i}.</div></article></body>',
+    '<body><div class="layout skip-ads"><div class="widget"><p>{text}</p></div></div><div class="related">See {i}.</div></body>'])
+def test_containers_with_words_of_the_list_are_not_around(page):
+    texts = [f"Text {i} that is long enough to be the main text of its page, number {i * 7}." for i in range(5)]
+    pages = [page.format(i=i, text=t) for i, t in enumerate(texts)]
+    known = None
+    for n, p in enumerate(pages, 1):
+        own = wrappers._pattern(wrappers.parse(p))
+        known = own if known is None else wrappers.merge(known, own)
+    rule = wrappers.rules(json.loads(json.dumps(known)), len(pages))
+    for p, t in zip(pages, texts):
+        for got in (wrappers.extract(p, rule), wrappers.extract(p, None)):
+            assert got.split("\n")[-1] == t and not re.search("Side|Buy|Send|See", got)
+
+
+def test_lists_of_comments_and_repeated_notices_are_around():
+    comments = "".join(f'<li><article class="comment"><p>A very long opinion on the text, number {k}.</p></article></li>' for k in range(40))
+    notice = '<div class="cookie-notice"><p>' + "We use small files. " * 20 + "</p></div>"
+    pages = [f'<body>{notice}<div class="page no-sidebar"><article><p>Short text {i}.</p></article><div class="comments"><ol>{comments}</ol></div></div></body>' for i in range(4)]
+    known = None
+    for p in pages:
+        own = wrappers._pattern(wrappers.parse(p))
+        known = own if known is None else wrappers.merge(known, own)
+    assert [wrappers.extract(p, wrappers.rules(known, 4)) for p in pages] == [f"Short text {i}." for i in range(4)]
+    deep = '<div class="ad">' * 5000 + "x" + "</div>" * 5000
+    assert wrappers.extract(f"<article><p>Kept.</p>{deep}</article>", None) == "Kept."
+
+
 def test_pages_of_the_table(spark):
     import html
 
