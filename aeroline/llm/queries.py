@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aeroline.llm import ann, bpe, codes, langid, licenses, mixing, quality, repeats, simhash, wrappers
+from aeroline.llm import ann, bpe, codes, langid, licenses, mixing, phrases, quality, repeats, simhash, toxicity, whitening, wrappers
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,6 +72,18 @@ def op10_binary_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), "distance")
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_table(spark, sf_dir, "documents"))
+
+
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_kmeans_tree": op1_kmeans_tree,
     "op2_licenses": op2_licenses,
@@ -83,4 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": op8_language,
     "op9_suffix_arrays": op9_suffix_arrays,
     "op10_binary_topk": op10_binary_topk,
+    "op11_phrases": op11_phrases,
+    "op12_toxicity": op12_toxicity,
+    "op13_whitening": op13_whitening,
 }

@@ -38,5 +38,31 @@ away AS (
   FROM codes q JOIN codes c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
 SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id))::INT AS rank, vec_id, distance
 FROM away QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) <= 10
+""",
+    "op11_phrases": r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS piece_id,
+    regexp_extract_all(unnest(regexp_split_to_array(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS words
+  FROM documents),
+starts AS (SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM pieces),
+grams AS (SELECT lang, words[i:i + k - 1] AS words FROM starts, (VALUES (1), (2), (3), (4)) AS sizes(k) WHERE i + k - 1 <= len(words)),
+counts AS (SELECT lang, words, len(words) AS k, count(*) AS f FROM grams GROUP BY lang, words),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM counts WHERE k = 1 GROUP BY lang),
+candidates AS (SELECT * FROM counts WHERE k BETWEEN 2 AND 4 AND f >= 30),
+cuts AS (SELECT lang, words, f, unnest(range(1, k)) AS cut FROM candidates),
+scored AS (
+  SELECT c.lang, c.words, c.f, c.cut, x.f AS l, y.f AS r, (2000000::HUGEINT * c.f // (x.f::HUGEINT + y.f))::BIGINT AS score
+  FROM cuts c JOIN counts x ON x.lang = c.lang AND x.words = c.words[1:cut] JOIN counts y ON y.lang = c.lang AND y.words = c.words[cut + 1:]),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, words ORDER BY score, cut) = 1),
+inner_parts AS (
+  SELECT DISTINCT lang, words[i:i + m - 1] AS words, f FROM candidates, (VALUES (2), (3)) AS sizes(m), (VALUES (1), (2), (3)) AS places(i)
+  WHERE m < k AND i + m - 1 <= k),
+around AS (SELECT lang, words, max(f) AS longer FROM inner_parts GROUP BY lang, words),
+kept AS (
+  SELECT b.*, array_to_string(b.words, ' ') AS phrase FROM best b LEFT JOIN around a ON a.lang = b.lang AND a.words = b.words
+  WHERE a.longer IS NULL OR 100::HUGEINT * a.longer < 80::HUGEINT * b.f)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, f DESC, phrase) AS rank, phrase, f::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score
+FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000
 """,
 }
