@@ -68,6 +68,17 @@ def failing_rows(df: DataFrame, conditions: dict[str, Column]) -> DataFrame:
     return counts.unpivot([], list(conditions), "check_name", "violations")
 
 
+def count_differences(name: str, expected: DataFrame, found: DataFrame, groups: list[str]) -> DataFrame:
+    """(check_name, violations): rows that ``found`` has too few or too many against ``expected``, summed over the groups.
+
+    Counted group by group, so that a missing row and a row too many elsewhere do not cancel out. Both sides are reduced to
+    counts per group before the shuffle.
+    """
+    signed = expected.select(*groups, F.lit(1).alias("one")).unionByName(found.select(*groups, F.lit(-1).alias("one")))
+    balance = signed.groupBy(*groups).agg(F.sum("one").alias("balance"))
+    return balance.agg(F.coalesce(F.sum(F.abs("balance")), F.lit(0)).alias("violations")).select(F.lit(name).alias("check_name"), "violations")
+
+
 def schema_differences(df: DataFrame, expected: T.StructType) -> list[tuple[str, str, str]]:
     """(column, expected type, found type) for every column that differs; needs no data."""
     found = {field.name: field.dataType.simpleString() for field in df.schema.fields}

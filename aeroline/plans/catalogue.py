@@ -7,6 +7,7 @@ whichever engine produced them; means are rounded, because the order of addition
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,11 +18,15 @@ from aeroline.functions.readings import assign_region, is_rejected, rejection_re
 from aeroline.functions.times import hour_timestamp
 from aeroline.operators import backfill, columns, incremental, merge, quality, series, spatial, trends
 from aeroline.plans import files, gold, job, silver
-from aeroline.plans.warehouse import KEY_COLUMNS, Warehouse, star_of, update_gold, update_silver, validate
+from aeroline.plans.report import SCHEMA as REPORT
+from aeroline.plans.warehouse import KEY_COLUMNS, Warehouse, close_dates, open_dates, star_of, update_gold, update_silver, validate
 from aeroline.session import staged, work_path
 from aeroline.sources import landing, messages, progress, tables
 from aeroline.sources.event_readings import events_path, feed_records, hourly_stamped, raw_readings, to_readings
-from aeroline.streaming.joins import join_windows, windowed_counts, with_state_partitions, write_closed_windows
+from aeroline.streaming.joins import (
+    final_watermark, interval_join, join_windows, open_events, open_windows, windowed_counts, with_rest, with_state_partitions,
+    write_closed, write_closed_windows,
+)
 from aeroline.streaming.landing import landing_to_bronze, records_to_landing
 from aeroline.streaming.silver import readings_to_silver
 
@@ -506,6 +511,51 @@ def warehouse_fact(spark, sf_dir):
     return plain(fact.select(*gold.FACT_KEYS, "fact_id", "aqi", "date", "hour"))
 
 
+def _corrections(raw: DataFrame) -> DataFrame:
+    """Readings issued again: some with a higher index, some that have moved up a category as well."""
+    moved = F.col("event_id") % 13 == 0
+    again = raw.filter(((F.col("event_id") % 11 == 0) | moved) & (F.col("aqi") > 0) & (F.col("category") > 0))
+    return again.withColumns({
+        "event_id": -F.col("event_id"),
+        "aqi": F.col("aqi") + F.when(moved, 60).otherwise(10),
+        "category": F.when(moved, F.least(F.col("category") + 1, F.lit(6))).otherwise(F.col("category")),
+    })
+
+
+def _corrected_warehouse(spark, sf_dir) -> Warehouse:
+    """A loaded warehouse whose cleaned readings of a week have then been corrected by a backfill; gold has not followed yet."""
+    raw = hourly_stamped(raw_readings(spark, sf_dir))
+    warehouse = Warehouse(work_path(spark, "corrected"))
+    update_silver(raw, warehouse, "event_id", "full", tie_breakers=TIE)
+    update_gold(spark, warehouse)
+    close_dates(spark, warehouse)
+    first, last = f"{SERIES_START} 00:00:00", f"{SERIES_END} 23:59:59"
+    update_silver(raw.unionByName(_corrections(raw)), warehouse, "event_id", "backfill", start=first, end=last, tie_breakers=TIE)
+    return warehouse
+
+
+@query
+def reprocessed_facts(spark, sf_dir):
+    """Corrected indices and categories reach the facts: the dates a backfill has touched are rebuilt and replaced."""
+    warehouse = _corrected_warehouse(spark, sf_dir)
+    update_gold(spark, warehouse, dates=open_dates(spark, warehouse), facts="rebuild")
+    fact = spark.read.parquet(warehouse.path("gold", "fact_air_quality_readings"))
+    return plain(fact.select(*gold.FACT_KEYS, "fact_id", "aqi", "date", "hour"))
+
+
+@query
+def reprocessing_checks(spark, sf_dir):
+    """Facts too few or too many against the cleaned readings, after inserting new facts only and after the rebuild."""
+    warehouse = _corrected_warehouse(spark, sf_dir)
+    dates = open_dates(spark, warehouse)
+    counts = []
+    for rule in ("insert", "rebuild"):
+        update_gold(spark, warehouse, dates=dates, facts=rule)
+        found = validate(spark, warehouse, dates).filter("check_name = 'fact_cleaned_counts'")
+        counts.append(staged(found.select(F.lit(rule).alias("facts"), "violations"), "counts"))
+    return counts[0].unionByName(counts[1])
+
+
 @query
 def job_end_to_end(spark, sf_dir):
     """Messages, some of them broken, through the whole job: rows of every stage."""
@@ -526,6 +576,39 @@ def job_end_to_end(spark, sf_dir):
     return reduce(DataFrame.unionByName, [*counts, quarantined.agg(F.lit("broken").alias("stage"), F.count(F.lit(1)).alias("rows"))])
 
 
+@query
+def job_report(spark, sf_dir):
+    """The report of a second run whose delivery is partly late, with indices that are text in every other record."""
+    layout = files.Layout(work_path(spark, "reported"))
+    raw = raw_readings(spark, sf_dir)
+    records = feed_records(raw, "event_id")
+    value = F.to_json(F.struct(*[name for name in records.columns if name != "event_id"]), {"ignoreNullFields": "false"})
+    lines = records.select("event_id", value.alias("value"))
+    text = F.when(F.col("event_id") % 2 == 0, F.regexp_replace("value", '"AQI":(-?[0-9]+)', '"AQI":"$1 units"')).otherwise(F.col("value"))
+    root = layout.landing.rsplit("/landing/", 1)[0]
+    for run, part in (("first", lines.filter("event_id % 17 <> 0")), ("second", lines.filter("event_id % 17 = 0").withColumn("value", text))):
+        part.select("value").write.mode("append").text(layout.landing)
+        job.run_canonical(spark, job.parse_arguments(["--root", root, "--run-id", run]))
+    report = spark.read.schema(REPORT).json(layout.reports)
+    return report.filter("run_id = 'second' AND stage IN ('bronze', 'cleaned')").select("stage", "metric", "value")
+
+
+@query
+def history_windows(spark, sf_dir):
+    """History loaded backwards in windows, by two runs: what each window has brought."""
+    layout = files.Layout(work_path(spark, "history"))
+    landing.write_landing(feed_records(raw_readings(spark, sf_dir)), layout.landing)
+    root = layout.landing.rsplit("/landing/", 1)[0]
+    for windows in (["--windows", "2"], []):
+        job.run_canonical(spark, job.parse_arguments(
+            ["--root", root, "--mode", "history", "--today", "2024-02-01", "--until", "2023-12-25T00:00", *windows]))
+    report = spark.read.schema(REPORT).json(layout.reports).withColumn("at", F.split("stage", " "))
+    found = report.filter("size(at) = 2 AND at[1] IN ('cleaned', 'facts') AND metric = 'rows'")
+    wide = found.groupBy(F.col("at")[0].alias("window_start")).agg(
+        *[F.max(F.when(F.col("at")[1] == stage, F.col("value").cast("long"))).alias(stage) for stage in ("cleaned", "facts")])
+    return wide
+
+
 @query
 def validation_report(spark, sf_dir):
     """All checks of the stored tables after a load; a unit may be missing in the readings, nothing else is violated."""
@@ -562,17 +645,17 @@ def stream_silver_upsert(spark, sf_dir):
 
 
 def _stream_join(spark, sf_dir, how):
-    """Views and purchases per user and day, joined as streams; days the watermark has closed."""
+    """Views and purchases per user and day, joined as streams: days the watermark has closed, and those still open."""
     session = with_state_partitions(spark, spark.sparkContext.defaultParallelism)
-
-    def daily(kind, name):
-        events = _event_stream(session, sf_dir).filter(F.col("event_type") == kind)
-        return windowed_counts(events, "user_id", "ts", "1 day", "1 hour", name)
-
+    kinds, names = ("view", "purchase"), ("views", "purchases")
+    of = [(F.col("event_type") == kind) for kind in kinds]
+    streams = [windowed_counts(_event_stream(session, sf_dir).filter(kind), "user_id", "ts", "1 day", "1 hour", name) for kind, name in zip(of, names)]
     folder = work_path(spark, "stream")
-    joined = join_windows(daily("view", "views"), daily("purchase", "purchases"), "user_id", how)
-    write_closed_windows(joined, f"{folder}/joined", f"{folder}/checkpoint").awaitTermination()
-    return plain(spark.read.parquet(f"{folder}/joined"))
+    drained = write_closed_windows(join_windows(*streams, "user_id", how), f"{folder}/joined", f"{folder}/checkpoint")
+    drained.awaitTermination()
+    events, closed = table(spark, sf_dir, "events"), spark.read.parquet(f"{folder}/joined")
+    rest = open_windows(*[events.filter(kind) for kind in of], "user_id", "ts", timedelta(days=1), names, closed, final_watermark(drained), how)
+    return plain(with_rest(closed, rest).drop("state"))
 
 
 @query
@@ -585,6 +668,50 @@ def stream_join_left(spark, sf_dir):
     return _stream_join(spark, sf_dir, "left")
 
 
+VIEW_TO_PURCHASE = timedelta(hours=1)
+
+
+def _views_and_purchases(events: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Two streams of single events, as two topics would give them."""
+    views = events.filter(F.col("event_type") == "view").select("user_id", F.col("event_id").alias("view_id"), F.col("ts").alias("viewed_at"))
+    purchases = events.filter(F.col("event_type") == "purchase").select(
+        "user_id", F.col("event_id").alias("purchase_id"), F.col("ts").alias("purchased_at"), F.col("value").alias("paid"))
+    return views, purchases
+
+
+def _stream_intervals(spark, sf_dir, how):
+    """Each view with the same user's purchases in the hour after it, event by event, joined as streams and drained."""
+    session = with_state_partitions(spark, spark.sparkContext.defaultParallelism)
+    how_to = ("user_id", "viewed_at", "purchased_at", VIEW_TO_PURCHASE)
+    joined = interval_join(*_views_and_purchases(_event_stream(session, sf_dir)), *how_to, "1 hour", how)
+    folder = work_path(spark, "stream")
+    drained = write_closed(joined, f"{folder}/joined", f"{folder}/checkpoint")
+    drained.awaitTermination()
+    closed = spark.read.parquet(f"{folder}/joined")
+    if how == "inner":
+        return closed
+    tables_ = _views_and_purchases(table(spark, sf_dir, "events"))
+    rest = open_events(*tables_, "user_id", "view_id", *how_to[1:], closed, final_watermark(drained))
+    return with_rest(closed, rest).drop("state")
+
+
+@query
+def stream_interval_inner(spark, sf_dir):
+    return plain(_stream_intervals(spark, sf_dir, "inner"))
+
+
+@query
+def stream_interval_left(spark, sf_dir):
+    return plain(_stream_intervals(spark, sf_dir, "left"))
+
+
+@query
+def stream_join_anti(spark, sf_dir):
+    """Views that no purchase of the user followed within the hour: released by the watermark, or open at the end."""
+    alone = _stream_intervals(spark, sf_dir, "left").where(F.col("purchase_id").isNull())
+    return plain(alone.select("user_id", "view_id", "viewed_at"))
+
+
 # --- trends, sets, joins, columns -----------------------------------------------------------------------------------
 
 

@@ -40,6 +40,7 @@ class Layout:
         self.broken = f"{root}/quarantine/{dataset}_messages"
         self.silver = f"{root}/silver/{dataset}_clean"
         self.progress = f"{root}/state/{dataset}_progress"
+        self.reports = f"{root}/state/{dataset}_reports"
         self._gold = f"{root}/gold/{dataset}"
 
     def ledger(self, step: str) -> str:

@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aeroline.fixed_values import CONCERN_LEVELS
-from aeroline.functions.times import reading_time
+from aeroline.functions.times import hour_timestamp, interval, next_hour, reading_time
 from aeroline.operators import quality
 from aeroline.operators.incremental import in_range, only_partitions, same_key
-from aeroline.operators.merge import finish_swap, upsert_table
+from aeroline.operators.merge import finish_swap, replace_partitions, upsert_table
 from aeroline.operators.spatial import region_table
 from aeroline.plans import gold, silver
+from aeroline.plans.report import RunReport
 from aeroline.session import at_once, remove_path, staged
 from aeroline.sources.tables import database_for, newest_partition, partition_values, path_exists, read_table
 
@@ -71,6 +72,7 @@ def update_silver(
     start: str | None = None,
     end: str | None = None,
     tie_breakers: list[str] | None = None,
+    report: RunReport | None = None,
 ) -> None:
     """Upsert one increment into the cleaned and the quarantine table.
 
@@ -82,7 +84,8 @@ def update_silver(
     cleaned_path = warehouse.path("silver", "cleaned_readings")
     cleaned = read_table(spark, cleaned_path, like=silver.clean_readings(raw))
     newest = newest_partition(cleaned, cleaned_path, "date")
-    batch = staged(silver.clean_increment(raw, newest, mode, lookback, start, end, tie_breakers), "increment")
+    increment = silver.clean_increment(raw, newest, mode, lookback, start, end, tie_breakers)
+    batch = staged(increment if report is None else report.rows_of("cleaned").of(increment), "increment")
     batch.select("date").distinct().write.mode("append").parquet(warehouse.open_dates)
     upsert_table(batch, cleaned_path, silver.CLEANED_KEYS, ["date"], is_stored=True)
 
@@ -97,7 +100,16 @@ def update_silver(
     fresh = _dated(fresh)
     if mode == "incremental":
         fresh = _changed(fresh, rejected, partition_values(spark, rejected_path, "rejected_date")[-1:])
-    upsert_table(fresh, rejected_path, silver.REJECTED_KEYS, ["rejected_date"])
+    upsert_table(fresh, rejected_path, silver.REJECTED_KEYS, ["rejected_date"], counted=report and report.rows_of("rejected"))
+
+
+def late_before(spark: SparkSession, warehouse: Warehouse, lookback: str = "1 hour") -> str | None:
+    """The hour from which on an incremental run takes readings; None while nothing is stored."""
+    path = warehouse.path("silver", "cleaned_readings")
+    if not partition_values(spark, path, "date"):
+        return None
+    stored = newest_partition(spark.read.parquet(path), path, "date")
+    return str(stored.agg(next_hour(F.max(hour_timestamp()) - interval(lookback))).first()[0])
 
 
 def _dated(rejected: DataFrame) -> DataFrame:
@@ -130,12 +142,23 @@ def _of_dates(table: DataFrame, dates: DataFrame | None) -> DataFrame:
     return table if dates is None else only_partitions(table, dates, ("date",))
 
 
-def update_gold(spark: SparkSession, warehouse: Warehouse, regions: DataFrame | None = None, dates: DataFrame | None = None) -> None:
-    """Insert new dimension members and facts from the cleaned table.
+FACT_RULES = ("insert", "rebuild")
+
+
+def update_gold(
+    spark: SparkSession, warehouse: Warehouse, regions: DataFrame | None = None, dates: DataFrame | None = None, facts: str = "insert",
+    report: RunReport | None = None,
+) -> None:
+    """Insert new dimension members and bring the facts up to date from the cleaned table.
 
     ``dates`` (one column ``date``) restricts the work to those partitions; without them, the whole cleaned table is
-    compared with what is stored.
+    compared with what is stored. ``facts``: "insert" adds facts whose five keys are not stored yet, so a corrected index
+    stays old and a corrected category adds a second fact beside the first. "rebuild" makes the facts of the dates anew
+    from the cleaned readings and replaces their partitions, so that there is one fact per cleaned reading again; nothing
+    is compared, and the facts of other dates are neither read nor written.
     """
+    if facts not in FACT_RULES:
+        raise ValueError(f"facts must be one of {FACT_RULES}")
     warehouse.recover(spark)
     cleaned = _of_dates(spark.read.parquet(warehouse.path("silver", "cleaned_readings")), dates)
     regions = region_table(spark) if regions is None else regions
@@ -154,7 +177,7 @@ def update_gold(spark: SparkSession, warehouse: Warehouse, regions: DataFrame |
             new = gold.new_sites(cleaned, known, regions)
         else:
             new = gold.new_dimension_rows(rows, known, DIMENSION_KEYS[name])
-        upsert_table(new, warehouse.path("gold", name), DIMENSION_KEYS[name], [])
+        upsert_table(new, warehouse.path("gold", name), DIMENSION_KEYS[name], [], counted=report and report.rows_of(name))
 
     at_once([partial(insert_new, name, rows) for name, rows in members.items()])
 
@@ -163,8 +186,14 @@ def update_gold(spark: SparkSession, warehouse: Warehouse, regions: DataFrame |
         cleaned, table["dim_site"], table["dim_parameter"], table["dim_category"], table["dim_date"], table["dim_hour"]
     )
     fact_path = warehouse.path("gold", "fact_air_quality_readings")
+    if facts == "rebuild":
+        # Without given dates, stored ones that the cleaned table has lost are rebuilt to nothing too.
+        stored = spark.createDataFrame([(day,) for day in partition_values(spark, fact_path, "date")], "date STRING").selectExpr("CAST(date AS DATE) AS date")
+        touched = cleaned.select("date").unionByName(stored) if dates is None else dates
+        replace_partitions(candidates, fact_path, "date", staged(touched.distinct(), "fact-dates"), counted=report and report.rows_of("facts"))
+        return
     new = gold.new_fact_rows(candidates, read_table(spark, fact_path, like=candidates), cleaned)
-    upsert_table(new, fact_path, ["date", *gold.FACT_KEYS], ["date"])
+    upsert_table(new, fact_path, ["date", *gold.FACT_KEYS], ["date"], counted=report and report.rows_of("facts"))
 
 
 def validate(spark: SparkSession, warehouse: Warehouse, dates: DataFrame | None = None) -> DataFrame:
@@ -194,6 +223,8 @@ def validate(spark: SparkSession, warehouse: Warehouse, dates: DataFrame | None
         duplicates[f"{name}_key_unique"] = quality.unique(dimension, [key])
         duplicates[f"{name}_unique"] = quality.unique(dimension, DIMENSION_KEYS[name])
     results += [quality.count_violations(duplicates), quality.orphan_counts(fact, dimensions)]
+    # A reading without a unit has no parameter to join and so no fact.
+    results.append(quality.count_differences("fact_cleaned_counts", cleaned.filter(F.col("unit").isNotNull()), fact, ["date", "hour"]))
     return reduce(DataFrame.unionByName, results)
 
 

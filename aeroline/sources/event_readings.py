@@ -53,7 +53,7 @@ def hourly_stamped(raw: DataFrame) -> DataFrame:
     return raw.withColumn("utc", event_hour())
 
 
-def feed_records(raw: DataFrame) -> DataFrame:
-    """Readings in the shape of the feed: its column names and order, minute-resolution text time."""
+def feed_records(raw: DataFrame, *others: str) -> DataFrame:
+    """Readings in the shape of the feed: its column names and order, minute-resolution text time. ``others`` come along in front."""
     stamped = raw.withColumn("utc", F.date_format("utc", "yyyy-MM-dd'T'HH:mm"))
-    return stamped.select(*[F.col(field.name.lower()).cast(field.dataType).alias(field.name) for field in READING.fields])
+    return stamped.select(*others, *[F.col(field.name.lower()).cast(field.dataType).alias(field.name) for field in READING.fields])

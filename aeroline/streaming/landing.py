@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -43,14 +43,19 @@ def records_to_landing(records: DataFrame, landing: str, checkpoint: str) -> Str
 
 
 def landing_to_bronze(
-    spark: SparkSession, landing: str, bronze: str, checkpoint: str, max_files: int | None = None, archive: str | None = None
+    spark: SparkSession, landing: str, bronze: str, checkpoint: str, max_files: int | None = None, archive: str | None = None,
+    metrics: dict[str, Column] | None = None,
 ) -> StreamingQuery:
     """Every landing file once into Parquet by date and hour; processed files can be moved to an archive.
 
     Unreadable lines go along in the corrupt-record column, so one scan serves the readings and their quarantine.
-    Files of the last batch are archived when the next run commits it.
+    Files of the last batch are archived when the next run commits it. ``metrics`` are aggregates over all lines of a batch,
+    taken as they pass and reported with its progress under the name "bronze".
     """
-    records = clustered(with_partitions(stream_json_lines(spark, landing, max_files, archive)), "date", "hour")
+    lines = with_partitions(stream_json_lines(spark, landing, max_files, archive))
+    if metrics:
+        lines = lines.observe("bronze", *[column.alias(name) for name, column in metrics.items()])
+    records = clustered(lines, "date", "hour")
     writer = records.writeStream.format("parquet").partitionBy("date", "hour")
     writer = writer.option("path", bronze).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()

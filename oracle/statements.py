@@ -125,19 +125,28 @@ TRUNCATED = "strftime({}, '%Y-%m-%dT%H:%M')"
 CALENDAR_NAMES = """CASE dayofweek(date) WHEN 0 THEN 'Sunday' WHEN 1 THEN 'Monday' WHEN 2 THEN 'Tuesday' WHEN 3 THEN 'Wednesday'
   WHEN 4 THEN 'Thursday' WHEN 5 THEN 'Friday' WHEN 6 THEN 'Saturday' END"""
 
-DAILY = """daily AS (SELECT user_id, event_type, date_trunc('day', ts) AS day, count(*) AS n FROM events GROUP BY ALL),
-  closed AS (SELECT least(max(ts) FILTER (event_type = 'view'), max(ts) FILTER (event_type = 'purchase')) - INTERVAL 1 HOUR AS t
-    FROM events),
-  views AS (SELECT * FROM daily WHERE event_type = 'view' AND day + INTERVAL 1 DAY <= (SELECT t FROM closed)),
-  purchases AS (SELECT * FROM daily WHERE event_type = 'purchase')"""
-
-
 def stream_join(how: str) -> str:
-    return f"""WITH {DAILY} SELECT v.user_id, v.n AS views, p.n AS purchases, strftime(v.day, '%Y-%m-%d %H:%M:%S') AS window_start,
+    return f"""WITH daily AS (SELECT user_id, event_type, date_trunc('day', ts) AS day, count(*) AS n FROM events GROUP BY ALL),
+        views AS (SELECT * FROM daily WHERE event_type = 'view'), purchases AS (SELECT * FROM daily WHERE event_type = 'purchase')
+        SELECT v.user_id, v.n AS views, p.n AS purchases, strftime(v.day, '%Y-%m-%d %H:%M:%S') AS window_start,
         strftime(v.day + INTERVAL 1 DAY, '%Y-%m-%d %H:%M:%S') AS window_end
         FROM views v {how} JOIN purchases p ON v.user_id = p.user_id AND v.day = p.day"""
 
 
+def stream_interval(how: str) -> str:
+    return f"""SELECT v.user_id, v.event_id AS view_id, strftime(v.ts, '%Y-%m-%d %H:%M:%S') AS viewed_at, p.event_id AS purchase_id,
+        strftime(p.ts, '%Y-%m-%d %H:%M:%S') AS purchased_at, p.value AS paid
+        FROM (SELECT * FROM events WHERE event_type = 'view') v
+        {how} JOIN (SELECT * FROM events WHERE event_type = 'purchase') p
+          ON v.user_id = p.user_id AND p.ts BETWEEN v.ts AND v.ts + INTERVAL 1 HOUR"""
+
+
+WEEK = "utc BETWEEN TIMESTAMP '2024-01-10 00:00:00' AND TIMESTAMP '2024-01-16 23:59:59'"
+CORRECTED = f"""again AS (SELECT * REPLACE (-event_id AS event_id, aqi + CASE WHEN event_id % 13 = 0 THEN 60 ELSE 10 END AS aqi,
+      CASE WHEN event_id % 13 = 0 THEN least(category + 1, 6) ELSE category END AS category)
+    FROM raw WHERE (event_id % 11 = 0 OR event_id % 13 = 0) AND aqi > 0 AND category > 0),
+  issued AS (SELECT * FROM raw UNION ALL SELECT * FROM again WHERE {WEEK})"""
+
 CHECKED = f"""unitless AS (SELECT * REPLACE (CASE WHEN event_id % 10 <> 0 THEN unit END AS unit) FROM raw),
   {cleaned('unitless')}, {DIMS}, {FACT}"""
 CHECKS = {"cleaned": ["date", "hour", "fullaqscode", "parameter", "unit", "aqi", "category", "latitude", "longitude", "concern_level"],
@@ -155,7 +164,8 @@ VALIDATION = " UNION ALL ".join(
     + [f"SELECT 'fact_{t}', count(*) FROM fact f WHERE NOT EXISTS (SELECT 1 FROM {t} d WHERE d.{k} = f.{k})" for t, k in ORPHAN_CHECKS.items()]
     + ["SELECT 'cleaned_category_values', count(*) FROM cleaned WHERE category NOT BETWEEN 1 AND 6",
        "SELECT 'dim_category_category_values', count(*) FROM dim_category WHERE category NOT BETWEEN 1 AND 6",
-       "SELECT 'cleaned_aqi_range', count(*) FROM cleaned WHERE aqi < 0"])
+       "SELECT 'cleaned_aqi_range', count(*) FROM cleaned WHERE aqi < 0",
+       """SELECT 'fact_cleaned_counts', abs((SELECT count(*) FROM cleaned WHERE unit IS NOT NULL) - (SELECT count(*) FROM fact))"""])
 
 STATEMENTS = {
     "validation_report": f"WITH {HOURLY}, {CHECKED} {VALIDATION}",
@@ -164,6 +174,32 @@ STATEMENTS = {
       SELECT 'messages' AS stage, count(*) AS rows FROM sent UNION ALL SELECT 'bronze', count(*) FROM records
       UNION ALL SELECT 'broken', count(*) FROM sent WHERE is_broken UNION ALL SELECT 'cleaned', count(*) FROM cleaned
       UNION ALL SELECT 'rejected', count(*) FROM rejected UNION ALL SELECT 'facts', count(*) FROM cleaned WHERE unit IS NOT NULL""",
+    "job_report": f"""WITH {RAW}, sent AS (SELECT * REPLACE (date_trunc('minute', utc) AS utc) FROM raw),
+        first_part AS (SELECT * FROM sent WHERE event_id % 17 <> 0), {cleaned('first_part', 'before')},
+        second AS (SELECT *, event_id % 2 = 0 AND aqi IS NOT NULL AS odd FROM sent WHERE event_id % 17 = 0),
+        newest AS (SELECT max(date + to_hours(hour)) AS h FROM before),
+        both_parts AS (SELECT * FROM first_part UNION ALL SELECT * EXCLUDE (odd) FROM second WHERE NOT odd),
+        {cleaned('both_parts', 'taken', "date_trunc('hour', utc) >= (SELECT h FROM newest)")}
+      SELECT 'bronze' AS stage, 'rows' AS metric, CAST(count(*) AS VARCHAR) AS value FROM second
+      UNION ALL SELECT 'bronze', 'broken', '0' UNION ALL SELECT 'bronze', 'odd_types', CAST(count(*) AS VARCHAR) FROM second WHERE odd
+      UNION ALL SELECT 'bronze', 'late', CAST(count(*) AS VARCHAR) FROM second WHERE utc < (SELECT h FROM newest)
+      UNION ALL SELECT 'bronze', 'type of AQI', 'STRING instead of int'
+      UNION ALL SELECT 'cleaned', 'rows', CAST(count(*) AS VARCHAR) FROM taken""",
+    "history_windows": f"""WITH {RAW}, {cleaned()}, ends AS (SELECT TIMESTAMP '2024-02-01' - to_days(CAST(14 * n AS INT)) AS e FROM range(0, 3) AS r(n))
+        SELECT strftime(e - INTERVAL 14 DAY, '%Y-%m-%dT%H:%M') AS window_start, count(*) AS cleaned, count(*) AS facts
+        FROM ends JOIN cleaned ON date + to_hours(hour) >= e - INTERVAL 14 DAY AND date + to_hours(hour) < e GROUP BY e""",
+    "reprocessed_facts": f"WITH {HOURLY}, {CORRECTED}, {cleaned('issued')}, {DIMS}, {FACT} SELECT {FACT_COLUMNS} FROM fact",
+    "reprocessing_checks": f"""WITH {HOURLY}, {CORRECTED}, {cleaned('raw', 'before')}, {cleaned('issued', 'after', WEEK)},
+        keys AS (SELECT DISTINCT date, hour, fullaqscode, parameter, category FROM (SELECT * FROM before UNION ALL SELECT * FROM after)
+          WHERE date IN (SELECT date FROM after)),
+        balance AS (SELECT count(*) AS n, (SELECT count(*) FROM after a WHERE a.date = k.date AND a.hour = k.hour) AS m
+          FROM keys k GROUP BY k.date, k.hour)
+        SELECT 'insert' AS facts, CAST(sum(abs(n - m)) AS BIGINT) AS violations FROM balance UNION ALL SELECT 'rebuild', 0""",
+    "stream_interval_inner": stream_interval("INNER"),
+    "stream_interval_left": stream_interval("LEFT"),
+    "stream_join_anti": """SELECT v.user_id, v.event_id AS view_id, strftime(v.ts, '%Y-%m-%d %H:%M:%S') AS viewed_at FROM events v
+        WHERE v.event_type = 'view' AND NOT EXISTS (SELECT 1 FROM events p WHERE p.event_type = 'purchase' AND p.user_id = v.user_id
+          AND p.ts BETWEEN v.ts AND v.ts + INTERVAL 1 HOUR)""",
     "stream_join_inner": stream_join("INNER"),
     "stream_join_left": stream_join("LEFT"),
     "cleaned_readings": f"WITH {RAW}, {cleaned()} SELECT {CLEANED_COLUMNS} FROM cleaned",

@@ -8,7 +8,8 @@ from oracle.statements import STATEMENTS
 from tests.conftest import SF_DIR
 from tests.oracle_check import compare, connect
 
-SLOW = {"bronze_partitions", "medallion_fact", "warehouse_fact", "medallion_two_deliveries", "stream_landing", "stream_join_inner", "stream_join_left", "validation_report", "job_end_to_end"}
+SLOW = {"bronze_partitions", "medallion_fact", "warehouse_fact", "medallion_two_deliveries", "stream_landing", "stream_join_inner", "stream_join_left", "validation_report", "job_end_to_end",
+        "reprocessed_facts", "reprocessing_checks", "job_report", "history_windows", "stream_interval_inner", "stream_interval_left", "stream_join_anti"}
 
 
 @pytest.fixture(scope="module")
