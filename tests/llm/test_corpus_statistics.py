@@ -109,7 +109,7 @@ def test_context_counts_equal_brute_force(spark, monkeypatch):
         for _, word in pairs:
             expected.setdefault(word, [0, 0, 0])[column] += 1
     frame = spark.createDataFrame(texts, "text string, toxic int").repartition(3)
-    got = {r["block"] * toxicity._BLOCK + r["place"]: [r["ordinary"], r["toxic"], r["shared"]] for r in toxicity.contexts(frame).collect()}
+    got = {r["word"]: [r["ordinary"], r["toxic"], r["shared"]] for r in toxicity.contexts(frame).collect()}
     assert got == expected
 
 
@@ -151,6 +151,14 @@ def test_toxicity_learns_only_from_texts_and_labels_that_are_not_held_out(spark)
     assert first == second
 
 
+def test_labels_join_alike_with_and_without_a_broadcast(spark, monkeypatch):
+    labels = spark.createDataFrame([(1, 1), (1, 0), (3, 0), (5, 0), (None, 1), (4, None)], "doc_id long, toxic int")
+    first = rows(toxicity.labelled(odd_docs(spark), labels, F.lit(True)), "text", "toxic", "counted")
+    monkeypatch.setattr(toxicity, "BROADCAST", 0)
+    assert rows(toxicity.labelled(odd_docs(spark), labels, F.lit(True)), "text", "toxic", "counted") == first
+    assert len(first) == 5 and sum(r[1] for r in first) == 3
+
+
 def test_toxicity_of_odd_and_empty_tables(spark):
     labels = spark.createDataFrame([(1, 1), (1, 0), (3, 0), (5, 0), (None, 1), (4, None)], "doc_id long, toxic int")
     got = toxicity.score(odd_docs(spark), labels).collect()
