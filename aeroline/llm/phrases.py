@@ -25,11 +25,11 @@ def windows(docs: DataFrame) -> DataFrame:
     The lead columns are the piece's own words moved up by one, two and three, so no shuffle and no sort is needed for
     them. Behind the end of a piece they are padded with empty strings, which no word is.
     """
-    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-    text = F.translate(F.coalesce(F.col("text").cast("string"), F.lit("")), upper, upper.lower())
-    pieces = docs.select(
-        F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"), F.explode(F.split(text, r"[.,;:!?\x0A-\x0D]")).alias("piece"))
-    listed = pieces.select("lang", F.array_remove(F.split("piece", r"[\x20\x09]+"), "").alias("words"))
+    upper, ends = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", ".,;:!?\x0b\x0c\r"
+    # All ends of pieces become line ends and tabs blanks, so that texts are cut at single signs and not by patterns.
+    text = F.translate(F.coalesce(F.col("text").cast("string"), F.lit("")), upper + ends + "\t", upper.lower() + "\n" * len(ends) + " ")
+    pieces = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"), F.explode(F.split(text, "\n")).alias("piece"))
+    listed = pieces.select("lang", F.array_remove(F.split("piece", " "), "").alias("words"))
     lead = [F.slice("words", i, F.size("words")).alias(name) for i, name in enumerate(_WORDS, 1)]
     rows = listed.where(F.size("words") > 0).select("lang", F.explode(F.arrays_zip(*lead)).alias("window"))
     return rows.select("lang", *[F.coalesce(F.col("window").getField(w), F.lit("")).alias(w) for w in _WORDS])
