@@ -32,7 +32,7 @@ FROM sized s JOIN budgets b ON s.source IS NOT DISTINCT FROM b.source
 JOIN chosen c ON s.source IS NOT DISTINCT FROM c.source AND s.mark = c.mark
 """,
     "op10_binary_topk": """
-WITH codes AS (SELECT vec_id, list_transform(embedding, lambda x: x > 0) AS code FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL),
+WITH codes AS (SELECT DISTINCT vec_id, list_transform(embedding, lambda x: x > 0) AS code FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL),
 away AS (
   SELECT q.vec_id AS query_id, c.vec_id, len(list_filter(list_zip(q.code, c.code), lambda x: x[1] <> x[2]))::INT AS distance
   FROM codes q JOIN codes c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
