@@ -21,6 +21,8 @@ PROBES = 200
 RECALL = 0.97
 #: Rows of one leaf that one task compares; a larger leaf is split, its queries go to every part.
 BLOCK = 4096
+#: Queries that one task meets at most, about.
+QUERIES = 50_000
 _ALIKE = 1e-9
 
 
@@ -91,14 +93,31 @@ def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.maximum((a * a).sum(axis=1)[:, None] - 2 * (a @ b.T) + (b * b).sum(axis=1)[None, :], 0)
 
 
-def usable(vectors: DataFrame, id_column: str, vector_column: str) -> DataFrame:
+def usable(vectors: DataFrame, id_column: str, vector_column: str, length: int | None = None) -> DataFrame:
     """``id``, ``v`` (array of double) of the rows that take part: a vector without null or non-finite parts, not zero,
-    of the length that most rows have (ties: the shorter)."""
+    of the given length, or else the length that most rows have (ties: the shorter). Equal rows are one row."""
     rows = vectors.select(F.col(id_column).cast("long").alias("id"), F.col(vector_column).cast("array<double>").alias("v"))
     fine = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)
     rows = rows.where(F.col("id").isNotNull() & F.col("v").isNotNull() & fine)
+    if length is not None:
+        return rows.where(F.size("v") == length).distinct()
     lengths = rows.groupBy(F.size("v").alias("n")).agg(F.count("*").alias("rows")).orderBy(F.desc("rows"), "n").take(1)
-    return rows.where(F.size("v") == lengths[0]["n"]) if lengths else rows
+    return rows.where(F.size("v") == lengths[0]["n"]).distinct() if lengths else rows
+
+
+def sampled(rows: DataFrame, size: int) -> list:
+    """About ``size`` rows (all, if there are no more), chosen by a hash of their id and put in its order.
+
+    The bound of the hash follows from the number of rows, so that no other row is sorted or sent anywhere: a table of any
+    size costs a count and a filter. Of rows that share an id the smallest vector is taken. The number of rows is random
+    about ``size`` and never over twice it.
+    """
+    total = rows.count()
+    mark = F.xxhash64("id")
+    if total > size:
+        rows = rows.where(mark < F.lit(int(size / total * 2 ** 64) - 2 ** 63))
+    chosen = rows.groupBy("id").agg(F.min("v").alias("v")).select("id", "v", mark.alias("mark"))
+    return sorted(chosen.limit(2 * size).collect(), key=lambda r: (r["mark"], r["id"]))
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -151,7 +170,7 @@ def exact_neighbours(rows: DataFrame, queries: list[tuple[int, list[float]]], k:
 class Index:
     """A tree over all rows of a vector table, and how many leaves a query has to open.
 
-    The tree is fitted on the ``SAMPLE`` rows with the smallest id hashes and is broadcast: its size depends on the
+    The tree is fitted on about ``SAMPLE`` rows, those with small id hashes, and is broadcast: its size depends on the
     sample only. Every row is indexed. ``visits`` is calibrated against all rows: for ``PROBES`` rows, again by hash,
     the true neighbours come from brute force, and visits widen until they hold ``RECALL`` of them.
     """
@@ -160,11 +179,12 @@ class Index:
                  sample: int = SAMPLE, branching: int = BRANCHING, leaf: int = LEAF, recall: float = RECALL):
         self.spark, self.k = vectors.sparkSession, k
         rows = staged(usable(vectors, id_column, vector_column), "ann-rows")
-        seen = rows.orderBy(F.xxhash64("id"), "id").limit(sample).collect()
+        seen = sampled(rows, sample)
         self.empty = not seen
         if self.empty:
             self.rows = rows
             return
+        self.dimension = len(seen[0]["v"])
         self.tree = Tree(np.array([r["v"] for r in seen], dtype=np.float64), branching, leaf)
         self.shared = self.spark.sparkContext.broadcast(self.tree)
         shared = self.shared
@@ -194,16 +214,17 @@ class Index:
     def search(self, queries: DataFrame, id_column: str = "vec_id", vector_column: str = "embedding") -> DataFrame:
         """``query_id``, ``rank`` (from 1), ``id``, ``score``: the nearest rows found, the row of the query's own id left out.
 
-        Queries with unusable vectors are left out. Rows of equal id are ranked on their own. Duplicate vectors tie and
-        the smaller id wins. If the leaves visited hold fewer than ``k`` rows, the visit goes on until they do or the
+        Queries with unusable vectors, or of another length than the indexed ones, are left out; equal queries are one query,
+        and an id with several vectors asks with the smallest. Equal rows are one row, rows of one id with different vectors are
+        ranked on their own. Duplicate vectors tie and the smaller id wins. If the leaves visited hold fewer than ``k`` rows, the visit goes on until they do or the
         tree is exhausted.
         """
         schema = "query_id long, rank int, id long, score double"
         if self.empty:
             return self.spark.createDataFrame([], schema)
         shared, visits, parts, k = self.shared, self.visits, self.parts, self.k
-        wanted = usable(queries, id_column, vector_column)
-        sizes = self.sizes
+        wanted = usable(queries, id_column, vector_column, self.dimension).groupBy("id").agg(F.min("v").alias("v"))
+        sizes, shares = self.sizes, max(1, -(-wanted.count() // QUERIES))
 
         def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             tree = shared.value
@@ -232,7 +253,10 @@ class Index:
             spread = spread.join(table, "leaf", "left")
             pieces = F.coalesce(F.pmod(F.xxhash64("id"), F.col("pieces")).cast("int"), F.lit(0))
         spread = spread.select("id", "v", "leaf", pieces.alias("part"))
-        near = spread.groupBy("leaf", "part").cogroup(asked.groupBy("leaf", "part")).applyInPandas(
+        # Very many queries are split as well, each share with a copy of the rows, so that no group outgrows a task.
+        spread = spread.withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))) if shares > 1 else F.lit(0))
+        asked = asked.withColumn("share", F.pmod(F.xxhash64("query_id"), F.lit(shares)).cast("int"))
+        near = spread.groupBy("leaf", "part", "share").cogroup(asked.groupBy("leaf", "part", "share")).applyInPandas(
             lambda left, right: _search(left, right, k), "query_id long, id long, score double")
         order = W.partitionBy("query_id").orderBy("score", "id")
         return near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "id", "score")
