@@ -273,7 +273,7 @@ def _features(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     rows = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), *_input(docs))
     made = rows.mapInArrow(run, "id long, key long, text binary, meta binary")
-    marked = labels.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("id")).distinct().withColumn("labelled", F.lit(True))
+    marked = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").select(F.col("doc_id").cast("long").alias("id")).distinct().withColumn("labelled", F.lit(True))
     made = made.join(marked, "id", "left")
     return staged(made.select("id", "key", F.xxhash64("text", "meta").alias("mark"), "text", "meta", F.coalesce("labelled", F.lit(False)).alias("labelled")), "features")
 

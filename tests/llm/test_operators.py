@@ -117,6 +117,31 @@ def test_tree_search_splits_large_leaves_and_takes_empty_tables(spark, monkeypat
     assert ann.Index(nothing).search(nothing).count() == 0
 
 
+def test_tree_search_with_repeated_queries_and_other_lengths(spark, monkeypatch):
+    random_ = np.random.default_rng(6)
+    points = random_.normal(size=(60, 4))
+    data = [(i, p.tolist()) for i, p in enumerate(points)]
+    schema = "vec_id long, embedding array<double>"
+    frame = spark.createDataFrame(data + data[:20], schema)
+    asked = [(1, data[1][1])] * 3 + [(2, data[2][1]), (500, [1.0, 2.0]), (501, [3.0, 2.0]), (502, [0.0, 1.0])]
+    for shares in (50_000, 1):
+        monkeypatch.setattr(ann, "QUERIES", shares)
+        found = {}
+        for r in ann.Index(frame, leaf=200).search(spark.createDataFrame(asked, schema)).collect():
+            found.setdefault(r["query_id"], []).append((r["rank"], r["id"]))
+        assert set(found) == {1, 2}
+        for q, got in found.items():
+            exact = sorted((float(np.sqrt(((p - points[q]) ** 2).sum())), i) for i, p in enumerate(points) if i != q)[:10]
+            assert sorted(got) == list(enumerate((i for _, i in exact), 1))
+
+
+def test_sample_is_bounded_by_the_hash(spark):
+    frame = spark.range(4000).selectExpr("id", "array(double(id)) AS v")
+    got = ann.sampled(frame.unionByName(spark.createDataFrame([(7, [1.0])] * 3000, "id long, v array<double>")), 500)
+    assert 150 < len(got) < 1000 and len({r["id"] for r in got}) == len(got) and [r["mark"] for r in got] == sorted(r["mark"] for r in got)
+    assert len(ann.sampled(frame.limit(30), 500)) == 30
+
+
 # 2: licenses.
 
 def test_license_scan_finds_whole_changed_and_no_notices(spark):
@@ -452,6 +477,14 @@ def test_surest_documents_are_those_of_all(spark):
     assert sum(map(len, found.values())) >= 100
 
 
+def test_documents_whose_label_is_null_take_part_as_unlabelled(spark):
+    docs, labels = table(spark, "documents"), table(spark, "labels").select("doc_id", F.when(F.col("doc_id") % 2 == 0, F.col("quality")).alias("quality"))
+    features = quality._features(docs, labels)
+    known = {r["doc_id"] for r in labels.where("quality IS NOT NULL").collect()}
+    assert {r["id"] for r in features.where("labelled").collect()} == known & {r["doc_id"] for r in docs.collect()}
+    assert features.where("NOT labelled").count() == docs.count() - features.where("labelled").count()
+
+
 # 7: mixing.
 
 def test_mixing_meets_targets(spark):
@@ -587,7 +620,27 @@ def test_code_search_is_exact(spark, monkeypatch, segments):
 
 def test_sign_codes_of_odd_vectors(spark):
     data = [(1, [1.0] * 70), (2, [-1.0, 2.0, None, float("nan")]), (3, None), (None, [1.0]), (4, [])]
-    assert rows(codes.sign_codes(spark.createDataFrame(data, "vec_id long, embedding array<double>")), "id", "code") == [(1, -1), (2, 2), (4, 0)]
+    assert rows(codes.sign_codes(spark.createDataFrame(data, "vec_id long, embedding array<double>")), "id", "code") == [(1, [-1, 63]), (2, [2, 0]), (4, [0, 0])]
+    assert rows(codes.sign_codes(spark.createDataFrame(data[1:], "vec_id long, embedding array<double>")), "id", "code") == [(2, 2), (4, 0)]
+
+
+@pytest.mark.parametrize("segments", [1, 2, 3, 8])
+def test_codes_beyond_64_bits_and_repeated_queries(spark, segments):
+    random.seed(segments)
+    base = [[random.choice([-1.0, 1.0]) for _ in range(70)] for _ in range(5)]
+    near = lambda v: [-x if random.random() < 0.03 else x for x in v]
+    data = [(i, near(random.choice(base))) for i in range(60)]
+    frame = codes.sign_codes(spark.createDataFrame(data + data[:9], "vec_id long, embedding array<double>"))
+    # A probe of a wide segment has very many neighbours; close codes end the search long before that.
+    queries = frame.where("id % 5 = 0").limit(6 if segments < 3 else 99)
+    asked = {r["id"] for r in queries.collect()}
+    got = rows(codes.search(frame, queries.union(queries), k=3, segments=segments), "query_id", "rank", "id", "distance") if segments > 1 else []
+    wanted = []
+    for q in asked if segments > 1 else ():
+        ranked = sorted((sum((a > 0) != (b > 0) for a, b in zip(v, data[q][1])), i) for i, v in data if i != q)[:3]
+        wanted += [(q, k, i, d) for k, (d, i) in enumerate(ranked, 1)]
+    assert got == sorted(wanted, key=repr)
+    assert [sum(w for _, w in codes._cuts(n)) for n in (1, 2, 3, 4, 8)] == [64] * 5
 
 
 # Queries.
