@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aeroline.functions.readings import assign_region
@@ -37,6 +37,16 @@ def site_hourly_mean(
     return located.groupBy("date", "hour", "latitude", "longitude").agg(mean.alias("avg_aqi"))
 
 
+def calendar_mean(fact: DataFrame, calendar: DataFrame, wanted: Column) -> DataFrame:
+    """Mean index and number of readings per hour of day, over the days of a calendar that are ``wanted``.
+
+    ``fact`` is partitioned by ``date``, the key of the calendar. The days are known only when the calendar has been read;
+    Spark then prunes the fact's partitions to them while the query runs, so that Mondays cost a seventh of the table.
+    """
+    days = calendar.filter(wanted).select("date")
+    return fact.join(days, "date").groupBy("hour").agg(F.avg("aqi").alias("avg_aqi"), F.count(F.lit(1)).alias("readings"))
+
+
 def with_local_time(series: DataFrame) -> DataFrame:
     moment = hour_timestamp()
     return series.withColumns({"datetime_utc": moment, "datetime_local": to_local(moment)})

@@ -18,10 +18,10 @@ from aeroline.functions.readings import assign_region, is_rejected, rejection_re
 from aeroline.functions.times import hour_timestamp
 from aeroline.operators import backfill, columns, incremental, merge, quality, series, spatial, trends
 from aeroline.plans import files, gold, job, silver
-from aeroline.plans.report import SCHEMA as REPORT
+from aeroline.plans.report import SCHEMA as REPORT, drain
 from aeroline.plans.warehouse import KEY_COLUMNS, Warehouse, close_dates, open_dates, star_of, update_gold, update_silver, validate
 from aeroline.session import staged, work_path
-from aeroline.sources import landing, messages, progress, tables
+from aeroline.sources import landing, messages, progress, registry, tables
 from aeroline.sources.event_readings import events_path, feed_records, hourly_stamped, raw_readings, to_readings
 from aeroline.streaming.joins import (
     final_watermark, interval_join, join_windows, open_events, open_windows, windowed_counts, with_rest, with_state_partitions,
@@ -609,6 +609,100 @@ def history_windows(spark, sf_dir):
     return wide
 
 
+def _fresh_prefix(path: str) -> str:
+    """Databases of its own for a query, so that it meets no other run's tables."""
+    return f"q_{path.rsplit('-', 1)[-1]}_"
+
+
+@query
+def catalogue_readings(spark, sf_dir):
+    """A development run's star schema as readers see it: by name, in the target's database, through the view."""
+    root = work_path(spark, "registered")
+    landing.write_landing(feed_records(raw_readings(spark, sf_dir)), files.Layout(root).landing)
+    prefix = _fresh_prefix(root)
+    job.run_canonical(spark, job.parse_arguments(["--root", root, "--target", "dev", "--catalogue", prefix]))
+    return plain(spark.table(f"{prefix}test_gold.readings"))
+
+
+@query
+def listed_unprocessed_partitions(spark, sf_dir):
+    """Hours that one table has and another lacks, from the catalogue's lists of partitions."""
+    dated = landing.with_partitions(raw_readings(spark, sf_dir), "utc").select("event_id", "utc", "date", "hour")
+    root = work_path(spark, "listed")
+    prefix = _fresh_prefix(root)
+    for name, rows in (("source", dated), ("target", loaded_earlier(dated))):
+        tables.write_partitioned(rows, f"{root}/{name}", ["date", "hour"])
+        registry.register(spark, f"{prefix}bronze.{name}", f"{root}/{name}", ["date", "hour"])
+    return plain(registry.unprocessed(spark, f"{prefix}bronze.source", f"{prefix}bronze.target", ("date", "hour")))
+
+
+def _stored_facts(spark, sf_dir) -> DataFrame:
+    path = work_path(spark, "facts-by-date")
+    tables.write_partitioned(gold.fact_readings_direct(silver.clean_readings(raw_readings(spark, sf_dir), TIE)), path, ["date"])
+    return spark.read.parquet(path)
+
+
+@query
+def weekday_hourly_mean(spark, sf_dir):
+    """Mondays only: the calendar says which partitions of the facts are read."""
+    fact = _stored_facts(spark, sf_dir)
+    calendar = staged(gold.dim_calendar(fact), "calendar")
+    return rounded(series.calendar_mean(fact, calendar, F.col("day_of_week_name") == "Monday"), "avg_aqi")
+
+
+@query
+def yearly_monthly_counts(spark, sf_dir):
+    """A calendar written by year and month and read back: readings per stored month."""
+    cleaned = staged(silver.clean_readings(raw_readings(spark, sf_dir), TIE).select("date", "hour"), "dated")
+    path = work_path(spark, "by-month")
+    tables.write_dimension(gold.dim_calendar(cleaned), path, ["year", "month"])
+    return cleaned.join(spark.read.parquet(path), "date").groupBy("year", "month").agg(
+        F.count(F.lit(1)).alias("readings"), F.count_distinct("date").alias("days"))
+
+
+ARRAY_SIZE = 500
+
+
+@query
+def json_array_readings(spark, sf_dir):
+    """Deliveries that are one JSON array each, of about 500 readings, read back: readings and indices per site."""
+    records = feed_records(raw_readings(spark, sf_dir), "event_id")
+    names = [name for name in records.columns if name != "event_id"]
+    delivery = F.pmod(F.xxhash64("event_id"), F.lit(max(1, records.count() // ARRAY_SIZE)))
+    body = F.to_json(F.collect_list(F.struct(*names)), {"ignoreNullFields": "false"})
+    path = work_path(spark, "arrays")
+    records.groupBy(delivery.alias("delivery")).agg(body.alias("value")).select("value").write.option("maxRecordsPerFile", 1).text(path)
+    read = landing.readable(landing.read_json_array(spark, path))
+    return read.groupBy(F.col("SiteName").alias("sitename")).agg(
+        F.count(F.lit(1)).alias("readings"), F.sum("AQI").alias("total_aqi"), F.count("AQI").alias("with_aqi"))
+
+
+@query
+def first_boxes_membership(spark, sf_dir):
+    """Development cap: membership in the first five request boxes only."""
+    points = raw_readings(spark, sf_dir).groupBy("sitename", "latitude", "longitude").agg(F.count(F.lit(1)).alias("readings"))
+    return spatial.join_boxes(points, spatial.box_table(spark, 5))
+
+
+@query
+def archived_batches(spark, sf_dir):
+    """Landing files taken eight at a time and moved to an archive once their batch is committed, by two runs: what each
+    has read, what is in bronze, and what landing zone and archive hold together."""
+    layout = files.Layout(work_path(spark, "archived"))
+    records = feed_records(raw_readings(spark, sf_dir), "event_id")
+    read = []
+    for part in (records.filter("event_id % 10 <> 0"), records.filter("event_id % 10 = 0")):
+        landing.write_landing(part.drop("event_id"), layout.landing)
+        done = drain(spark, lambda: landing_to_bronze(
+            spark, layout.landing, layout.bronze, f"{layout.progress}_bronze", 8, layout.archive, {"rows": F.count(F.lit(1))}))
+        read.append(sum(values["rows"] for _, values in done))
+    counted = spark.createDataFrame([("first run", read[0]), ("second run", read[1])], "place STRING, readings LONG")
+    bronze = spark.read.parquet(layout.bronze).agg(F.lit("bronze").alias("place"), F.count(F.lit(1)).alias("readings"))
+    lines = landing.read_json_lines(spark, [layout.landing, layout.archive])
+    kept = lines.agg(F.lit("landing and archive").alias("place"), F.count(F.lit(1)).alias("readings"))
+    return reduce(DataFrame.unionByName, [counted, bronze, kept])
+
+
 @query
 def validation_report(spark, sf_dir):
     """All checks of the stored tables after a load; a unit may be missing in the readings, nothing else is violated."""

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aeroline.functions.keys import surrogate_key
+from aeroline.functions.readings import weekday_name
 from aeroline.operators.incremental import new_members
 from aeroline.operators.spatial import max_region
 
@@ -21,6 +22,13 @@ def dim_date(cleaned: DataFrame) -> DataFrame:
     return cleaned.select("date").distinct().withColumn("date_key", surrogate_key("date"))
 
 
+def dim_calendar(dates: DataFrame) -> DataFrame:
+    """Calendar attributes of the days in ``dates`` (one column ``date`` at least): one row per day."""
+    weekday = F.dayofweek("date")
+    return dates.select("date").distinct().withColumns({
+        "year": F.year("date"), "month": F.month("date"), "day": F.dayofmonth("date"), "day_of_week": weekday, "day_of_week_name": weekday_name(weekday)})
+
+
 def dim_hour(cleaned: DataFrame) -> DataFrame:
     return cleaned.select("hour").distinct().withColumn("hour_key", surrogate_key("hour"))
 

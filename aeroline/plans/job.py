@@ -20,7 +20,9 @@ from aeroline.operators.columns import lower_case
 from aeroline.operators.incremental import MODES
 from aeroline.plans.files import Layout, bronze_to_silver, raw_to_bronze, silver_to_gold
 from aeroline.plans.report import RunReport, add_landed, drain, landed_metrics
-from aeroline.plans.warehouse import FACT_RULES, Warehouse, close_dates, late_before, open_dates, update_gold, update_silver, validate
+from aeroline.plans.warehouse import (
+    FACT_RULES, Warehouse, close_dates, late_before, open_dates, register_tables, update_gold, update_silver, validate,
+)
 from aeroline.session import clear_work, get_or_create_session, staged
 from aeroline.sources.landing import readable
 from aeroline.sources.messages import from_messages, kafka_stream
@@ -41,6 +43,8 @@ def parse_arguments(arguments: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--target", choices=["prod", "dev"], default="prod")
     parser.add_argument("--facts", choices=FACT_RULES, default="rebuild",
                         help="rebuild the facts of the dates a run has changed, so corrections reach them, or only insert new ones")
+    parser.add_argument("--catalogue", nargs="?", const="", metavar="PREFIX",
+                        help="enter the tables into the catalogue, in databases named by layer and target with this in front")
     parser.add_argument("--run-id", help="name of this run in its report; what an interrupted run has left is finished by the next one, whatever its name")
     parser.add_argument("--servers", help="brokers to take new messages from first; needs the Kafka connector")
     parser.add_argument("--topic", help="topic of the messages")
@@ -60,7 +64,7 @@ def parse_arguments(arguments: list[str] | None = None) -> argparse.Namespace:
     if bool(parsed.servers) != bool(parsed.topic):
         parser.error("--servers and --topic belong together")
     if parsed.layers == "files":
-        others = ("mode", "start", "end", "lookback", "target", "facts", "run_id", "archive", "servers")
+        others = ("mode", "start", "end", "lookback", "target", "facts", "catalogue", "run_id", "archive", "servers")
         given = [name for name in others if getattr(parsed, name) != parser.get_default(name)]
         if given:
             parser.error(f"--layers files takes every new delivery; not applicable: {', '.join(given)}")
@@ -102,6 +106,8 @@ def run_canonical(spark: SparkSession, options: argparse.Namespace, messages: Da
     first = options.start and f"{options.start} 00:00:00"
     last = options.end and f"{options.end} 23:59:59"
     failures = _load(spark, lower_case(readable(bronze)), warehouse, options, options.mode, first, last, report)
+    if options.catalogue is not None:
+        register_tables(spark, warehouse, options.catalogue)
     report.write(layout.reports)
     report.frame().show(100, truncate=False)
     return failures
@@ -161,6 +167,8 @@ def run_history(spark: SparkSession, options: argparse.Namespace, layout: Layout
             "CAST(at AS TIMESTAMP_NTZ) AS oldest_loaded", "current_timestamp() AS ingested_at"), state)
         rounds += 1
     report.add("history", "windows", rounds)
+    if options.catalogue is not None:
+        register_tables(spark, warehouse, options.catalogue)
     report.write(layout.reports)
     return failures
 

@@ -16,6 +16,7 @@ from aeroline.operators.spatial import region_table
 from aeroline.plans import gold, silver
 from aeroline.plans.report import RunReport
 from aeroline.session import at_once, remove_path, staged
+from aeroline.sources.registry import quoted, register
 from aeroline.sources.tables import database_for, newest_partition, partition_values, path_exists, read_table
 
 DIMENSION_KEYS = {
@@ -34,6 +35,14 @@ KEY_COLUMNS = {
 }
 
 
+#: What a reader of the star schema asks for, in one place.
+READINGS_VIEW = """SELECT f.date, f.hour, s.fullaqscode, s.sitename, s.agencyname, s.latitude, s.longitude, s.region_key,
+  p.parameter, p.unit, c.category, c.concern_level, f.aqi
+FROM {gold}.fact_air_quality_readings f
+JOIN {gold}.dim_site s ON f.site_key = s.site_key
+JOIN {gold}.dim_parameter p ON f.parameter_key = p.parameter_key
+JOIN {gold}.dim_category c ON f.category_key = c.category_key"""
+
 NO_TIME = "1900-01-01"
 PARTITIONED = {
     ("silver", "cleaned_readings"): ["date"],
@@ -46,15 +55,15 @@ class Warehouse:
     """Paths of the canonical tables. ``target="dev"`` keeps a development run apart."""
 
     def __init__(self, root: str, target: str = "prod"):
-        self._root, self._target = root, target
+        self._root, self.target = root, target
 
     def path(self, layer: str, table: str) -> str:
-        return f"{self._root}/{database_for(layer, self._target)}/{table}"
+        return f"{self._root}/{database_for(layer, self.target)}/{table}"
 
     @property
     def open_dates(self) -> str:
         """Dates that silver has changed and gold has not confirmed."""
-        return f"{self._root}/state/{database_for('gold', self._target)}_open_dates"
+        return f"{self._root}/state/{database_for('gold', self.target)}_open_dates"
 
     def recover(self, spark: SparkSession) -> None:
         """Finish swaps that an interrupted run has left; call it before the tables are read."""
@@ -228,6 +237,22 @@ def validate(spark: SparkSession, warehouse: Warehouse, dates: DataFrame | None
     return reduce(DataFrame.unionByName, results)
 
 
+def register_tables(spark: SparkSession, warehouse: Warehouse, prefix: str = "") -> dict[str, str]:
+    """All canonical tables that exist so far, in a database per layer and target, and the view ``readings`` over the
+    star schema. Returns their names."""
+    names = {}
+    for (layer, table), partition_by in {**PARTITIONED, **{("gold", name): [] for name in DIMENSION_KEYS}}.items():
+        path = warehouse.path(layer, table)
+        if path_exists(spark, path):
+            names[table] = f"{prefix}{database_for(layer, warehouse.target)}.{table}"
+            register(spark, names[table], path, partition_by)
+    gold = prefix + database_for("gold", warehouse.target)
+    if {"fact_air_quality_readings", "dim_site", "dim_parameter", "dim_category"} <= set(names):
+        names["readings"] = f"{gold}.readings"
+        spark.sql(f"CREATE OR REPLACE VIEW {quoted(names['readings'])} AS {READINGS_VIEW.format(gold=quoted(gold))}")
+    return names
+
+
 def star_of(cleaned: DataFrame, regions: DataFrame | None = None, tables: tuple[str, ...] = tuple(DIMENSION_KEYS)) -> dict[str, DataFrame]:
     """Staged cleaned table plus the named dimensions, for queries that start from raw readings.
 

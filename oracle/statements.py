@@ -104,6 +104,7 @@ FIRST_REGION = "CASE " + " ".join(
     f"WHEN latitude BETWEEN {a} AND {b} AND longitude BETWEEN {c} AND {d} THEN '{name}'" for name, a, b, c, d in REGIONS
 ) + " ELSE 'Other' END"
 BOXES = ", ".join(f"({i}, {box})" for i, box in enumerate(REQUEST_BOXES))
+FIRST_BOXES = ", ".join(f"({i}, {box})" for i, box in enumerate(REQUEST_BOXES[:5]))
 POINTS = "points AS (SELECT sitename, latitude, longitude, count(*) AS readings FROM raw GROUP BY ALL)"
 
 FEED_TIME = "strftime(utc, '%Y-%m-%dT%H:%M')"
@@ -188,6 +189,25 @@ STATEMENTS = {
     "history_windows": f"""WITH {RAW}, {cleaned()}, ends AS (SELECT TIMESTAMP '2024-02-01' - to_days(CAST(14 * n AS INT)) AS e FROM range(0, 3) AS r(n))
         SELECT strftime(e - INTERVAL 14 DAY, '%Y-%m-%dT%H:%M') AS window_start, count(*) AS cleaned, count(*) AS facts
         FROM ends JOIN cleaned ON date + to_hours(hour) >= e - INTERVAL 14 DAY AND date + to_hours(hour) < e GROUP BY e""",
+    "catalogue_readings": f"""{STAR} SELECT CAST(f.date AS VARCHAR) AS date, f.hour, s.fullaqscode, s.sitename, s.agencyname, s.latitude,
+        s.longitude, s.region_key, p.parameter, p.unit, c.category, c.concern_level, f.aqi
+      FROM fact f JOIN dim_site s USING (site_key) JOIN dim_parameter p USING (parameter_key) JOIN dim_category c USING (category_key)""",
+    "listed_unprocessed_partitions": f"""WITH {RAW}, {CUTOFF}, {EARLIER}
+        SELECT DISTINCT CAST(CAST(utc AS DATE) AS VARCHAR) AS date, CAST(hour(utc) AS INT) AS hour FROM raw
+        EXCEPT SELECT CAST(CAST(utc AS DATE) AS VARCHAR), CAST(hour(utc) AS INT) FROM earlier""",
+    "weekday_hourly_mean": f"""{STAR} SELECT hour, round(avg(aqi), 6) AS avg_aqi, count(*) AS readings FROM fact
+        WHERE dayofweek(date) = 1 GROUP BY hour""",
+    "yearly_monthly_counts": f"""WITH {RAW}, {cleaned()} SELECT CAST(year(date) AS INT) AS year, CAST(month(date) AS INT) AS month,
+        count(*) AS readings, count(DISTINCT date) AS days FROM cleaned GROUP BY 1, 2""",
+    "json_array_readings": f"""WITH {RAW} SELECT sitename, count(*) AS readings, CAST(sum(aqi) AS BIGINT) AS total_aqi, count(aqi) AS with_aqi
+        FROM raw GROUP BY sitename""",
+    "first_boxes_membership": f"""WITH {RAW}, {POINTS}, boxes AS (SELECT * FROM (VALUES {FIRST_BOXES})
+          AS b(box_id, lon_min, lat_min, lon_max, lat_max))
+        SELECT p.*, b.box_id FROM points p JOIN boxes b ON p.latitude BETWEEN b.lat_min AND b.lat_max
+          AND p.longitude BETWEEN b.lon_min AND b.lon_max""",
+    "archived_batches": """SELECT 'first run' AS place, count(*) FILTER (event_id % 10 <> 0) AS readings FROM events
+        UNION ALL SELECT 'second run', count(*) FILTER (event_id % 10 = 0) FROM events
+        UNION ALL SELECT 'bronze', count(*) FROM events UNION ALL SELECT 'landing and archive', count(*) FROM events""",
     "reprocessed_facts": f"WITH {HOURLY}, {CORRECTED}, {cleaned('issued')}, {DIMS}, {FACT} SELECT {FACT_COLUMNS} FROM fact",
     "reprocessing_checks": f"""WITH {HOURLY}, {CORRECTED}, {cleaned('raw', 'before')}, {cleaned('issued', 'after', WEEK)},
         keys AS (SELECT DISTINCT date, hour, fullaqscode, parameter, category FROM (SELECT * FROM before UNION ALL SELECT * FROM after)

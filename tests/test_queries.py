@@ -9,7 +9,8 @@ from tests.conftest import SF_DIR
 from tests.oracle_check import compare, connect
 
 SLOW = {"bronze_partitions", "medallion_fact", "warehouse_fact", "medallion_two_deliveries", "stream_landing", "stream_join_inner", "stream_join_left", "validation_report", "job_end_to_end",
-        "reprocessed_facts", "reprocessing_checks", "job_report", "history_windows", "stream_interval_inner", "stream_interval_left", "stream_join_anti"}
+        "reprocessed_facts", "reprocessing_checks", "job_report", "history_windows", "stream_interval_inner", "stream_interval_left", "stream_join_anti",
+        "catalogue_readings", "listed_unprocessed_partitions", "archived_batches"}
 
 
 @pytest.fixture(scope="module")
