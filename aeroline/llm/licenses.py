@@ -12,13 +12,53 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Wording of common public license notices, by SPDX-like name.
+# Wording of common public licenses and notices, by SPDX-like name.
+_BSD_CONDITIONS = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions "
+    "are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following "
+    "disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following "
+    "disclaimer in the documentation and/or other materials provided with the distribution. ")
+_BSD_THIRD = (
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from "
+    "this software without specific prior written permission. ")
+_BSD_DISCLAIMER = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT '
+    "LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE "
+    "COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES "
+    "(INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) "
+    "HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) "
+    "ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.")
+_GNU_HEADER = (
+    "{what} is free software: you can redistribute it and/or modify it under the terms of the {license} as published by the Free Software "
+    "Foundation, either version {version} of the License, or (at your option) any later version. {what} is distributed in the hope that it "
+    "will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See "
+    "the {license} for more details.")
+_CC_LINE = "This work is licensed under a Creative Commons {kind} International License."
+_CC_KINDS = {
+    "CC-BY-4.0": "Attribution 4.0", "CC-BY-SA-4.0": "Attribution-ShareAlike 4.0", "CC-BY-NC-4.0": "Attribution-NonCommercial 4.0",
+    "CC-BY-ND-4.0": "Attribution-NoDerivatives 4.0", "CC-BY-NC-SA-4.0": "Attribution-NonCommercial-ShareAlike 4.0",
+    "CC-BY-NC-ND-4.0": "Attribution-NonCommercial-NoDerivatives 4.0",
+}
+_GNU = {
+    "GPL-2.0": ("GNU General Public License", "2"), "GPL-3.0": ("GNU General Public License", "3"),
+    "LGPL-2.1": ("GNU Lesser General Public License", "2.1"), "LGPL-3.0": ("GNU Lesser General Public License", "3"),
+    "AGPL-3.0": ("GNU Affero General Public License", "3"),
+}
+_SPDX = (
+    "0BSD", "AGPL-3.0", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "BSL-1.0", "CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0",
+    "EPL-2.0", "GPL-2.0", "GPL-3.0", "ISC", "LGPL-2.1", "LGPL-3.0", "MIT", "MIT-0", "MPL-2.0", "Unlicense", "Zlib",
+)
 TEMPLATES = {
     "Apache-2.0-line": "Licensed under the Apache License, Version 2.0.",
     "MIT-line": "Released under the MIT License.",
-    "GPL-3.0-line": "This work is licensed under the GNU General Public License, version 3.",
+    "BSD-line": "Released under the BSD License.",
+    "ISC-line": "Released under the ISC License.",
+    **{f"{name}-line": f"This work is licensed under the {text}, version {version}." for name, (text, version) in _GNU.items()},
     "CC-BY-NC-4.0-line": "Licensed under CC BY-NC 4.0.",
-    "CC-BY-4.0-line": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    **{f"{name}-short": f"Licensed under {name.removesuffix('-4.0').replace('-', ' ', 1)} 4.0." for name in _CC_KINDS if name != "CC-BY-NC-4.0"},
+    **{f"{name}-{'sentence' if name == 'CC-BY-NC-4.0' else 'line'}": _CC_LINE.format(kind=kind) for name, kind in _CC_KINDS.items()},
+    "CC0-1.0-line": (
+        "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work under CC0 1.0."),
     "Apache-2.0-header": (
         'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. '
         "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in "
@@ -29,20 +69,47 @@ TEMPLATES = {
         '(the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, '
         "publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, "
         "subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or "
-        "substantial portions of the Software."),
-    "GPL-3.0-header": (
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published "
-        "by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is distributed "
-        "in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A "
-        "PARTICULAR PURPOSE. See the GNU General Public License for more details."),
-    "BSD-2-Clause": (
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions "
-        "are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following "
-        "disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following "
-        "disclaimer in the documentation and/or other materials provided with the distribution."),
+        'substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING '
+        "BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE "
+        "AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR "
+        "OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
+    "ISC": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided "
+        "that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR "
+        "DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS."),
+    **{f"{name}-header": _GNU_HEADER.format(what="This program" if name != "LGPL-2.1" else "This library", license=text, version=version)
+       for name, (text, version) in _GNU.items()},
+    "BSD-2-Clause": _BSD_CONDITIONS + _BSD_DISCLAIMER,
+    "BSD-3-Clause": _BSD_CONDITIONS + _BSD_THIRD + _BSD_DISCLAIMER,
     "MPL-2.0-header": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with "
         "this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
+    "Unlicense": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, "
+        "or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and "
+        "by any means."),
+    "Zlib": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any "
+        "damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including "
+        "commercial applications, and to alter it and redistribute it freely."),
+    "BSL-1.0-line": "Distributed under the Boost Software License, Version 1.0.",
+    "EPL-2.0-header": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available "
+        "at http://www.eclipse.org/legal/epl-2.0."),
+    **{f"{name}-spdx": f"SPDX-License-Identifier: {name}" for name in _SPDX},
+}
+#: Runs of words that tell a license from its kin: a match needs each of them without a gap.
+TELLING = {
+    "Apache-2.0-line": ("apache license", "2 0"), "Apache-2.0-header": ("apache license version 2 0",), "MIT-line": ("mit license",),
+    "BSD-line": ("bsd license",), "ISC-line": ("isc license",), "MIT": ("sublicense", "dealings in the software"),
+    "ISC": ("with or without fee",), "BSD-2-Clause": ("redistributions in binary form",), "BSD-3-Clause": ("endorse or promote",),
+    "MPL-2.0-header": ("mozilla public license v 2 0",), "Unlicense": ("free and unencumbered",), "Zlib": ("alter it and redistribute it freely",),
+    "BSL-1.0-line": ("boost software license version 1 0",), "EPL-2.0-header": ("eclipse public license 2 0",), "CC0-1.0-line": ("cc0 1 0",),
+    **{f"{name}-line": (text.lower() + " version " + version.replace(".", " "),) for name, (text, version) in _GNU.items()},
+    **{f"{name}-header": (f"terms of the {text.lower()} as published", f"either version {version.replace('.', ' ')} of") for name, (text, version) in _GNU.items()},
+    **{f"{name}-{'sentence' if name == 'CC-BY-NC-4.0' else 'line'}": ("creative commons " + kind.lower().replace("-", " ").replace(".", " "),) for name, kind in _CC_KINDS.items()},
+    **{f"{name}-{'line' if name == 'CC-BY-NC-4.0' else 'short'}": (name.lower().replace("-", " ").replace(".", " "),) for name in _CC_KINDS},
+    **{f"{name}-spdx": ("license identifier " + name.lower().replace("-", " ").replace(".", " "),) for name in _SPDX},
 }
 #: Words of a fingerprint, fingerprints of a winnowing window: what shares GRAM + WINNOW - 1 words is a candidate.
 GRAM, WINNOW = 2, 2
@@ -67,9 +134,10 @@ def _winnow(grams: np.ndarray) -> np.ndarray:
 class Index:
     """Inverted index of template fingerprints. Words that no template has cannot be part of a shared fingerprint."""
 
-    def __init__(self, templates: dict[str, str]):
+    def __init__(self, templates: dict[str, str], telling: dict[str, tuple[str, ...]] | None = None):
         self.names = list(templates)
         self.words = [words(t) for t in templates.values()]
+        self.telling = [self._places(own, (telling or {}).get(name, ())) for name, own in zip(self.names, self.words)]
         vocabulary = sorted({w for t in self.words for w in t})
         # The rarest words of the templates get the smallest numbers, so that winnowing selects telling fingerprints.
         often = {w: sum(t.count(w) for t in self.words) for w in vocabulary}
@@ -82,6 +150,23 @@ class Index:
         self.postings = dict(postings)
         self.keys = np.array(sorted(postings), np.int64)
 
+    @staticmethod
+    def _places(own: list[str], runs: tuple[str, ...]) -> list[range]:
+        """Where the telling runs are in a template: the first place of each."""
+        out = []
+        for run in runs:
+            parts = run.split()
+            at = next((i for i in range(len(own) - len(parts) + 1) if own[i:i + len(parts)] == parts), None)
+            if at is None:
+                raise ValueError(f"{run!r} is not in the template")
+            out.append(range(at, at + len(parts)))
+        return out
+
+    def tells(self, template: int, pairs: list[tuple[int, int]]) -> bool:
+        """Whether every telling run of the template is matched word after word."""
+        met = dict(pairs)
+        return all(run[0] in met and all(met.get(i) == met[run[0]] + i - run[0] for i in run) for run in self.telling[template])
+
     def grams(self, numbers: np.ndarray) -> np.ndarray:
         n = max(0, len(numbers) - GRAM + 1)
         out, known = np.zeros(n, np.int64), np.ones(n, bool)
@@ -151,7 +236,8 @@ def align(template: list[str], text: list[str], start: int, band: int) -> list[t
 
 @lru_cache(maxsize=4)
 def _index(templates: tuple[tuple[str, str], ...]) -> Index:
-    return Index(dict(templates))
+    known = dict(templates)
+    return Index(known, {name: runs for name, runs in TELLING.items() if known.get(name) == TEMPLATES[name]})
 
 
 def scan_text(text: str, index: Index, coverage: float) -> list[tuple[str, int, float, int, int]]:
@@ -165,19 +251,29 @@ def scan_text(text: str, index: Index, coverage: float) -> list[tuple[str, int,
             if start + BAND + len(own) < end:
                 continue
             pairs = align(own, found, start, BAND)
-            if len(pairs) < coverage * len(own) or pairs[0][1] < end:
+            if len(pairs) < coverage * len(own) or pairs[0][1] < end or not index.tells(template, pairs):
                 continue
             spans = spans or [m.span() for m in _WORD.finditer(text)]
             end = pairs[-1][1] + 1
             out.append((index.names[template], len(pairs), len(pairs) / len(own), spans[pairs[0][1]][0], spans[pairs[-1][1]][1]))
-    return sorted(out, key=lambda x: (x[3], x[4], x[0]))
+    return _best(out)
+
+
+def _best(matches: list[tuple[str, int, float, int, int]]) -> list[tuple[str, int, float, int, int]]:
+    """Of matches that overlap the one with the most words, then the best covered, then the first by name."""
+    taken: list[tuple[str, int, float, int, int]] = []
+    for match in sorted(matches, key=lambda x: (-x[1], -x[2], x[0], x[3])):
+        if all(match[4] <= other[3] or other[4] <= match[3] for other in taken):
+            taken.append(match)
+    return sorted(taken, key=lambda x: (x[3], x[4], x[0]))
 
 
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, coverage: float = COVERAGE) -> DataFrame:
     """``doc_id``, ``license``, ``n_matched`` (words), ``coverage``, ``start``, ``end`` (characters), one row per match.
 
-    ``docs`` has ``doc_id``, ``text``. A match holds ``coverage`` of a template's words in their order. Matches of one
-    template do not overlap; those of different templates may. A null or empty text has none; a row that is repeated
+    ``docs`` has ``doc_id``, ``text``. A match holds ``coverage`` of a template's words in their order, and the runs of words that
+    tell it from its kin (:data:`TELLING`) without a gap: a version, "Lesser", a third clause. Matches do not overlap; of those
+    that would, the one with the most words stays. A null or empty text has none; a row that is repeated
     has its matches repeated. The index goes to the tasks: it has the size of ``templates``. Other columns are left behind.
     """
     key = tuple((templates or TEMPLATES).items())

@@ -165,6 +165,71 @@ def test_license_lines_of_the_documents_are_all_found(spark):
     assert rows(licenses.scan(docs, lines), "doc_id", "license") == sorted(wanted, key=repr)
 
 
+@pytest.mark.parametrize("text,name", [
+    ("Released under the BSD License.", "BSD-line"), ("Licensed under CC BY-SA 4.0.", "CC-BY-SA-4.0-short"), ("Licensed under CC BY 4.0.", "CC-BY-4.0-short"),
+    ("Licensed under CC BY-NC 4.0.", "CC-BY-NC-4.0-line"), ("This work is licensed under the GNU General Public License, version 2.", "GPL-2.0-line"),
+    ("SPDX-License-Identifier: MIT-0", "MIT-0-spdx"), ("// SPDX-License-Identifier: GPL-2.0-or-later", "GPL-2.0-spdx"), ("Released under the XYZ License.", None),
+    ("Licensed under CC BY-NC-SA 4.0.", "CC-BY-NC-SA-4.0-short"), ("Licensed under CC BY 3.0.", None), ("This work is licensed under the GNU Free Documentation License, version 3.", None),
+    ("Licensed under the Apache License, Version 1.1.", None), ("This work is licensed under a Creative Commons Attribution-ShareAlike 3.0 International License.", None)])
+def test_licenses_are_told_from_their_kin(text, name):
+    index = licenses._index(tuple(licenses.TEMPLATES.items()))
+    assert [m[0] for m in licenses.scan_text(f"Words before. {text} And words after it.", index, 0.8)] == ([name] if name else [])
+
+
+def brute_licenses(text, coverage):
+    """Every template against every window of the text by an unbanded alignment."""
+    found = licenses.words(text)
+    spans = [m.span() for m in re.finditer(r"[^\W_]+", text)]
+    index = licenses._index(tuple(licenses.TEMPLATES.items()))
+    out = []
+    for t, own in enumerate(index.words):
+        best = np.zeros((len(own) + 1, len(found) + 1), np.int32)
+        for i in range(len(own) - 1, -1, -1):
+            for j in range(len(found) - 1, -1, -1):
+                best[i, j] = best[i + 1, j + 1] + 1 if own[i] == found[j] else max(best[i + 1, j], best[i, j + 1])
+        if best[0, 0] < coverage * len(own):
+            continue
+        i = j = 0
+        pairs = []
+        while i < len(own) and j < len(found):
+            if own[i] == found[j] and best[i, j] == best[i + 1, j + 1] + 1:
+                pairs.append((i, j))
+                i, j = i + 1, j + 1
+            elif best[i, j + 1] == best[i, j]:
+                j += 1
+            else:
+                i += 1
+        if index.tells(t, pairs) and pairs[-1][1] - pairs[0][1] < len(own) + 2 * licenses.BAND:
+            out.append((index.names[t], len(pairs), len(pairs) / len(own), spans[pairs[0][1]][0], spans[pairs[-1][1]][1]))
+    return licenses._best(out)
+
+
+def test_altered_licenses_equal_a_brute_force_aligner():
+    random.seed(12)
+    index = licenses._index(tuple(licenses.TEMPLATES.items()))
+    whole = {n: t for n, t in licenses.TEMPLATES.items() if len(t) > 120}
+    assert len(licenses.TEMPLATES) > 50 and len(whole) >= 14
+    for name, text in whole.items():
+        for _ in range(2):
+            own = text.split()
+            for _ in range(max(1, len(own) // 40)):
+                own[random.randrange(len(own))] = random.choice(["zzz", "", "zzz yyy"])
+            altered = f"lorem {'ipsum ' * random.randrange(5)}" + random.choice([" ", "\n * "]).join(own) + " dolor sit"
+            altered = altered.upper() if random.random() < 0.3 else altered
+            wanted, got = brute_licenses(altered, 0.8), licenses.scan_text(altered, index, 0.8)
+            assert [m[:3] for m in got] == [m[:3] for m in wanted], name
+            assert [m[0] for m in got] in ([name], []), name
+
+
+def test_whole_licenses_are_named_right():
+    index = licenses._index(tuple(licenses.TEMPLATES.items()))
+    for name, text in licenses.TEMPLATES.items():
+        assert [m[0] for m in licenses.scan_text(f"Some words. {text}\n\nOther words.", index, 0.8)] == [name]
+    # Different notices in one text are all found.
+    both = " and more words here and there ".join(licenses.TEMPLATES[n] for n in ("GPL-2.0-header", "MIT", "LGPL-3.0-header", "BSD-3-Clause"))
+    assert [m[0] for m in licenses.scan_text(both, index, 0.8)] == ["GPL-2.0-header", "MIT", "LGPL-3.0-header", "BSD-3-Clause"]
+
+
 # 3: SimHash.
 
 def plain_simhash(text):
