@@ -28,6 +28,7 @@ from aeroline.streaming.joins import (
     write_closed, write_closed_windows,
 )
 from aeroline.streaming.landing import landing_to_bronze, records_to_landing
+from aeroline.streaming.once import append_once, read_appended, rejects_to_quarantine
 from aeroline.streaming.silver import readings_to_silver
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -738,6 +739,16 @@ def stream_silver_upsert(spark, sf_dir):
     return plain(spark.read.parquet(f"{folder}/silver").select(*silver.CLEANED_COLUMNS))
 
 
+@query
+def stream_quarantine_once(spark, sf_dir):
+    """Rejected readings appended by a stream, and a batch written a second time: each reading is there once."""
+    folder = work_path(spark, "stream")
+    rejects_to_quarantine(to_readings(_event_stream(spark, sf_dir)), f"{folder}/rejects", f"{folder}/checkpoint").awaitTermination()
+    stored = read_appended(spark, f"{folder}/rejects")
+    append_once(staged(stored, "again"), f"{folder}/rejects", "rejects", 0)  # the one batch there was, as after a lost commit
+    return read_appended(spark, f"{folder}/rejects").select("event_id", "rejection_reason")
+
+
 def _stream_join(spark, sf_dir, how):
     """Views and purchases per user and day, joined as streams: days the watermark has closed, and those still open."""
     session = with_state_partitions(spark, spark.sparkContext.defaultParallelism)

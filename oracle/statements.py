@@ -208,6 +208,7 @@ STATEMENTS = {
     "archived_batches": """SELECT 'first run' AS place, count(*) FILTER (event_id % 10 <> 0) AS readings FROM events
         UNION ALL SELECT 'second run', count(*) FILTER (event_id % 10 = 0) FROM events
         UNION ALL SELECT 'bronze', count(*) FROM events UNION ALL SELECT 'landing and archive', count(*) FROM events""",
+    "stream_quarantine_once": f"WITH {RAW} SELECT event_id, {REASON} AS rejection_reason FROM raw WHERE {REJECT}",
     "reprocessed_facts": f"WITH {HOURLY}, {CORRECTED}, {cleaned('issued')}, {DIMS}, {FACT} SELECT {FACT_COLUMNS} FROM fact",
     "reprocessing_checks": f"""WITH {HOURLY}, {CORRECTED}, {cleaned('raw', 'before')}, {cleaned('issued', 'after', WEEK)},
         keys AS (SELECT DISTINCT date, hour, fullaqscode, parameter, category FROM (SELECT * FROM before UNION ALL SELECT * FROM after)

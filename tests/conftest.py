@@ -10,8 +10,8 @@ READING_SCHEMA = (
 )
 GOOD = {
     "event_id": 1, "utc": "2026-03-04T14:00", "parameter": "OZONE", "unit": "PPB", "aqi": 17, "category": 1,
-    "fullaqscode": "130970004", "intlaqscode": "840130970004", "sitename": "Douglasville", "agencyname": "State",
-    "latitude": 33.7433, "longitude": -84.7789,
+    "fullaqscode": "112233445", "intlaqscode": "840112233445", "sitename": "Harbour", "agencyname": "City Office",
+    "latitude": 35.25, "longitude": -90.5,
 }
 
 

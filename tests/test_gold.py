@@ -45,13 +45,13 @@ def test_dimensions(readings, spark):
     assert rows(gold.dim_hour(cleaned)) == [(1, md5("1")), (14, md5("14"))]
     assert rows(gold.dim_category(cleaned)) == [(1, "Good", md5("1")), (2, "Moderate", md5("2"))]
     assert rows(gold.dim_parameter(cleaned)) == [("CO", "PPM", md5("CO-PPM")), ("OZONE", "PPB", md5("OZONE-PPB"))]
-    assert rows(gold.dim_site(cleaned, spatial.region_table(spark)), "fullaqscode", "region_key") == [("130970004", "South")]
+    assert rows(gold.dim_site(cleaned, spatial.region_table(spark)), "fullaqscode", "region_key") == [("112233445", "South")]
 
 
 def test_moved_site_prefers_a_region_and_sites_outside_have_none(readings, spark):
     cleaned = star(readings, {"latitude": 0.0}, {"utc": "2026-03-04T15:00"}, {"fullaqscode": "9", "latitude": 0.0})
     found = rows(gold.dim_site(cleaned, spatial.region_table(spark)), "fullaqscode", "latitude", "region_key")
-    assert found == [("130970004", 33.7433, "South"), ("9", 0.0, None)]
+    assert found == [("112233445", 35.25, "South"), ("9", 0.0, None)]
 
 
 def test_overlap_largest_key_and_first_region(readings, spark):
@@ -89,7 +89,7 @@ def test_fact_by_joins_equals_fact_by_keys_and_leaves_out_missing_units(readings
     assert joined.count() == 2
     same(joined, gold.fact_readings_direct(cleaned))
     first = joined.filter("hour = 14").first()
-    parts = ["2026-03-04", "14", "130970004", "OZONE-PPB", "1"]
+    parts = ["2026-03-04", "14", "112233445", "OZONE-PPB", "1"]
     assert first.fact_id == md5("-".join(md5(part) for part in parts))
 
 
@@ -130,7 +130,7 @@ def test_calendar_and_reading_facts_hash_plain_hours(readings):
     assert calendar.date_key == md5("2026-03-08_1")
     assert (calendar.year, calendar.month, calendar.day, calendar.day_of_week, calendar.day_of_week_name) == (2026, 3, 8, 1, "Sunday")
     fact = files.reading_facts(keyed).first()
-    assert fact.fact_id == md5("2026-03-08_1_840130970004_OZONE") and fact.site_key == md5("840130970004")
+    assert fact.fact_id == md5("2026-03-08_1_840112233445_OZONE") and fact.site_key == md5("840112233445")
 
 
 def _bronze(raw):
@@ -141,7 +141,7 @@ def _bronze(raw):
 
 def test_file_variant_drops_missing_index_but_keeps_bad_category(readings):
     raw = readings({"aqi": None}, {"aqi": -999}, {"category": -999}, {"intlaqscode": None}, {"intlaqscode": None})
-    assert rows(files.clean_bronze(_bronze(raw)), "intlaqscode", "category") == [("840130970004", -999), (None, 1)]
+    assert rows(files.clean_bronze(_bronze(raw)), "intlaqscode", "category") == [("840112233445", -999), (None, 1)]
 
 
 def test_grid_join_equals_brute_force(spark):
