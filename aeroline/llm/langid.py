@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -17,6 +17,8 @@ BLOCK = 512
 SMOOTHING = 0.5
 UNKNOWN = "und"
 _CHUNK = 1 << 20
+#: Entries of the sparse count matrix that are scored at once.
+_SLICE = 1 << 18
 
 
 @lru_cache(maxsize=1)
@@ -28,26 +30,39 @@ def _letters() -> np.ndarray:
 def buckets(text: str) -> Iterator[np.ndarray]:
     """Buckets of all n-grams of a text in lower case; whatever is no letter is one blank. No letter: nothing.
 
-    Long texts come in chunks that overlap by the n-grams across their border.
+    Long texts come in chunks. Each goes on from the last signs of the one before, so that the n-grams are those of the
+    whole text however it is cut.
     """
-    longest = max(ORDERS)
-    for at in range(0, len(text), _CHUNK):
-        part = text[max(0, at - longest):at + _CHUNK].lower()
-        codes = np.frombuffer(part.encode("utf-32-le", "surrogatepass"), np.uint32)
+    low, longest, size = text.lower(), max(ORDERS), len(text.lower())
+    carry, last, letters, held = np.zeros(0, np.uint64), None, False, []
+    for at in range(0, size, _CHUNK):
+        codes = np.frombuffer(low[at:at + _CHUNK].encode("utf-32-le", "surrogatepass"), np.uint32)
         codes = np.where(_letters()[codes], codes, 32)
-        codes = codes[np.r_[True, (codes[1:] != 32) | (codes[:-1] != 32)]]
-        if not (codes != 32).any():
-            continue
-        codes = np.r_[np.uint32(32), codes, np.uint32(32)].astype(np.uint64)
+        before = np.r_[codes[:1] if last is None else [last], codes[:-1]]
+        kept = (codes != 32) | (before != 32)
+        if last is None:
+            kept[0] = True
+        codes, last = codes[kept], codes[-1]
+        letters = letters or bool((codes != 32).any())
+        fresh = np.r_[[32] if at == 0 else [], codes, [32] if at + _CHUNK >= size else []].astype(np.uint64)
+        whole, old = np.r_[carry, fresh], len(carry)
         out = []
         for n in ORDERS:
-            mixed = codes[: len(codes) - n + 1] + np.uint64(n)
+            own = whole[max(0, old - n + 1):]
+            if len(own) < n:
+                continue
+            mixed = own[: len(own) - n + 1] + np.uint64(n)
             for k in range(1, n):
-                mixed = mixed * np.uint64(0x9E3779B97F4A7C15) + codes[k: len(codes) - n + 1 + k]
+                mixed = mixed * np.uint64(0x9E3779B97F4A7C15) + own[k: len(own) - n + 1 + k]
             mixed ^= mixed >> np.uint64(29)
             mixed *= np.uint64(0xBF58476D1CE4E5B9)
             out.append((mixed >> np.uint64(49)).astype(np.int64))
-        yield np.concatenate(out)
+        carry = whole[len(whole) - min(len(whole), longest - 1):]
+        # Until a letter comes there are two blanks at most, and so a handful of n-grams.
+        held.append(np.concatenate(out) if out else np.zeros(0, np.int64))
+        if letters:
+            yield np.concatenate(held)
+            held = []
 
 
 def counts(docs: DataFrame) -> DataFrame:
@@ -83,25 +98,52 @@ def counts(docs: DataFrame) -> DataFrame:
 
 
 class Model:
-    """Languages in order of code points, with log prior and log probability of each bucket (languages x buckets)."""
+    """Languages in order of code points, with the log probability of each bucket (buckets x languages); all have the same prior."""
 
     def __init__(self, langs: list[str], matrix: np.ndarray):
         self.langs = langs
         totals = matrix.sum(axis=1, keepdims=True)
         self.log = np.ascontiguousarray((np.log(matrix + SMOOTHING) - np.log(totals + SMOOTHING * BUCKETS)).T) if langs else matrix.T
 
+    def predict_all(self, texts: Iterable[str | None]) -> list[tuple[str, float]]:
+        """Language and its posterior per text; ``und`` and 0 for a text that is null or has no letter, or without languages.
+
+        A batch of texts is a sparse matrix of n-gram counts: its entries, one per n-gram, text after text. They pick rows of
+        the log-probability matrix, which are summed by text, in slices of bounded size.
+        """
+        totals, seen, entries, rows, size = [], [], [], [], 0
+
+        def add() -> None:
+            starts = np.cumsum([0, *map(len, entries[:-1])])
+            sums = np.add.reduceat(self.log[np.concatenate(entries)], starts, axis=0)
+            for row, total in zip(rows, sums):
+                totals[row] += total
+
+        for row, text in enumerate(texts):
+            totals.append(np.zeros(len(self.langs)))
+            seen.append(False)
+            for part in buckets(text or ""):
+                seen[row] = True
+                for at in range(0, len(part), _SLICE):
+                    entries.append(part[at:at + _SLICE])
+                    rows.append(row)
+                    size += len(entries[-1])
+                    if size >= _SLICE:
+                        add()
+                        entries, rows, size = [], [], 0
+        if entries:
+            add()
+        out = []
+        for total, some in zip(totals, seen):
+            if not some or not self.langs:
+                out.append((UNKNOWN, 0.0))
+                continue
+            best = int(total.argmax())
+            out.append((self.langs[best], float(1 / np.exp(total - total[best]).sum())))
+        return out
+
     def predict(self, text: str | None) -> tuple[str, float]:
-        """Language and its posterior; ``und`` and 0 for a text that is null or has no letter, or without languages."""
-        total, seen = np.zeros(len(self.langs)), False
-        for part in buckets(text or ""):
-            places, times = np.unique(part, return_counts=True) if len(part) > 4 * BUCKETS else (part, None)
-            got = self.log[places]
-            total += got.sum(axis=0) if times is None else times @ got
-            seen = True
-        if not seen or not self.langs:
-            return UNKNOWN, 0.0
-        best = int(total.argmax())
-        return self.langs[best], float(1 / np.exp(total - total[best]).sum())
+        return self.predict_all([text])[0]
 
 
 def fit(docs: DataFrame) -> Model:
@@ -129,7 +171,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            got = [shared.value.predict(t.as_py()) for t in batch.column(1)]
+            got = shared.value.predict_all(t.as_py() for t in batch.column(1))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())],
                 ["doc_id", "lang_pred", "score"])

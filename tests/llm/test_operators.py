@@ -600,11 +600,60 @@ def test_language_held_out_accuracy_and_odd_rows(spark):
 def test_language_counts_are_those_of_all_texts(spark, monkeypatch):
     model = langid.fit(odd_docs(spark))
     assert model.langs == ["en", "fr"]
+    plain = {}
+    for r in odd_docs(spark).collect():
+        if r["text"] is not None and r["lang"] is not None:
+            for place, n in plain_buckets(r["text"]).items():
+                plain[r["lang"], place] = plain.get((r["lang"], place), 0) + n
+    found = {(r["lang"], r["block"] * langid.BLOCK + i): n for r in langid.counts(odd_docs(spark)).collect() for i, n in enumerate(r["counts"]) if n}
+    assert found == plain
     monkeypatch.setattr(langid, "_CHUNK", 7)
     short = [np.bincount(np.concatenate(list(langid.buckets("abc defg hij klm"))), minlength=langid.BUCKETS)]
     assert short[0].sum() > 0
 
 
+def plain_buckets(text):
+    """Counts of buckets, n-gram by n-gram in Python integers."""
+    signs = [c if c.isalpha() else " " for c in text.lower()]
+    signs = [c for i, c in enumerate(signs) if i == 0 or c != " " or signs[i - 1] != " "]
+    if not any(c != " " for c in signs):
+        return {}
+    signs, out, mask = [" ", *signs, " "], {}, (1 << 64) - 1
+    for n in langid.ORDERS:
+        for i in range(len(signs) - n + 1):
+            mixed = ord(signs[i]) + n
+            for c in signs[i + 1:i + n]:
+                mixed = (mixed * 0x9E3779B97F4A7C15 + ord(c)) & mask
+            mixed ^= mixed >> 29
+            place = (mixed * 0xBF58476D1CE4E5B9 & mask) >> 49
+            out[place] = out.get(place, 0) + 1
+    return out
+
+
+@pytest.mark.parametrize("text", ["", "a", " ", "  a", "a  ", "1 2 3", "....", "abc defg  hij", " \t\n Ünï 漢字 42 x", "..... a ..... b .....", "ΑΣ ΣΑΣ. 12İx" * 3, "word " * 40])
+def test_n_grams_do_not_depend_on_chunks(monkeypatch, text):
+    wanted = plain_buckets(text)
+    for chunk in (1, 2, 3, 5, 8, 1 << 20):
+        monkeypatch.setattr(langid, "_CHUNK", chunk)
+        got = np.concatenate([np.zeros(0, np.int64), *langid.buckets(text)])
+        assert {int(k): int(n) for k, n in zip(*np.unique(got, return_counts=True))} == wanted
+
+
+def test_batches_of_texts_score_as_single_ones(monkeypatch):
+    rng = np.random.default_rng(4)
+    model = langid.Model(["a", "b", "c"], rng.integers(0, 9, (3, langid.BUCKETS)).astype(float))
+    texts = ["one two", None, "", "three " * 30, "12", "four five six", "x"]
+    singles = []
+    for text in texts:
+        total = sum((n * model.log[place] for place, n in plain_buckets(text or "").items()), np.zeros(3))
+        singles.append((model.langs[int(total.argmax())], 1 / np.exp(total - total.max()).sum()) if total.any() else (langid.UNKNOWN, 0.0))
+    for size in (1, 5, 64, 1 << 18):
+        monkeypatch.setattr(langid, "_SLICE", size)
+        got = model.predict_all(texts)
+        assert [g[0] for g in got] == [s[0] for s in singles] and np.allclose([g[1] for g in got], [s[1] for s in singles])
+    assert langid.Model([], np.zeros((0, langid.BUCKETS))).predict("abc") == (langid.UNKNOWN, 0.0)
+
+
 # 9: repeats.
 
 def brute_cut(docs):
