@@ -238,12 +238,13 @@ def validate(spark: SparkSession, warehouse: Warehouse, dates: DataFrame | None
 
 
 def register_tables(spark: SparkSession, warehouse: Warehouse, prefix: str = "") -> dict[str, str]:
-    """All canonical tables that exist so far, in a database per layer and target, and the view ``readings`` over the
+    """All canonical tables that have rows so far, in a database per layer and target, and the view ``readings`` over the
     star schema. Returns their names."""
     names = {}
     for (layer, table), partition_by in {**PARTITIONED, **{("gold", name): [] for name in DIMENSION_KEYS}}.items():
         path = warehouse.path(layer, table)
-        if path_exists(spark, path):
+        # A partitioned table that has had no row yet is an empty folder without a schema.
+        if partition_values(spark, path, partition_by[0]) if partition_by else path_exists(spark, path):
             names[table] = f"{prefix}{database_for(layer, warehouse.target)}.{table}"
             register(spark, names[table], path, partition_by)
     gold = prefix + database_for("gold", warehouse.target)
