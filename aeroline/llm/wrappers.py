@@ -65,6 +65,14 @@ def _flows(element: Element) -> bool:
     return element.tag in INLINE and not any(isinstance(c, Element) and c.tag not in INLINE for c in element.children)
 
 
+def _speaks(element: Element) -> bool:
+    """Whether there is text in the lines of an element beside doubtful inline elements: these are then words of a sentence,
+    and a class or id alone does not take words out of a sentence."""
+    return any(
+        bool(child.strip()) if isinstance(child, str) else _flows(child) and not child.around and not child.doubtful and _speaks(child)
+        for child in element.children)
+
+
 def _start(tag: str, attributes: str, inside: bool) -> Element:
     """``inside``: in an article, where a header belongs to the text."""
     names, around = [], tag in AROUND or (tag == "header" and not inside)
@@ -135,21 +143,23 @@ def parse(page: str) -> Element:
     return root
 
 
-def _blocks(element: Element, out: list[list[str]], opened: set[tuple[str, ...]], path: tuple[str, ...] = ()) -> None:
-    """Pieces of text by block; ``out`` ends with the open block. ``opened``: paths of doubtful elements that are text."""
+def _blocks(element: Element, out: list[list[str]], opened: set[tuple[str, ...]], path: tuple[str, ...] = (), line: bool = False) -> None:
+    """Pieces of text by block; ``out`` ends with the open block. ``opened``: paths of doubtful elements that are text.
+    ``line``: the element is part of a line that has text."""
+    speaks = line or _speaks(element)
     for child in element.children:
         if isinstance(child, str):
             out[-1].append(child)
             continue
         here = path if _flows(child) else (*path, child.sign)
-        if child.around or (child.doubtful and (here is path or here not in opened)):
+        if child.around or (child.doubtful and (not speaks if here is path else here not in opened)):
             if child.tag not in INLINE:
                 out.append([])
         elif child.tag in INLINE:
             if child.tag in ("br", "wbr", "img"):
                 out[-1].append(" " if child.tag == "br" else "")
             else:
-                _blocks(child, out, opened, here)
+                _blocks(child, out, opened, here, speaks and here is path)
         else:
             out.append([])
             _blocks(child, out, opened, here)
@@ -179,16 +189,17 @@ def _pattern(element: Element) -> list:
         if line:
             nodes.append(["#", "1", [], len(line), line])
 
-    def walk(e: Element) -> None:
+    def walk(e: Element, line: bool = False) -> None:
+        speaks = line or _speaks(e)
         for child in e.children:
             if isinstance(child, str):
                 flow.append(child)
-            elif child.around or (child.doubtful and _flows(child)):
+            elif child.around or (child.doubtful and _flows(child) and not speaks):
                 continue
             elif _flows(child):
                 if child.tag == "br":
                     flow.append(" ")
-                walk(child)
+                walk(child, speaks)
             else:
                 flush()
                 inner = _pattern(child)

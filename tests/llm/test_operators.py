@@ -488,6 +488,12 @@ def test_pages_of_the_table(spark):
         assert r["text"] == "\n".join(b for b in blocks if b)
 
 
+def test_words_of_a_sentence_are_not_taken_out_by_their_class():
+    page = ("<html><body><article><h1>Title of it</h1><p>The long <span class='related'>word &amp; <b>more</b></span> stays in <em>the <i id='share'>text</i></em> <u><i class='search'>found</i></u>.</p>"
+            "<p><span class='share'>Share this</span> <a class='comments' href='#'>3 comments</a></p><p>Another paragraph of the text, with words.</p></article></body></html>")
+    assert wrappers.extract(page, None) == "Title of it\nThe long word & more stays in the text found.\nAnother paragraph of the text, with words."
+
+
 # 6: quality.
 
 def test_quality_held_out_accuracy_and_odd_rows(spark):
