@@ -19,10 +19,10 @@ _WORDS = [f"w{i}" for i in range(1, LONGEST + 1)]
 _KEY = "struct<score: bigint, cut: int, l: bigint, r: bigint>"
 
 
-def windows(docs: DataFrame) -> DataFrame:
-    """``lang``, ``w1`` … ``w4``: one row per word of ``docs`` (``text``, ``lang``) with the words that follow it in its piece.
+def windows(docs: DataFrame, width: int = LONGEST) -> DataFrame:
+    """``lang``, ``w1`` to ``w`` ``width``: one row per word of ``docs`` (``text``, ``lang``) with the words that follow it in its piece.
 
-    The lead columns are the piece's own words moved up by one, two and three, so no shuffle and no sort is needed for
+    The lead columns are the piece's own words moved up by one, two and so on, so no shuffle and no sort is needed for
     them. Behind the end of a piece they are padded with empty strings, which no word is.
     """
     upper, ends = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", ".,;:!?\x0b\x0c\r"
@@ -30,9 +30,10 @@ def windows(docs: DataFrame) -> DataFrame:
     text = F.translate(F.coalesce(F.col("text").cast("string"), F.lit("")), upper + ends + "\t", upper.lower() + "\n" * len(ends) + " ")
     pieces = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"), F.explode(F.split(text, "\n")).alias("piece"))
     listed = pieces.select("lang", F.array_remove(F.split("piece", " "), "").alias("words"))
-    lead = [F.slice("words", i, F.size("words")).alias(name) for i, name in enumerate(_WORDS, 1)]
+    names = _WORDS[:width]
+    lead = [F.col("words").alias("w1"), *[F.slice("words", i, F.size("words")).alias(name) for i, name in enumerate(names[1:], 2)]]
     rows = listed.where(F.size("words") > 0).select("lang", F.explode(F.arrays_zip(*lead)).alias("window"))
-    return rows.select("lang", *[F.coalesce(F.col("window").getField(w), F.lit("")).alias(w) for w in _WORDS])
+    return rows.select("lang", *[F.coalesce(F.col("window").getField(w), F.lit("")).alias(w) for w in names])
 
 
 class Sketch:
@@ -68,12 +69,14 @@ def _buckets(docs: DataFrame) -> int:
     return min(high, max(low, 1 << (chars // 16).bit_length()))
 
 
-def _cut(rows: DataFrame, sketch: Sketch, size: int) -> DataFrame:
-    """Windows that end before the first word that closes a phrase of ``size`` words which is surely rare."""
-    for end in range(size, LONGEST + 1):
-        inside = _WORDS[end - size:end]
-        kept = reduce(Column.__and__, [F.col(w) != "" for w in inside]) & sketch.may(*inside)
-        rows = rows.withColumn(_WORDS[end - 1], F.when(kept, F.col(_WORDS[end - 1])).otherwise(F.lit("")))
+def _cut(docs: DataFrame, width: int, sketches: dict[int, Sketch]) -> DataFrame:
+    """Windows of ``width`` words that end before the first word that closes a surely rare phrase of a size sketched."""
+    rows = windows(docs, width)
+    for size, sketch in sketches.items():
+        for end in range(size, width + 1):
+            inside = _WORDS[end - size:end]
+            kept = reduce(Column.__and__, [F.col(w) != "" for w in inside]) & sketch.may(*inside)
+            rows = rows.withColumn(_WORDS[end - 1], F.when(kept, F.col(_WORDS[end - 1])).otherwise(F.lit("")))
     return rows
 
 
@@ -87,9 +90,10 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, buckets: int | None = Non
     for, and every part of a frequent phrase is frequent itself.
     """
     buckets = buckets or _buckets(docs)
-    rows = windows(docs)
+    sketches: dict[int, Sketch] = {}
     for size in (2, 3):
-        rows = _cut(rows, Sketch(rows, size, least, buckets), size)
+        sketches[size] = Sketch(_cut(docs, size, sketches), size, least, buckets)
+    rows = _cut(docs, LONGEST, sketches)
     counted = rows.groupBy("lang", *_WORDS).agg(F.count(F.lit(1)).alias("times"))
     sums = counted.rollup("lang", *_WORDS).agg(F.sum("times").alias("f"))
     # What ROLLUP leaves out is NULL, padding is empty: a phrase ends at its last word, and that is none of the padding.
