@@ -680,9 +680,11 @@ def json_array_readings(spark, sf_dir):
 
 @query
 def first_boxes_membership(spark, sf_dir):
-    """Development cap: membership in the first five request boxes only."""
+    """Development cap: sites and readings in each of the first five request boxes, also where there are none."""
+    boxes = spatial.box_table(spark, 5)
     points = raw_readings(spark, sf_dir).groupBy("sitename", "latitude", "longitude").agg(F.count(F.lit(1)).alias("readings"))
-    return spatial.join_boxes(points, spatial.box_table(spark, 5))
+    inside = spatial.join_boxes(points, boxes).groupBy("box_id").agg(F.count(F.lit(1)).alias("sites"), F.sum("readings").alias("readings"))
+    return boxes.select("box_id").join(inside, "box_id", "left").fillna(0, ["sites", "readings"])
 
 
 @query

@@ -203,8 +203,8 @@ STATEMENTS = {
         FROM raw GROUP BY sitename""",
     "first_boxes_membership": f"""WITH {RAW}, {POINTS}, boxes AS (SELECT * FROM (VALUES {FIRST_BOXES})
           AS b(box_id, lon_min, lat_min, lon_max, lat_max))
-        SELECT p.*, b.box_id FROM points p JOIN boxes b ON p.latitude BETWEEN b.lat_min AND b.lat_max
-          AND p.longitude BETWEEN b.lon_min AND b.lon_max""",
+        SELECT b.box_id, count(p.readings) AS sites, CAST(coalesce(sum(p.readings), 0) AS BIGINT) AS readings FROM boxes b LEFT JOIN points p
+          ON p.latitude BETWEEN b.lat_min AND b.lat_max AND p.longitude BETWEEN b.lon_min AND b.lon_max GROUP BY b.box_id""",
     "archived_batches": """SELECT 'first run' AS place, count(*) FILTER (event_id % 10 <> 0) AS readings FROM events
         UNION ALL SELECT 'second run', count(*) FILTER (event_id % 10 = 0) FROM events
         UNION ALL SELECT 'bronze', count(*) FROM events UNION ALL SELECT 'landing and archive', count(*) FROM events""",
