@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
+import re
 import unicodedata
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -24,6 +26,77 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(0x100 + i) for i, b in enumerate(other)}
 
 
+#: Planes 4 to 13 hold no assigned code point in any version, 15 and 16 are private in all.
+_PLANES = [*range(0, 0xD800, 0x800), *range(0xE000, 0x40000, 0x800), 0xE0000]
+
+
+class Alphabet:
+    """Where the library's Unicode tables differ from those of ``regex`` and of Python, asked from the library itself.
+
+    ``differs`` finds a code point of another class or another lower case (None if there is none), ``lower`` maps these
+    to the library's lower case, ``classes`` holds the library's ranges of ``\\p{L}``, ``\\p{N}`` and ``\\s``.
+    """
+
+    def __init__(self):
+        from tokenizers import Regex, normalizers, pre_tokenizers
+
+        self.nfc = normalizers.NFC().normalize_str
+        self.classes, odd = {}, set()
+        for name in (r"\p{L}", r"\p{N}", r"\s"):
+            theirs = pre_tokenizers.Split(Regex(f"{name}+"), "removed", invert=True)
+            ours, found = regex.compile(f"{name}+"), []
+            for start in _PLANES:
+                block = "".join(map(chr, range(start, start + 0x800)))
+                runs = [span for _, span in theirs.pre_tokenize_str(block)]
+                mine = [m.span() for m in ours.finditer(block)]
+                if runs != mine:
+                    odd.update(*[range(start + a, start + b) for a, b in set(runs) ^ set(mine)])
+                found += [(start + a, start + b) for a, b in runs]
+            self.classes[name] = _ranges(found)
+        lower = normalizers.Lowercase().normalize_str
+        self.lower = {}
+        for start in _PLANES:
+            block = list(map(chr, range(start, start + 0x800)))
+            for char, small in zip(block, lower("\0".join(block)).split("\0") if start else map(str.lower, block)):
+                if char.lower() != small:
+                    self.lower[ord(char)] = small
+        odd |= set(self.lower)
+        self.differs = re.compile(f"[{_ranges((c, c + 1) for c in sorted(odd))}]") if odd else None
+
+    def spelled(self, pattern: str) -> str:
+        """The pattern with the library's classes written as ranges."""
+        out, inside, at = [], False, 0
+        while at < len(pattern):
+            name = next((c for c in [*self.classes, r"\S"] if pattern.startswith(c, at)), "")
+            if name:
+                ranges = self.classes[name.lower() if name == r"\S" else name]
+                if inside and name == r"\S":
+                    raise ValueError("a negated class within brackets")
+                out.append(ranges if inside else f"[^{ranges}]" if name == r"\S" else f"[{ranges}]")
+            else:
+                name = pattern[at:at + 2] if pattern[at] == "\\" else pattern[at]
+                inside = name == "[" or (inside and name != "]")
+                out.append(name)
+            at += len(name)
+        return "".join(out)
+
+
+def _ranges(spans: Iterable[tuple[int, int]]) -> str:
+    """Spans in rising order as the inside of a bracket, neighbours joined."""
+    joined: list[list[int]] = []
+    for a, b in spans:
+        if joined and joined[-1][1] == a:
+            joined[-1][1] = b
+        else:
+            joined.append([a, b])
+    return "".join(f"\\U{a:08x}-\\U{b - 1:08x}" for a, b in joined)
+
+
+@lru_cache(maxsize=1)
+def alphabet() -> Alphabet:
+    return Alphabet()
+
+
 class Vocabulary:
     """The merge list of a tokenizers JSON file (BPE model), with what the transducer needs to know of it."""
 
@@ -42,12 +115,26 @@ class Vocabulary:
         self.nfc = any(s.get("type") == "NFC" for s in steps)
         self.lower = any(s.get("type") == "Lowercase" for s in steps)
         split = [s for s in (spec.get("pre_tokenizer") or {}).get("pretokenizers", []) if s["type"] == "Split"]
-        self.split = regex.compile(split[0]["pattern"]["Regex"]) if split else None
+        self.pattern = split[0]["pattern"]["Regex"] if split else None
+        self.split = regex.compile(self.pattern) if split else None
+        self.exact = None
         self.letters = byte_letters()
+        self.bytes = {c: b for b, c in self.letters.items()}
+        #: Bytes of a token and whether it ends a word; None for special tokens. Filled by ``text``.
+        self.pieces: dict[int, tuple[bytes | None, bool]] = {i: (None, False) for i in self.special.values()}
         self.single: dict[str, bool] = {}
+        self.spines: dict[tuple[str, int], list[tuple[str, int]] | None] = {}
         self.fits: dict[tuple[str, str], bool] = {}
         #: Sufficient lookahead in symbols: a boundary that is final lies within one longest token of the last symbol read.
-        self.lookahead = max(len(self.symbols_of(t)) for t in self.ids)
+        self.lookahead = 0
+        #: What a token can end with; a sequence that is none of these starts no token when read backwards.
+        self.tails: set[str] = set()
+        for token in self.ids:
+            symbols, tail = self.symbols_of(token), ""
+            self.lookahead = max(self.lookahead, len(symbols))
+            for symbol in reversed(symbols):
+                tail = symbol + tail
+                self.tails.add(tail)
 
     def symbols_of(self, token: str) -> list[str]:
         if self.end and token.endswith(self.end) and token != self.end:
@@ -87,10 +174,69 @@ class Vocabulary:
         if known is None:
             if len(self.fits) > 4 * CACHE_WORDS:
                 self.fits.clear()
-            both = self.merged(self.symbols_of(left) + self.symbols_of(right))
-            known = self.fits[left, right] = both == [left, right]
+            known = self._apart(self.spine(left, 1), self.spine(right, 0))
+            if known is None:
+                known = self.merged(self.symbols_of(left) + self.symbols_of(right)) == [left, right]
+            self.fits[left, right] = known
         return known
 
+    def spine(self, token: str, side: int) -> list[tuple[str, int]] | None:
+        """The token and, part by part, what lies at its left (0) or right (1) end, each with the rank of its last merge.
+
+        None if these ranks do not fall, or if merges do not give the token back: then the merges have to be made.
+        """
+        key = (token, side)
+        if key not in self.spines:
+            found, symbols = [], self.symbols_of(token)
+            while found is not None and len(symbols) > 1:
+                pair = self.last_merge(symbols)
+                rank = self.rank.get(pair, -1) if pair else -1
+                if rank < 0 or (found and rank >= found[-1][1]):
+                    found = None
+                    break
+                found.append((pair[0] + pair[1], rank))
+                width = len(self.symbols_of(pair[1]))
+                symbols = symbols[-width:] if side else symbols[:-width]
+            if found is not None:
+                found.append((symbols[0], -1))
+            self.spines[key] = found
+        return self.spines[key]
+
+    def last_merge(self, symbols: list[str]) -> tuple[str, str] | None:
+        """The pair merged last where all symbols become one token."""
+        parts = list(symbols)
+        while len(parts) > 2:
+            best = min(range(len(parts) - 1), key=lambda i: self.rank.get((parts[i], parts[i + 1]), len(self.rank)))
+            if (parts[best], parts[best + 1]) not in self.rank:
+                return None
+            parts[best:best + 2] = [parts[best] + parts[best + 1]]
+        return parts[0], parts[1]
+
+    def _apart(self, left: list[tuple[str, int]] | None, right: list[tuple[str, int]] | None) -> bool | None:
+        """Whether no merge crosses the border, going back in time along both spines; None where ranks leave it open.
+
+        Two parts that lie at the border at the same time merge if their pair comes before the merge that takes either
+        of them away; of equal pairs the left one comes first.
+        """
+        if left is None or right is None:
+            return None
+        i = j = 0
+        never = len(self.rank)
+        until_left = until_right = never
+        while True:
+            (a, born_a), (b, born_b) = left[i], right[j]
+            rank = self.rank.get((a, b), never)
+            if rank < never and rank <= max(born_a, born_b):
+                return None
+            if rank < until_left and rank <= until_right and rank < never:
+                return False
+            if born_a < 0 and born_b < 0:
+                return True
+            if born_a > born_b:
+                until_left, i = born_a, i + 1
+            else:
+                until_right, j = born_b, j + 1
+
     def stream(self, symbols: Iterable[str]) -> Iterator[str]:
         """Tokens of a symbol stream, each as soon as no later symbol can change it.
 
@@ -108,6 +254,8 @@ class Vocabulary:
             n, token, found = len(held), "", ""
             for k in range(1, min(n, reach) + 1):
                 token = held[n - k] + token
+                if token not in self.tails:
+                    break
                 if token in ids and self.reachable(token):
                     left = last[n - k - 1] if k < n else before
                     if (k < n and not left) or (left and not self.compatible(left, token)):
@@ -149,13 +297,24 @@ class Vocabulary:
             yield self.letters[b]
         yield self.letters[data[-1]] + self.end
 
-    def words(self, text: str) -> Iterator[str]:
+    def words(self, text: str) -> list[str]:
         """Normalized text in the pieces within which merges happen."""
-        if self.nfc and not unicodedata.is_normalized("NFC", text):
-            text = unicodedata.normalize("NFC", text)
+        split = self.split
+        if not text.isascii():
+            known = alphabet()
+            if self.nfc and not unicodedata.is_normalized("NFC", text):
+                text = known.nfc(text)
+            if known.differs and known.differs.search(text):
+                if split:
+                    split = self.exact = self.exact or regex.compile(known.spelled(self.pattern))
+                if self.lower:
+                    return self._cut(split, "".join([known.lower.get(ord(c)) or ("σ" if c == "Σ" else c.lower()) for c in text]))
         if self.lower:  # by character: a final sigma is not treated in a way of its own
             text = (text.replace("Σ", "σ") if "Σ" in text else text).lower()
-        return self.split.findall(text) if self.split else iter([text] if text else [])
+        return self._cut(split, text)
+
+    def _cut(self, split: regex.Pattern | None, text: str) -> list[str]:
+        return split.findall(text) if split else [text] if text else []
 
     def encode(self, text: str) -> Iterator[int]:
         """Ids of a text, special tokens in it included."""
@@ -182,17 +341,17 @@ class Vocabulary:
 
     def text(self, ids: Iterable[int]) -> Iterator[str]:
         """Pieces of readable text: bytes go through :class:`Utf8`, an end-of-word mark becomes a space."""
-        machine, back = Utf8(), {c: b for b, c in self.letters.items()}
-        special = set(self.special.values())
+        machine, pieces = Utf8(), self.pieces
         for i in ids:
-            name = self.names[i]
-            if i in special:
-                yield machine.flush() + name
-                continue
-            ended = bool(self.end) and name.endswith(self.end)
-            body = name[: -len(self.end)] if ended else name
-            piece = machine.feed(bytes(back[c] for c in body))
-            yield piece + (machine.flush() + " " if ended else "")
+            if i not in pieces:
+                name = self.names[i]
+                ended = bool(self.end) and name.endswith(self.end)
+                pieces[i] = bytes(self.bytes[c] for c in (name[: -len(self.end)] if ended else name)), ended
+            data, ended = pieces[i]
+            if data is None:
+                yield machine.flush() + self.names[i]
+            else:
+                yield machine.feed(data) + (machine.flush() + " " if ended else "")
         yield machine.flush()
 
 
@@ -206,6 +365,8 @@ class Utf8:
         self.held, self.missing, self.low, self.high = b"", 0, 0x80, 0xBF
 
     def feed(self, data: bytes) -> str:
+        if not self.held and data.isascii():
+            return data.decode()
         out = []
         for b in data:
             if self.missing and self.low <= b <= self.high:
@@ -229,9 +390,10 @@ class Utf8:
         return "".join(out)
 
     def flush(self) -> str:
-        out = "�" if self.held else ""
+        if not self.held:
+            return ""
         self.__init__()
-        return out
+        return "�"
 
 
 @lru_cache(maxsize=4)
@@ -240,16 +402,19 @@ def vocabulary(path: str) -> Vocabulary:
 
 
 class _Words(dict):
-    """Word to its ids as text and its decoded form; bounded, see CACHE_WORDS. Long words are not kept."""
+    """Word to its ids as text, and what decoding these ids gives: token names, readable text.
 
-    def __init__(self, vocabulary: Vocabulary):
+    A word is whole characters, so the byte-to-text machine is in its first state wherever a word starts. Bounded, see
+    CACHE_WORDS; long words are not kept.
+    """
+
+    def __init__(self, vocabulary: Vocabulary, readable: bool):
         super().__init__()
-        self.of = vocabulary
+        self.of, self.readable = vocabulary, readable
 
-    def __missing__(self, word: str) -> tuple[str, str, int]:
-        tokens = list(self.of.stream(self.of.symbols(word)))
-        ids = self.of.ids
-        value = (" ".join([str(ids[t]) for t in tokens]), " ".join(tokens), len(tokens))
+    def __missing__(self, word: str) -> tuple[str, str, int, str]:
+        ids = array("l", (self.of.ids[t] for t in self.of.stream(self.of.symbols(word))))
+        value = (" ".join(map(str, ids)), self.of.decode(ids), len(ids), "".join(self.of.text(ids)) if self.readable else "")
         if len(word) <= 32:
             if len(self) >= CACHE_WORDS:
                 self.clear()
@@ -258,37 +423,43 @@ class _Words(dict):
 
 
 @lru_cache(maxsize=4)
-def _words(path: str) -> _Words:
-    return _Words(vocabulary(path))
+def _words(path: str, readable: bool) -> _Words:
+    return _Words(vocabulary(path), readable)
 
 
-def encode(docs: DataFrame, path: str) -> DataFrame:
+def encode(docs: DataFrame, path: str, readable: bool = False) -> DataFrame:
     """``doc_id``, ``n_tokens``, ``ids`` (decimal, joined by spaces) and ``decoded`` per row of ``docs``.
 
+    ``decoded`` is what the library's decode gives. ``readable`` adds ``text``: the ids through the byte-to-text
+    machine, a space after each word. Beside the row itself a task holds the window of undecided symbols and the
+    bounded table of words.
+
     ``path`` is a tokenizers JSON file that every executor has. A null text is an empty one: no tokens, two empty
     strings. Ids are those of the tokenizers library without special tokens added; special tokens written out in a
     text get their ids, as there. Other columns are left behind; an empty table gives no rows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab, known = vocabulary(path), _words(path)
+        vocab, known = vocabulary(path), _words(path, readable)
         for batch in batches:
             for at in range(0, batch.num_rows, 500):  # small results: ids take more room than text
                 part = batch.slice(at, 500)
-                counts, ids, decoded = [], [], []
+                counts, ids, decoded, plain = [], [], [], []
                 for text in part.column(1).to_pylist():
                     got = []
                     for piece, special in vocab.parts(text or ""):
                         if special is not None:
-                            got.append((str(special), vocab.names[special], 1))
+                            got.append((str(special), vocab.names[special], 1, vocab.names[special]))
                         else:
                             got += [known[w] for w in vocab.words(piece)]
                     ids.append(" ".join([g[0] for g in got]))
                     decoded.append(" ".join([g[1] for g in got]))
                     counts.append(sum([g[2] for g in got]))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())],
-                    ["doc_id", "n_tokens", "ids", "decoded"])
+                    if readable:
+                        plain.append("".join([g[3] for g in got]))
+                columns = [part.column(0), pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())]
+                yield pa.RecordBatch.from_arrays(columns + [pa.array(plain, pa.string())] * readable, names)
 
+    names = ["doc_id", "n_tokens", "ids", "decoded"] + ["text"] * readable
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInArrow(run, "doc_id long, n_tokens long, ids string, decoded string")
+    return rows.mapInArrow(run, "doc_id long, n_tokens long, ids string, decoded string" + ", text string" * readable)

@@ -36,9 +36,10 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    coded = bpe.encode(_table(spark, sf_dir, "documents"), bpe_vocabulary())
+    coded = bpe.encode(_table(spark, sf_dir, "documents"), bpe_vocabulary(), readable=True)
     return coded.select(
-        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.sha2("text", 256).alias("text_sha256"))
 
 
 def op5_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -356,6 +356,42 @@ def test_bpe_of_odd_texts(library):
         assert list(vocabulary.encode(text)) == library.encode(text, add_special_tokens=False).ids
 
 
+def test_bpe_of_any_code_point(library):
+    """Texts of assigned, unassigned, private and newly assigned code points, marks and their orders."""
+    vocabulary = bpe.vocabulary(bpe_vocabulary())
+    random.seed(4)
+    spans = [(0x20, 0x250), (0x250, 0xD800), (0xE000, 0x30000), (0x300, 0x370), (0x1AB0, 0x1B00), (0x30000, 0x110000)]
+    for _ in range(600):
+        text = "".join(chr(random.randrange(*random.choice(spans))) for _ in range(60))
+        assert list(vocabulary.encode(text)) == library.encode(text, add_special_tokens=False).ids
+
+
+def test_borders_by_spines_equal_the_merges():
+    vocabulary = bpe.vocabulary(bpe_vocabulary())
+    random.seed(6)
+    tokens = [t for t in vocabulary.ids if vocabulary.reachable(t)]
+    inner = [t for t in tokens if not t.endswith(vocabulary.end)]
+    pairs = [(random.choice(inner), random.choice(tokens)) for _ in range(4000)]
+    pairs += [(t[:i], t[i:]) for t in random.sample(tokens, 3000) for i in range(1, len(t) - len(vocabulary.end))]
+    pairs += [(c * i, c * j) for c in "aehlmosxz!*" for i in range(1, 6) for j in range(1, 6)]
+    seen = set()
+    for left, right in pairs:
+        if left in vocabulary.ids and right in vocabulary.ids:
+            whole = vocabulary.merged(vocabulary.symbols_of(left) + vocabulary.symbols_of(right)) == [left, right]
+            assert vocabulary.compatible(left, right) == whole
+            seen.add(whole)
+    assert seen == {True, False}
+
+
+def test_readable_text_comes_from_the_ids(spark, library):
+    docs = table(spark, "documents").select("doc_id", "text").union(odd_docs(spark).select("doc_id", "text"))
+    vocabulary = bpe.vocabulary(bpe_vocabulary())
+    coded = bpe.encode(docs, bpe_vocabulary(), readable=True).collect()
+    assert coded and all(r["text"] == "".join(vocabulary.text(map(int, r["ids"].split()))) for r in coded)
+    for r in coded:  # an exact round trip: the readable text has the same ids
+        assert " ".join(map(str, library.encode(r["text"], add_special_tokens=False).ids)) == r["ids"]
+
+
 def test_stream_emits_before_the_end():
     vocabulary = bpe.vocabulary(bpe_vocabulary())
     read = []
