@@ -915,6 +915,20 @@ def flatten_props(spark, sf_dir):
     return columns.flatten_json(table(spark, sf_dir, "events").select("event_id", "event_type", "props"), "props", "k INT", "prop_")
 
 
+@query
+def flatten_inferred(spark, sf_dir):
+    """Event properties and order attributes as JSON of one column, flattened by the fields that the data has."""
+    events = table(spark, sf_dir, "events").select(F.lit("event").alias("kind"), F.col("event_id").alias("id"), F.col("props").alias("body"))
+    orders = table(spark, sf_dir, "orders").select(
+        F.lit("order").alias("kind"),
+        F.col("o_orderkey").alias("id"),
+        F.to_json(F.struct(
+            F.col("o_orderpriority").alias("priority"), (F.col("o_custkey") % 2 == 0).alias("even"),
+            F.when(F.col("o_custkey") % 3 == 0, F.col("o_custkey")).alias("customer"))).alias("body"),
+    )
+    return columns.flatten_json(events.unionByName(orders), "body")
+
+
 @query
 def bucketed_join(spark, sf_dir):
     """Line items per order joined to orders in equally bucketed tables.

@@ -367,6 +367,10 @@ STATEMENTS = {
     "column_plan": """SELECT CAST(o_orderkey AS VARCHAR) AS order_key, o_orderstatus, o_totalprice, o_orderpriority AS priority,
         CAST(year(o_orderdate) AS BIGINT) AS order_year, o_totalprice > 200000 AS is_large FROM orders""",
     "flatten_props": """SELECT event_id, event_type, CAST(json_extract_string(props, '$.k') AS INT) AS prop_k FROM events""",
+    "flatten_inferred": """SELECT 'event' AS kind, event_id AS id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
+          CAST(NULL AS BIGINT) AS customer, CAST(NULL AS BOOLEAN) AS even, CAST(NULL AS VARCHAR) AS priority FROM events
+        UNION ALL SELECT 'order', o_orderkey, NULL, CASE WHEN o_custkey % 3 = 0 THEN o_custkey END, o_custkey % 2 = 0,
+          o_orderpriority FROM orders""",
     "bucketed_join": """SELECT o_orderkey, o_orderpriority, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS gross,
         count(*) AS lines FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_orderkey, o_orderpriority""",
 }
