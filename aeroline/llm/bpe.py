@@ -7,6 +7,7 @@ import re
 import unicodedata
 from array import array
 from collections.abc import Iterable, Iterator
+from contextlib import suppress
 from functools import lru_cache
 
 import pyarrow as pa
@@ -63,22 +64,26 @@ class Alphabet:
         odd |= set(self.lower)
         self.differs = re.compile(f"[{_ranges((c, c + 1) for c in sorted(odd))}]") if odd else None
 
-    def spelled(self, pattern: str) -> str:
-        """The pattern with the library's classes written as ranges."""
-        out, inside, at = [], False, 0
-        while at < len(pattern):
-            name = next((c for c in [*self.classes, r"\S"] if pattern.startswith(c, at)), "")
-            if name:
-                ranges = self.classes[name.lower() if name == r"\S" else name]
-                if inside and name == r"\S":
-                    raise ValueError("a negated class within brackets")
-                out.append(ranges if inside else f"[^{ranges}]" if name == r"\S" else f"[{ranges}]")
-            else:
-                name = pattern[at:at + 2] if pattern[at] == "\\" else pattern[at]
-                inside = name == "[" or (inside and name != "]")
-                out.append(name)
-            at += len(name)
-        return "".join(out)
+
+_ASCII = {r"\p{L}": "A-Za-z", r"\p{N}": "0-9", r"\s": r"\t-\r "}
+
+
+def _spelled(pattern: str, classes: dict[str, str]) -> str:
+    """The pattern with the classes written as ranges."""
+    out, inside, at = [], False, 0
+    while at < len(pattern):
+        name = next((c for c in [*classes, r"\S"] if pattern.startswith(c, at)), "")
+        if name:
+            ranges = classes[name.lower() if name == r"\S" else name]
+            if inside and name == r"\S":
+                raise ValueError("a negated class within brackets")
+            out.append(ranges if inside else f"[^{ranges}]" if name == r"\S" else f"[{ranges}]")
+        else:
+            name = pattern[at:at + 2] if pattern[at] == "\\" else pattern[at]
+            inside = name == "[" or (inside and name != "]")
+            out.append(name)
+        at += len(name)
+    return "".join(out)
 
 
 def _ranges(spans: Iterable[tuple[int, int]]) -> str:
@@ -118,23 +123,31 @@ class Vocabulary:
         self.pattern = split[0]["pattern"]["Regex"] if split else None
         self.split = regex.compile(self.pattern) if split else None
         self.exact = None
+        #: The same pattern for ASCII texts, with the few letters and digits that these can have.
+        self.plain = self.split
+        if split:
+            with suppress(re.error, ValueError):  # a pattern that only ``regex`` reads stays with it
+                self.plain = re.compile(_spelled(self.pattern, _ASCII))
         self.letters = byte_letters()
         self.bytes = {c: b for b, c in self.letters.items()}
-        #: Bytes of a token and whether it ends a word; None for special tokens. Filled by ``text``.
-        self.pieces: dict[int, tuple[bytes | None, bool]] = {i: (None, False) for i in self.special.values()}
+        #: Bytes of a token (None: special), whether it ends a word, its text if all bytes are ASCII. Filled by ``text``.
+        self.pieces: dict[int, tuple[bytes | None, bool, str]] = {i: (None, False, "") for i in self.special.values()}
         self.single: dict[str, bool] = {}
+        self.states: dict[str, tuple[str, int]] = {}
         self.spines: dict[tuple[str, int], list[tuple[str, int]] | None] = {}
         self.fits: dict[tuple[str, str], bool] = {}
         #: Sufficient lookahead in symbols: a boundary that is final lies within one longest token of the last symbol read.
         self.lookahead = 0
-        #: What a token can end with; a sequence that is none of these starts no token when read backwards.
-        self.tails: set[str] = set()
+        #: What a token can end with, and whether it is a token itself (None: not yet known to be one that merges
+        #: give). A sequence that is no key starts no token when read backwards.
+        self.tails: dict[str, bool | None] = {}
         for token in self.ids:
             symbols, tail = self.symbols_of(token), ""
             self.lookahead = max(self.lookahead, len(symbols))
             for symbol in reversed(symbols):
                 tail = symbol + tail
-                self.tails.add(tail)
+                self.tails[tail] = None if tail in self.ids else False
+        self.table = {b: c for b, c in self.letters.items() if chr(b) != c}
 
     def symbols_of(self, token: str) -> list[str]:
         if self.end and token.endswith(self.end) and token != self.end:
@@ -248,25 +261,10 @@ class Vocabulary:
         last: list[str] = []      # last token of the prefix up to and with held[i]
         size: list[int] = []      # its length in symbols
         before = ""               # last token emitted
-        ids, reach = self.ids, self.lookahead
+        reach = self.lookahead
         for symbol in symbols:
-            held.append(symbol)
-            n, token, found = len(held), "", ""
-            for k in range(1, min(n, reach) + 1):
-                token = held[n - k] + token
-                if token not in self.tails:
-                    break
-                if token in ids and self.reachable(token):
-                    left = last[n - k - 1] if k < n else before
-                    if (k < n and not left) or (left and not self.compatible(left, token)):
-                        continue
-                    found = token
-                    last.append(token)
-                    size.append(k)
-                    break
-            if not found:  # no encoding ends here
-                last.append("")
-                size.append(0)
+            self._step(symbol, held, last, size, before)
+            n = len(held)
             if n >= _WINDOW + reach and n % _WINDOW == 0:
                 live = {i for i in range(n - reach, n) if last[i]}
                 while len(live) > 1:
@@ -282,13 +280,72 @@ class Vocabulary:
                     yield from reversed(done)
                     before = last[cut - 1]
                     held, last, size = held[cut:], last[cut:], size[cut:]
-        out, at = [], len(held) - 1
+        yield from self._chain(last, size)
+
+    def short(self, word: str) -> list[str]:
+        """As :meth:`stream` for a word within the window, of which nothing has to be forgotten.
+
+        What is read last after a beginning depends on that beginning alone, and many words share theirs.
+        """
+        held: list[str] = []
+        last: list[str] = []
+        size: list[int] = []
+        text = word if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(self.table)
+        states = self.states
+        if len(states) >= CACHE_WORDS:
+            states.clear()
+        for i, symbol in enumerate(text[:-1], 1):
+            state = states.get(text[:i])
+            if state is None:
+                self._step(symbol, held, last, size, "")
+                states[text[:i]] = last[-1], size[-1]
+            else:
+                held.append(symbol)
+                last.append(state[0])
+                size.append(state[1])
+        self._step(text[-1] + self.end, held, last, size, "")
+        return self._chain(last, size)
+
+    def _step(self, symbol: str, held: list[str], last: list[str], size: list[int], before: str) -> None:
+        """Read one symbol: the last token of the prefix that ends with it, and its length ("" and 0: no encoding ends here)."""
+        held.append(symbol)
+        i = n = len(held)
+        tails, fits, token = self.tails, self.fits, ""
+        while i:
+            i -= 1
+            token = held[i] + token
+            whole = tails.get(token, -1)
+            if whole == -1:
+                break
+            if whole is None:
+                whole = tails[token] = self.reachable(token)
+            if not whole:
+                continue
+            left = last[i - 1] if i else before
+            if left:
+                fit = fits.get((left, token))
+                if fit is None:
+                    fit = self.compatible(left, token)
+                if not fit:
+                    continue
+            elif i:
+                continue
+            last.append(token)
+            size.append(n - i)
+            return
+        last.append("")
+        size.append(0)
+
+    def _chain(self, last: list[str], size: list[int]) -> list[str]:
+        """The tokens from the last one back, in their order."""
+        out, at = [], len(last) - 1
         while at >= 0:
             if not size[at]:
                 raise ValueError("the vocabulary lacks a symbol of this text")
             out.append(last[at])
             at -= size[at]
-        yield from reversed(out)
+        out.reverse()
+        return out
 
     def symbols(self, word: str) -> Iterator[str]:
         """Byte letters of a word, the last with the end-of-word mark."""
@@ -300,13 +357,15 @@ class Vocabulary:
     def words(self, text: str) -> list[str]:
         """Normalized text in the pieces within which merges happen."""
         split = self.split
-        if not text.isascii():
+        if text.isascii():
+            split = self.plain
+        else:
             known = alphabet()
             if self.nfc and not unicodedata.is_normalized("NFC", text):
                 text = known.nfc(text)
             if known.differs and known.differs.search(text):
                 if split:
-                    split = self.exact = self.exact or regex.compile(known.spelled(self.pattern))
+                    split = self.exact = self.exact or regex.compile(_spelled(self.pattern, known.classes))
                 if self.lower:
                     return self._cut(split, "".join([known.lower.get(ord(c)) or ("σ" if c == "Σ" else c.lower()) for c in text]))
         if self.lower:  # by character: a final sigma is not treated in a way of its own
@@ -337,17 +396,21 @@ class Vocabulary:
 
     def decode(self, ids: Iterable[int]) -> str:
         """The names of the tokens joined by one space; what the library gives for files without a decoder."""
-        return " ".join(self.names[i] for i in ids if i in self.names)
+        return " ".join([name for name in map(self.names.get, ids) if name is not None])
 
     def text(self, ids: Iterable[int]) -> Iterator[str]:
         """Pieces of readable text: bytes go through :class:`Utf8`, an end-of-word mark becomes a space."""
         machine, pieces = Utf8(), self.pieces
         for i in ids:
+            if not machine.held and i in pieces and pieces[i][2]:
+                yield pieces[i][2]  # the first state reads whole characters of one byte and stays
+                continue
             if i not in pieces:
                 name = self.names[i]
                 ended = bool(self.end) and name.endswith(self.end)
-                pieces[i] = bytes(self.bytes[c] for c in (name[: -len(self.end)] if ended else name)), ended
-            data, ended = pieces[i]
+                data = bytes(self.bytes[c] for c in (name[: -len(self.end)] if ended else name))
+                pieces[i] = data, ended, data.decode() + " " * ended if data.isascii() else ""
+            data, ended, _ = pieces[i]
             if data is None:
                 yield machine.flush() + self.names[i]
             else:
@@ -413,9 +476,11 @@ class _Words(dict):
         self.of, self.readable = vocabulary, readable
 
     def __missing__(self, word: str) -> tuple[str, str, int, str]:
-        ids = array("l", (self.of.ids[t] for t in self.of.stream(self.of.symbols(word))))
+        brief = len(word) <= 32
+        tokens = self.of.short(word) if brief else self.of.stream(self.of.symbols(word))
+        ids = [*map(self.of.ids.__getitem__, tokens)] if brief else array("l", map(self.of.ids.__getitem__, tokens))
         value = (" ".join(map(str, ids)), self.of.decode(ids), len(ids), "".join(self.of.text(ids)) if self.readable else "")
-        if len(word) <= 32:
+        if brief:
             if len(self) >= CACHE_WORDS:
                 self.clear()
             self[word] = value
