@@ -1,4 +1,4 @@
-"""Toxicity: two Kneser-Ney word models, of toxic and of ordinary texts, over shared backoff counts."""
+"""Toxicity: two Kneser-Ney models of word pairs, of toxic and of ordinary texts, over shared backoff counts."""
 
 from __future__ import annotations
 
@@ -31,7 +31,6 @@ CALIBRATION = 4
 #: Steps of the histogram of log ratios that calibration looks at, per nat, and its last bin.
 _STEPS, _LAST = 4096, 1 << 16
 _CHUNK = 1 << 20
-_BLOCK = 1 << 10
 _BUFFER = 1 << 21
 _PARTS = 1 << 16
 _DOCS_A_PART = 256
@@ -105,25 +104,26 @@ def labelled(docs: DataFrame, labels: DataFrame, learn: Column) -> DataFrame:
     return texts.join(marks, "doc_id").select("text", "toxic", (F.floor(rest / 3) % CALIBRATION != 0).alias("counted"))
 
 
-def contexts(docs: DataFrame) -> DataFrame:
-    """``word``, ``ordinary``, ``toxic``, ``shared``: in how many different contexts each word class follows.
+def pair_counts(docs: DataFrame) -> DataFrame:
+    """``pair``, ``ordinary``, ``toxic``: how often each word class follows each other one, in either kind of text.
 
-    Continuation counts over all of ``docs`` (``text``, ``toxic``): a context is the class of the word before. ``shared``
-    counts contexts of either kind of text. Tasks drop equal pairs before the shuffle, pairs are dealt by their hash, so that
-    a frequent word is spread over all tasks, and a word's counts are added up from there.
+    Counts all occurrences in all of ``docs`` (``text``, ``toxic``), one row per pair: a word's class and the class before it as
+    one number. Tasks add up equal pairs before the shuffle, and pairs are dealt by their hash, so that a frequent word is
+    spread over all tasks.
     """
     parts = min(_PARTS, max(64, docs.count() // _DOCS_A_PART))
 
     def rows(kept: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        pairs = np.unique(np.concatenate(kept))
+        pairs, times = np.unique(np.concatenate(kept), return_counts=True)
         part = ((pairs >> 1).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)).astype(np.int64) % parts
         order = np.argsort(part, kind="stable")
         ends = np.searchsorted(part[order], np.arange(parts + 1))
         present = np.flatnonzero(np.diff(ends))
-        lists = pa.ListArray.from_arrays(pa.array(np.r_[ends[present], len(pairs)], pa.int32()), pa.array(pairs[order]))
-        yield pa.RecordBatch.from_arrays([pa.array(present, pa.int32()), lists], ["part", "pairs"])
+        offsets = pa.array(np.r_[ends[present], len(pairs)], pa.int32())
+        lists = [pa.ListArray.from_arrays(offsets, pa.array(v[order])) for v in (pairs, times.astype(np.int32))]
+        yield pa.RecordBatch.from_arrays([pa.array(present, pa.int32()), *lists], ["part", "pairs", "times"])
 
-    def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept, size = [], 0
         for batch in batches:
             for text, toxic in zip(batch.column(0), batch.column(1).to_pylist()):
@@ -137,29 +137,53 @@ def contexts(docs: DataFrame) -> DataFrame:
             yield from rows(kept)
 
     def count(group: pa.Table) -> pa.Table:
-        pairs = np.unique(group.column("pairs").combine_chunks().flatten().to_numpy())
-        columns = [(pairs[pairs & 1 == 0] >> 1), (pairs[pairs & 1 == 1] >> 1), np.unique(pairs >> 1)]
-        words = np.unique(columns[2] % (CLASSES + 1))
-        sums = [np.bincount(np.searchsorted(words, c % (CLASSES + 1)), minlength=len(words)) for c in columns]
-        block, first = np.unique(words // _BLOCK, return_index=True)
-        ends = pa.array(np.r_[first, len(words)], pa.int32())
-        lists = [pa.ListArray.from_arrays(ends, pa.array(v.astype(np.int64))) for v in (words % _BLOCK, *sums)]
-        return pa.Table.from_arrays([pa.array(block, pa.int32()), *lists], ["block", "places", "ordinary", "toxic", "shared"])
-
-    counts = "block int, places array<long>, ordinary array<long>, toxic array<long>, shared array<long>"
-    dealt = docs.select("text", "toxic").mapInArrow(distinct, "part int, pairs array<long>")
-    found = dealt.groupBy("part").applyInArrow(count, counts)
-    flat = found.select("block", F.explode(F.arrays_zip("places", "ordinary", "toxic", "shared")).alias("word"))
-    word = (F.col("block") * _BLOCK + F.col("word.places")).cast("int")
+        pairs, times = (group.column(c).combine_chunks().flatten().to_numpy() for c in ("pairs", "times"))
+        names, place = np.unique(pairs >> 1, return_inverse=True)
+        sums = [np.bincount(place, times * (pairs & 1 == kind), len(names)).astype(np.int64) for kind in (0, 1)]
+        return pa.Table.from_arrays([pa.array(v) for v in (names, *sums)], ["pair", "ordinary", "toxic"])
+
+    dealt = docs.select("text", "toxic").mapInArrow(summed, "part int, pairs array<long>, times array<int>")
+    return dealt.groupBy("part").applyInArrow(count, "pair long, ordinary long, toxic long")
+
+
+def continuations(pairs: DataFrame) -> DataFrame:
+    """``word``, ``ordinary``, ``toxic``, ``shared``: in how many different contexts each word class follows, from :func:`pair_counts`.
+
+    A context is the class of the word before. ``shared`` counts contexts of either kind of text.
+    """
     # A class follows at most all classes and the beginning, so counts are small numbers.
-    return flat.groupBy(word.alias("word")).agg(*[F.sum(f"word.{name}").cast("int").alias(name) for name in ("ordinary", "toxic", "shared")])
+    follows = [F.count_if(F.col(kind) > 0).cast("int").alias(kind) for kind in ("ordinary", "toxic")]
+    return pairs.groupBy((F.col("pair") % (CLASSES + 1)).cast("int").alias("word")).agg(*follows, F.count("*").cast("int").alias("shared"))
+
+
+def contexts(docs: DataFrame) -> DataFrame:
+    """The continuation counts (:func:`continuations`) of all of ``docs`` (``text``, ``toxic``)."""
+    return continuations(pair_counts(docs))
+
+
+def followed(pairs: DataFrame) -> DataFrame:
+    """``before``, and of all pairs that begin with it how many there are and how many are kept after the discount.
+
+    ``ordinary``, ``toxic`` and ``shared`` are counts, each with its ``kept_``. Only words with pairs that are kept in ``shared``:
+    after the others the shared counts hand everything to the lower level.
+    """
+    kinds = {"ordinary": F.col("ordinary"), "toxic": F.col("toxic"), "shared": F.col("ordinary") + F.col("toxic")}
+    sums = [F.sum(n).cast("double").alias(kind) for kind, n in kinds.items()]
+    kept = [F.sum(F.greatest(n - DISCOUNT, F.lit(0.0))).alias(f"kept_{kind}") for kind, n in kinds.items()]
+    before = F.floor(F.col("pair") / (CLASSES + 1)).cast("int").alias("before")
+    return pairs.groupBy(before).agg(*sums, *kept).where("kept_shared > 0")
 
 
 @dataclass
 class Model:
-    """Log ratio of each word class (toxic over ordinary), and the line that turns a text's ratio into a probability."""
+    """Log ratios (toxic over ordinary) of word classes after any word, and of the pairs that the upper level knows.
+
+    ``pairs`` is sorted. ``slope`` and ``offset`` are the line that turns a text's ratio into a probability.
+    """
 
     ratio: np.ndarray
+    pairs: np.ndarray
+    pair_ratio: np.ndarray
     slope: float = 0.0
     offset: float = 0.0
 
@@ -169,30 +193,76 @@ class Model:
         A word counts by how much its log ratio exceeds the text's median by more than ``MARGIN``: language and topic move all
         words of a text alike, and so its median. Mean over all words, so long and short texts compare.
         """
-        found = [self.ratio[words] for words in word_classes(text or "")]
+        found = [self.log_ratio(pairs) for pairs in _pairs(text or "")]
         if not found:
             return 0.0
         values = np.concatenate(found)
         return float(np.maximum(values - np.median(values) - MARGIN, 0).sum(dtype=float) / len(values))
 
+    def log_ratio(self, pairs: np.ndarray) -> np.ndarray:
+        """Log ratio of each word after the one before it."""
+        values = self.ratio[pairs % (CLASSES + 1)]
+        if len(self.pairs):
+            place = np.minimum(np.searchsorted(self.pairs, pairs), len(self.pairs) - 1)
+            values = np.where(self.pairs[place] == pairs, self.pair_ratio[place], values)
+        return values
+
     def probability(self, ratio: float) -> float:
         return 1 / (1 + math.exp(-min(50.0, max(-50.0, self.slope * ratio + self.offset))))
 
 
-def log_ratios(counts: np.ndarray) -> np.ndarray:
-    """Log of toxic over ordinary probability per word class, from ``counts`` (ordinary, toxic, shared; each per class).
+def shares(counts: np.ndarray) -> list[np.ndarray]:
+    """Ordinary and toxic probability of each word class after any word, from ``counts`` (ordinary, toxic, shared; each per class).
 
     Kneser-Ney: a word has its discounted share of its kind's contexts, and the discounted mass, with ``SHARED`` besides,
     goes by the contexts it has in both kinds. A word of few contexts is so left to the shared counts, which favour neither.
     """
     shared = counts[2] + 0.5
     shared = shared / shared.sum()
-    logs = []
+    found = []
     for own in counts[:2]:
         total = own.sum()
         kept = np.maximum(own - DISCOUNT, 0)
-        logs.append(np.log((kept + (total - kept.sum() + SHARED * total) * shared) / (total * (1 + SHARED))))
-    return (logs[1] - logs[0]).astype(np.float32)
+        found.append((kept + (total - kept.sum() + SHARED * total) * shared) / (total * (1 + SHARED)))
+    return found
+
+
+def log_ratios(counts: np.ndarray) -> np.ndarray:
+    """Log of toxic over ordinary probability per word class, see :func:`shares`."""
+    ordinary, toxic = (np.log(p) for p in shares(counts))
+    return (toxic - ordinary).astype(np.float32)
+
+
+def pair_ratios(pairs: DataFrame, lower: list[np.ndarray]) -> DataFrame:
+    """``pair``, ``ratio``: log of toxic over ordinary probability of the later word after the earlier one.
+
+    The upper level of Kneser-Ney, over the lower level ``lower`` (:func:`shares`). A pair has its discounted share of its kind's
+    pairs with the same beginning; the discounted mass, with ``SHARED`` besides, goes by the discounted counts of both kinds.
+    What the discount takes off the counts of both kinds is the weight of the lower level. It is the same for either kind:
+    there is far less toxic text, and weights of each kind's own would favour toxicity for every pair that is rare.
+    Pairs that are not in the result keep nothing in the shared counts, and their ratio is that of the later word alone.
+    """
+    found = followed(pairs).toArrow()
+    names = ("ordinary", "toxic", "shared", "kept_ordinary", "kept_toxic", "kept_shared")
+    before = found.column("before").to_numpy()
+    order = np.argsort(before)
+    known = pairs.sparkSession.sparkContext.broadcast((before[order], np.stack([found.column(n).to_numpy()[order] for n in names]), lower))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before, sums, lower = known.value
+        for batch in batches:
+            pair, *own = (c.to_numpy() for c in batch.columns)
+            at, word = np.searchsorted(before, pair // (CLASSES + 1)), pair % (CLASSES + 1)
+            both = (own[0] + own[1] - DISCOUNT) / sums[5, at]
+            weight = sums[5, at] / sums[2, at]
+            logs = []
+            for kind in (0, 1):
+                total, kept = np.maximum(sums[kind, at], 1), sums[3 + kind, at]
+                upper = (np.maximum(own[kind] - DISCOUNT, 0) + (total - kept + SHARED * total) * both) / (total * (1 + SHARED))
+                logs.append(np.log(weight * upper + (1 - weight) * lower[kind][word]))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array((logs[1] - logs[0]).astype(np.float32))], ["pair", "ratio"])
+
+    return pairs.where(F.col("ordinary") + F.col("toxic") > DISCOUNT).mapInArrow(run, "pair long, ratio float")
 
 
 def _line(bins: np.ndarray, toxic: np.ndarray, times: np.ndarray) -> tuple[float, float]:
@@ -236,16 +306,21 @@ def _with_ratio(rows: DataFrame, model: Model, names: list[str]) -> DataFrame:
 def fit(learn: DataFrame) -> Model:
     """The model of all rows of :func:`labelled`.
 
-    Counts cover all of them; the driver gets three numbers per word class, at most a million classes, and a histogram of
-    the ratios of the calibration texts. Without texts of both kinds nothing tells them apart, and every score is the share
+    Counts cover all of them; the driver gets three numbers per word class, at most a million classes, six per class that
+    begins a pair kept after the discount, the ratios of these pairs, and a histogram of the ratios of the calibration texts. Without texts of both kinds nothing tells them apart, and every score is the share
     of toxic ones.
     """
     counts = np.zeros((3, CLASSES))
-    got = contexts(learn.where("counted")).toArrow()
+    pairs = staged(pair_counts(learn.where("counted")), "toxic-pairs")
+    got = continuations(pairs).toArrow()
     place = got.column("word").to_numpy()
     for row, name in enumerate(("ordinary", "toxic", "shared")):
         counts[row, place] = got.column(name).to_numpy()
-    model = Model(np.zeros(CLASSES, np.float32) if not counts[:2].any(axis=1).all() else log_ratios(counts))
+    model = Model(np.zeros(CLASSES, np.float32), np.zeros(0, np.int64), np.zeros(0, np.float32))
+    if counts[:2].any(axis=1).all():
+        upper = pair_ratios(pairs, shares(counts)).toArrow()
+        order = np.argsort(upper.column("pair").to_numpy())
+        model = Model(log_ratios(counts), upper.column("pair").to_numpy()[order], upper.column("ratio").to_numpy()[order])
     bins = F.least(F.floor(F.col("ratio") * _STEPS), F.lit(_LAST)).alias("bin")
     seen = _with_ratio(learn.where(~F.col("counted")), model, ["toxic"]).groupBy(bins, "toxic").count().toPandas()
     model.slope, model.offset = _line((seen["bin"].to_numpy(float) + 0.5) / _STEPS, seen["toxic"].to_numpy(float), seen["count"].to_numpy(float))
@@ -261,8 +336,8 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id``, ``held_out``, ``score`` (probability of a toxic label), ``predicted`` (score at least 0.7), ``ratio`` per row of ``docs``.
 
     Learns from labelled documents that are not held out; only the text decides a score. Null and empty texts have no words and
-    get the score of a text that does not stand out. Repeated rows are scored each; as contexts are counted once, copies of a
-    text weigh as one. Extra columns are left behind; an empty table gives no rows, and without labels every score is 0.5.
+    get the score of a text that does not stand out. Repeated rows are scored each; contexts are counted once, pairs each time.
+    Extra columns are left behind; an empty table gives no rows, and without labels every score is 0.5.
     """
     model = fit(labelled(docs, labels, ~held_out()))
     rows = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.col("doc_id").cast("long").alias("doc_id"))

@@ -128,6 +128,55 @@ def test_log_ratios_are_kneser_ney_over_shared_counts():
     assert got[1] > 0.5 and got[0] < -0.5
 
 
+def test_pair_ratios_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "_BUFFER", 11)
+    texts = [("you bad thing you bad day", 1)] * 7 + [("you good thing you bad bad", 0)] * 5 + [("good day", 0)] * 9 + [("day you", 1), ("", 0)]
+    words = [([int(w) for part in toxicity.word_classes(text) for w in part], toxic) for text, toxic in texts]
+    times = [Counter(), Counter()]
+    for found, toxic in words:
+        times[toxic].update(zip([toxicity.START, *found], found))
+    frame = spark.createDataFrame(texts, "text string, toxic int").repartition(3)
+    pairs = toxicity.pair_counts(frame)
+    base = toxicity.CLASSES + 1
+    assert {divmod(r["pair"], base): (r["ordinary"], r["toxic"]) for r in pairs.collect()} == {
+        p: (times[0][p], times[1][p]) for p in times[0] | times[1]}
+
+    random, discount, extra = np.random.default_rng(1), toxicity.DISCOUNT, toxicity.SHARED
+    lower = [random.uniform(0.1, 1, toxicity.CLASSES) for _ in range(2)]
+    vocabulary = {w for found, _ in words for w in found}
+    for p in lower:
+        p /= sum(p[w] for w in vocabulary)
+    both = times[0] + times[1]
+    expected = {}
+    for v in {v for v, _ in both}:
+        kept = {w: max(both[v, w] - discount, 0) for w in vocabulary}
+        weight = sum(kept.values()) / sum(both[v, w] for w in vocabulary)
+        if not weight:
+            continue
+        probability = []
+        for kind in (0, 1):
+            own = {w: times[kind][v, w] for w in vocabulary}
+            total = sum(own.values())
+            left = sum(min(n, discount) for n in own.values())
+            shared = {w: kept[w] / sum(kept.values()) for w in vocabulary}
+            upper = {w: (max(own[w] - discount, 0) + (left + extra * total) * shared[w]) / (total * (1 + extra)) if total else shared[w] for w in vocabulary}
+            probability.append({w: weight * upper[w] + (1 - weight) * lower[kind][w] for w in vocabulary})
+            assert sum(probability[-1].values()) == pytest.approx(1)
+        expected |= {(v, w): np.log(probability[1][w] / probability[0][w]) for w in vocabulary if kept[w]}
+    got = {divmod(r["pair"], base): r["ratio"] for r in toxicity.pair_ratios(pairs, lower).collect()}
+    assert got == pytest.approx(expected, rel=1e-5, abs=1e-5) and 4 < len(got) < len(both)
+
+
+def test_order_of_words_counts(spark):
+    # The same words at the same rate in both kinds of text; only which one follows which tells them apart.
+    one, two = "red dog blue cat red dog blue cat", "red cat blue dog red cat blue dog"
+    texts = [(two if toxic else one, toxic, i % 4 != 0) for i in range(200) for toxic in (0, 1)]
+    model = toxicity.fit(spark.createDataFrame(texts, "text string, toxic int, counted boolean"))
+    known = [np.concatenate([model.log_ratio(p) for p in toxicity._pairs(text)]) for text in (one, two)]
+    assert known[1][1::2].min() > 0.5 and known[0][1::2].max() < -0.5
+    assert model.log_ratio(np.array([5 * (toxicity.CLASSES + 1) + 7])) == model.ratio[7]
+
+
 def test_toxic_documents_of_the_held_out_part(spark):
     folder = "/root/testdata/sf0.1"
     docs, labels = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
