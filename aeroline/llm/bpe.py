@@ -15,8 +15,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Words kept with their ids in a Python worker; when they are that many, the worker starts again with none.
-CACHE_WORDS = 200_000
+#: Words kept with their ids in a Python worker, and as many that were met before these.
+CACHE_WORDS = 150_000
 _WINDOW = 256
 
 
@@ -130,10 +130,10 @@ class Vocabulary:
                 self.plain = re.compile(_spelled(self.pattern, _ASCII))
         self.letters = byte_letters()
         self.bytes = {c: b for b, c in self.letters.items()}
-        #: Bytes of a token (None: special), whether it ends a word, its text if all bytes are ASCII. Filled by ``text``.
+        #: Bytes of a token (None: special), whether it ends a word, its text if the bytes are whole characters. Filled by ``text``.
         self.pieces: dict[int, tuple[bytes | None, bool, str]] = {i: (None, False, "") for i in self.special.values()}
         self.single: dict[str, bool] = {}
-        self.states: dict[str, tuple[str, int]] = {}
+        self.states: dict[str, tuple[str, ...]] = {}
         self.spines: dict[tuple[str, int], list[tuple[str, int]] | None] = {}
         self.fits: dict[tuple[str, str], bool] = {}
         #: Sufficient lookahead in symbols: a boundary that is final lies within one longest token of the last symbol read.
@@ -282,29 +282,50 @@ class Vocabulary:
                     held, last, size = held[cut:], last[cut:], size[cut:]
         yield from self._chain(last, size)
 
-    def short(self, word: str) -> list[str]:
+    def short(self, word: str) -> tuple[str, ...]:
         """As :meth:`stream` for a word within the window, of which nothing has to be forgotten.
 
-        What is read last after a beginning depends on that beginning alone, and many words share theirs.
+        As the whole word is at hand, it is read from its end: only those beginnings are looked at that a token may follow.
+        Their tokens depend on them alone, and many words share them.
         """
-        held: list[str] = []
-        last: list[str] = []
-        size: list[int] = []
         text = word if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(self.table)
-        states = self.states
-        if len(states) >= CACHE_WORDS:
-            states.clear()
-        for i, symbol in enumerate(text[:-1], 1):
-            state = states.get(text[:i])
-            if state is None:
-                self._step(symbol, held, last, size, "")
-                states[text[:i]] = last[-1], size[-1]
-            else:
-                held.append(symbol)
-                last.append(state[0])
-                size.append(state[1])
-        self._step(text[-1] + self.end, held, last, size, "")
-        return self._chain(last, size)
+        if len(self.states) >= CACHE_WORDS:
+            self.states.clear()
+        found = self._ended(text + self.end, len(text))
+        if not found:
+            raise ValueError("the vocabulary lacks a symbol of this text")
+        return found
+
+    def _ended(self, text: str, size: int) -> tuple[str, ...]:
+        """Tokens of a text of ``size`` symbols; none if no encoding ends there.
+
+        The last one is unique, see :meth:`stream`, so the candidates may come in any order; the longest is most often it.
+        """
+        tails, states, fits, ends, i = self.tails, self.states, self.fits, [], size
+        while i:
+            i -= 1
+            token = text[i:]
+            whole = tails.get(token, -1)
+            if whole == -1:
+                break
+            if whole is None:
+                whole = tails[token] = self.reachable(token)
+            if whole:
+                ends.append((i, token))
+        for i, token in reversed(ends):
+            if not i:
+                return (token,)
+            before = text[:i]
+            left = states.get(before)
+            if left is None:
+                left = states[before] = self._ended(before, i)
+            if left:
+                fit = fits.get((left[-1], token))
+                if fit is None:
+                    fit = self.compatible(left[-1], token)
+                if fit:
+                    return *left, token
+        return ()
 
     def _step(self, symbol: str, held: list[str], last: list[str], size: list[int], before: str) -> None:
         """Read one symbol: the last token of the prefix that ends with it, and its length ("" and 0: no encoding ends here)."""
@@ -403,13 +424,16 @@ class Vocabulary:
         machine, pieces = Utf8(), self.pieces
         for i in ids:
             if not machine.held and i in pieces and pieces[i][2]:
-                yield pieces[i][2]  # the first state reads whole characters of one byte and stays
+                yield pieces[i][2]  # the first state reads whole characters and comes back to itself
                 continue
             if i not in pieces:
                 name = self.names[i]
                 ended = bool(self.end) and name.endswith(self.end)
                 data = bytes(self.bytes[c] for c in (name[: -len(self.end)] if ended else name))
-                pieces[i] = data, ended, data.decode() + " " * ended if data.isascii() else ""
+                plain = ""
+                with suppress(UnicodeDecodeError):
+                    plain = data.decode() + " " * ended
+                pieces[i] = data, ended, plain
             data, ended, _ = pieces[i]
             if data is None:
                 yield machine.flush() + self.names[i]
@@ -418,6 +442,15 @@ class Vocabulary:
         yield machine.flush()
 
 
+    def readable(self, ids: list[int]) -> str:
+        """:meth:`text` of some ids in one piece."""
+        try:
+            found = [self.pieces[i][2] for i in ids]
+        except KeyError:
+            found = [""]
+        return "".join(found) if all(found) else "".join(self.text(ids))
+
+
 class Utf8:
     """Incremental bytes to text. State: the bytes of an unfinished character and how many are to come.
 
@@ -468,20 +501,24 @@ class _Words(dict):
     """Word to its ids as text, and what decoding these ids gives: token names, readable text.
 
     A word is whole characters, so the byte-to-text machine is in its first state wherever a word starts. Bounded, see
-    CACHE_WORDS; long words are not kept.
+    CACHE_WORDS: when it is full its words become the older ones, and the older ones that were not asked for again are
+    forgotten. Long words are not kept.
     """
 
     def __init__(self, vocabulary: Vocabulary, readable: bool):
         super().__init__()
-        self.of, self.readable = vocabulary, readable
+        self.of, self.readable, self.older = vocabulary, readable, {}
 
     def __missing__(self, word: str) -> tuple[str, str, int, str]:
+        value = self.older.get(word)
         brief = len(word) <= 32
-        tokens = self.of.short(word) if brief else self.of.stream(self.of.symbols(word))
-        ids = [*map(self.of.ids.__getitem__, tokens)] if brief else array("l", map(self.of.ids.__getitem__, tokens))
-        value = (" ".join(map(str, ids)), self.of.decode(ids), len(ids), "".join(self.of.text(ids)) if self.readable else "")
+        if value is None:
+            tokens = self.of.short(word) if brief else self.of.stream(self.of.symbols(word))
+            ids = [*map(self.of.ids.__getitem__, tokens)] if brief else array("l", map(self.of.ids.__getitem__, tokens))
+            value = (" ".join(map(str, ids)), self.of.decode(ids), len(ids), self.of.readable(ids) if self.readable else "")
         if brief:
             if len(self) >= CACHE_WORDS:
+                self.older = dict(self)
                 self.clear()
             self[word] = value
         return value
@@ -517,11 +554,12 @@ def encode(docs: DataFrame, path: str, readable: bool = False) -> DataFrame:
                             got.append((str(special), vocab.names[special], 1, vocab.names[special]))
                         else:
                             got += [known[w] for w in vocab.words(piece)]
-                    ids.append(" ".join([g[0] for g in got]))
-                    decoded.append(" ".join([g[1] for g in got]))
-                    counts.append(sum([g[2] for g in got]))
+                    own = [*zip(*got)] or [(), (), (), ()]
+                    ids.append(" ".join(own[0]))
+                    decoded.append(" ".join(own[1]))
+                    counts.append(sum(own[2]))
                     if readable:
-                        plain.append("".join([g[3] for g in got]))
+                        plain.append("".join(own[3]))
                 columns = [part.column(0), pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())]
                 yield pa.RecordBatch.from_arrays(columns + [pa.array(plain, pa.string())] * readable, names)
 

@@ -356,6 +356,26 @@ def test_bpe_of_odd_texts(library):
         assert list(vocabulary.encode(text)) == library.encode(text, add_special_tokens=False).ids
 
 
+def test_words_are_read_from_their_end(library):
+    vocabulary = bpe.Vocabulary(bpe_vocabulary())
+    random.seed(8)
+    words = ["".join(random.choice(letters) for _ in range(random.randrange(1, 33))) for letters in ("aeinrst", "aéßñ漢z", "ofthe") for _ in range(500)]
+    for word in words:
+        assert list(vocabulary.short(word)) == list(vocabulary.stream(vocabulary.symbols(word)))
+    # Beginnings after which no token can follow are passed over.
+    assert 0 < len(vocabulary.states) < 0.8 * len({w[:i] for w in (v.encode().decode("latin-1") for v in words) for i in range(1, len(w))})
+
+
+def test_full_word_tables_keep_what_is_asked_for(monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE_WORDS", 3)
+    known = bpe._Words(bpe.Vocabulary(bpe_vocabulary()), True)
+    first = {w: known[w] for w in ("one", "wörd", "a")}
+    assert known["other"] and set(known.older) == set(first)
+    monkeypatch.setattr(known.of, "short", None)  # nothing of this is worked out again
+    assert all(known[w] is value for w, value in first.items() if w != "a")
+    assert first["wörd"][3] == "wörd " and set(known) == {"other", "one", "wörd"}
+
+
 def test_bpe_of_any_code_point(library):
     """Texts of assigned, unassigned, private and newly assigned code points, marks and their orders."""
     vocabulary = bpe.vocabulary(bpe_vocabulary())
